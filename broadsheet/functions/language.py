@@ -8,6 +8,7 @@ the same column works in a stream. Integer weights make the sums exact in any or
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,15 +23,22 @@ from broadsheet.schema import UNKNOWN_LANGUAGE
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MIN_DETECT_LENGTH = 10
-NOT_LETTERS = r"[^\p{L}\p{M}]+"
 EACH_TRIGRAM = r"(?s)(?=(...))."
+
+# A gap to rewrite as one blank: any run of non-letters that is not a lone blank already.
+NOT_LETTER = r"[^\p{L}\p{M}]"
+GAP = rf"{NOT_LETTER}(?:{NOT_LETTER}++|(?<! ))"
+
 CODE_POINT_BITS = 21
-CHUNK = 1 << 18
+HASH_MULTIPLIER = 0x9E3779B97F4A7C15
+SLOTS_PER_KEY = 4
+CHUNK = 1 << 18  # characters scored at a time, which bounds the memory of a task
+SEPARATOR = "\0"  # part of no gram
 
 
 def letters(text: Column) -> Column:
     """Lower-case letter runs, one blank between and around them."""
-    runs = F.btrim(F.regexp_replace(F.lower(text), NOT_LETTERS, " "))
+    runs = F.btrim(F.regexp_replace(F.lower(text), GAP, " "))
     return F.concat(F.lit(" "), runs, F.lit(" "))
 
 
@@ -40,7 +48,7 @@ def trigrams(text: Column) -> Column:
 
 
 def load_model(profiles: DataFrame) -> Broadcast:
-    """Broadcast a profile table ``(lang, gram, weight)`` as sorted arrays.
+    """Broadcast a profile table ``(lang, gram, weight)`` as a hash table of arrays.
 
     A profile keeps only grams above a fixed share of their language
     (:func:`broadsheet.operators.profiles.train_profiles`), so its size has a bound that does not
@@ -52,15 +60,8 @@ def load_model(profiles: DataFrame) -> Broadcast:
     table = profiles.select("lang", "gram", "weight").limit(limit + 1).toArrow()
     if table.num_rows > limit:
         raise ValueError(f"profile table exceeds its bound of {limit} rows")
-    langs = sorted(set(table["lang"].to_pylist()))
-    column = {lang: i for i, lang in enumerate(langs)}
-    packed = np.array([_pack(_codes(gram))[0] for gram in table["gram"].to_pylist()], dtype=np.uint64)
-    keys, row = np.unique(packed, return_inverse=True)
-    weights = np.zeros((len(keys), len(langs)), dtype=np.int64)
-    weights[row, [column[lang] for lang in table["lang"].to_pylist()]] = table["weight"].to_numpy()
-    return profiles.sparkSession.sparkContext.broadcast(
-        {"langs": langs, "keys": keys, "weights": weights}
-    )
+    model = _index(table["lang"].to_pylist(), table["gram"].to_pylist(), table["weight"].to_pylist())
+    return profiles.sparkSession.sparkContext.broadcast(model)
 
 
 def detect_language(text: Column, model: Broadcast) -> Column:
@@ -69,29 +70,88 @@ def detect_language(text: Column, model: Broadcast) -> Column:
 
     @F.arrow_udf("string")
     def best_language(batch: pa.Array) -> pa.Array:
-        return pa.array([_best(value, model.value) for value in batch.to_pylist()], pa.string())
+        return pa.array(_best_languages(batch.to_pylist(), model.value), pa.string())
 
     return F.coalesce(best_language(F.when(long_enough, letters(text))), F.lit(UNKNOWN_LANGUAGE))
 
 
-def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.uint64)
-
-
-def _pack(codes: np.ndarray) -> np.ndarray:
+def _pack(text: str) -> np.ndarray:
     """One integer per three-character window."""
+    codes = np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.uint64)
     shift = np.uint64(CODE_POINT_BITS)
     return (((codes[:-2] << shift) | codes[1:-1]) << shift) | codes[2:]
 
 
-def _best(text: str | None, model: dict) -> str | None:
-    keys = model["keys"]
-    if text is None or len(text) < 3 or len(keys) == 0:
-        return None
-    scores = np.zeros(len(model["langs"]), dtype=np.int64)
-    for start in range(0, len(text) - 2, CHUNK):
-        packed = _pack(_codes(text[start : start + CHUNK + 2]))
-        place = np.minimum(np.searchsorted(keys, packed), len(keys) - 1)
-        scores += model["weights"][place[keys[place] == packed]].sum(axis=0)
-    best = int(scores.argmax())  # the first, hence alphabetically smallest, of equals
-    return model["langs"][best] if scores[best] > 0 else None
+def _slot(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys * np.uint64(HASH_MULTIPLIER)) >> np.uint64(64 - bits)
+
+
+def _index(langs: list[str], grams: list[str], weights: list[int]) -> dict:
+    """Weights per gram (rows) and language (columns), found through a table of row numbers.
+
+    Where grams share a slot one of them holds it; the others are kept in a sorted list. The last row
+    is all zero and stands for a gram in no profile.
+    """
+    codes = sorted(set(langs))
+    column = {lang: i for i, lang in enumerate(codes)}
+    packed = np.array([_pack(gram)[0] for gram in grams], dtype=np.uint64)
+    keys, row = np.unique(packed, return_inverse=True)
+    by_row = np.zeros((len(keys) + 1, len(codes)), dtype=np.int64)
+    by_row[row, [column[lang] for lang in langs]] = weights
+    bits = max(4, (SLOTS_PER_KEY * len(keys)).bit_length())
+    slots = np.full(1 << bits, len(keys), dtype=np.int64)
+    slots[_slot(keys, bits)] = np.arange(len(keys))
+    crowded_out = np.flatnonzero(slots[_slot(keys, bits)] != np.arange(len(keys)))
+    return {
+        "langs": codes,
+        "keys": np.append(keys, np.uint64(0)),
+        "by_lang": np.ascontiguousarray(by_row.T),
+        "bits": bits,
+        "slots": slots,
+        "crowded_out": crowded_out,
+    }
+
+
+def _rows(packed: np.ndarray, model: dict) -> np.ndarray:
+    """Row number of each gram."""
+    keys, crowded_out = model["keys"], model["crowded_out"]
+    missing = len(keys) - 1
+    row = model["slots"][_slot(packed, model["bits"])]
+    lost = np.flatnonzero(keys[row] != packed)
+    row[lost] = missing
+    if len(crowded_out) and len(lost):
+        place = np.searchsorted(keys[crowded_out], packed[lost])
+        found = crowded_out[np.minimum(place, len(crowded_out) - 1)]
+        row[lost] = np.where(keys[found] == packed[lost], found, missing)
+    return row
+
+
+def _pieces(texts: list[str | None]) -> Iterator[tuple[int, str]]:
+    """Texts cut to a length limit; consecutive pieces overlap so that no window is lost or doubled."""
+    for number, text in enumerate(texts):
+        for start in range(0, len(text or "") - 2, CHUNK):
+            yield number, text[start : start + CHUNK + 2]
+
+
+def _groups(pieces: Iterator[tuple[int, str]]) -> Iterator[list[tuple[int, str]]]:
+    group, size = [], 0
+    for piece in pieces:
+        group.append(piece)
+        size += len(piece[1])
+        if size >= CHUNK:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def _best_languages(texts: list[str | None], model: dict) -> list[str | None]:
+    scores = np.zeros((len(model["langs"]) or 1, len(texts)), dtype=np.int64)
+    for group in _groups(_pieces(texts)):
+        numbers = [number for number, _ in group]
+        rows = _rows(_pack(SEPARATOR.join(piece for _, piece in group)), model)
+        starts = np.cumsum([0] + [len(piece) + len(SEPARATOR) for _, piece in group[:-1]])
+        for score, weight in zip(scores, model["by_lang"]):
+            np.add.at(score, numbers, np.add.reduceat(weight[rows], starts))
+    best = scores.argmax(axis=0)  # the first, hence alphabetically smallest, of equals
+    return [model["langs"][i] if scores[i, n] > 0 else None for n, i in enumerate(best)]

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from broadsheet.functions.text import WHITESPACE, WHITESPACE_CLASS
+from broadsheet.functions.text import WHITESPACE
 from broadsheet.operators.extract import BATCH_RULES, STREAM_RULES, SiteRule
 from broadsheet.operators.profiles import RESOLUTION, WEIGHT_SCALE
 from broadsheet.plans.inputs import ARTICLE_VIEW, LINK_KINDS, UNTITLED_EVERY
 from broadsheet.schema import ARTICLE_FIELDS, MIN_CONTENT_LENGTH, MIN_KEYWORD_LENGTH, STOPWORDS, TOP_KEYWORDS
 
+_SPACE_CLASS = (
+    r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
 _SPACES = " || ".join(f"chr({ord(c)})" for c in WHITESPACE)
 _STOPWORD_LIST = ", ".join(f"'{word}'" for word in STOPWORDS)
 
@@ -21,7 +24,7 @@ def _strip_html(text: str) -> str:
 
 
 def _normalize(text: str) -> str:
-    blanks = f"trim(regexp_replace(lower({text}), '{WHITESPACE_CLASS}+', ' ', 'g'))"
+    blanks = f"trim(regexp_replace(lower({text}), '{_SPACE_CLASS}+', ' ', 'g'))"
     return rf"regexp_replace({blanks}, '[^\p{{L}}\p{{N}}_ .,!?\-]', '', 'g')"
 
 

@@ -218,7 +218,7 @@ def extract_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _identified(items: DataFrame) -> DataFrame:
     """Articles with an id made of page and position, and a fixed fetch time."""
     article_id = F.concat_ws("-", "page_id", "pos")
-    return to_articles(items, article_id, F.lit("2024-01-01 08:30:00").cast("timestamp"))
+    return to_articles(items, article_id, F.lit("2024-01-01T08:30:00Z").cast("timestamp"))
 
 
 @_query
