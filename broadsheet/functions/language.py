@@ -64,9 +64,12 @@ def load_model(profiles: DataFrame) -> Broadcast:
     return profiles.sparkSession.sparkContext.broadcast(model)
 
 
-def detect_language(text: Column, model: Broadcast) -> Column:
-    """Best-scoring language code; ``unknown`` for null, short or featureless text."""
-    long_enough = F.length(strip(text)) >= MIN_DETECT_LENGTH
+def detect_language(text: Column, model: Broadcast, stripped: bool = False) -> Column:
+    """Best-scoring language code; ``unknown`` for null, short or featureless text.
+
+    ``stripped`` tells that the text has no outer white space left to be ignored.
+    """
+    long_enough = F.length(text if stripped else strip(text)) >= MIN_DETECT_LENGTH
 
     @F.arrow_udf("string")
     def best_language(batch: pa.Array) -> pa.Array:

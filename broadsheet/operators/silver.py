@@ -26,7 +26,7 @@ def enrich(articles: DataFrame, model: Broadcast) -> DataFrame:
             {
                 "content_normalized": normalize(F.col("content_clean")),
                 "title_normalized": normalize(F.col("title_clean")),
-                "language": detect_language(F.col("content_clean"), model),
+                "language": detect_language(F.col("content_clean"), model, stripped=True),
                 "processed_at": F.current_timestamp(),
             }
         )

@@ -1,0 +1,129 @@
+import random
+from collections import Counter
+from math import log
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from broadsheet.functions import language
+from broadsheet.functions.language import detect_language, letters, load_model, trigrams
+from broadsheet.operators.profiles import RESOLUTION, WEIGHT_SCALE, train_profiles
+
+SAMPLES = {
+    "en": "The weather is fine today and the people of the town walk along the river with their children",
+    "fr": "Le temps est beau aujourd'hui et les gens de la ville se promènent le long de la rivière",
+    "ar": "الطقس جميل اليوم وسكان المدينة يمشون على ضفاف النهر مع أطفالهم",
+}
+
+
+@pytest.fixture(scope="module")
+def profiles(spark):
+    labelled = spark.createDataFrame([(lang, text) for lang, text in SAMPLES.items()] + [(None, "zzz zzz")], "lang string, text string")
+    return train_profiles(labelled)
+
+
+def model_grams(text):
+    runs = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    padded = f" {' '.join(runs)} "
+    return [padded[i : i + 3] for i in range(len(padded) - 2)]
+
+
+def test_letters_and_trigrams(spark):
+    df = spark.createDataFrame([("Le 3 mai, l'été!",), ("x",), ("12",), (None,)], "t string")
+    rows = df.select(letters(F.col("t")).alias("l"), trigrams(F.col("t")).alias("g")).collect()
+    assert [row.l for row in rows] == [" le mai l été ", " x ", "  ", None]
+    assert [row.g for row in rows][0] == model_grams("Le 3 mai, l'été!")
+    assert rows[1].g == [" x "] and rows[2].g == []
+
+
+def test_trigrams_keep_characters_outside_the_basic_plane(spark):
+    text = "a\U00010400b\U00010428"
+    row = spark.createDataFrame([(text,)], "t string").select(trigrams(F.col("t")).alias("g")).first()
+    lowered = " a\U00010428b\U00010428 "
+    assert row.g == [lowered[i : i + 3] for i in range(4)]
+
+
+def test_profiles_equal_a_plain_count(spark, profiles):
+    got = {(row.lang, row.gram): (row.gram_count, row.weight) for row in profiles.collect()}
+    expected = {}
+    for lang, text in SAMPLES.items():
+        counts = Counter(model_grams(text))
+        for gram, count in counts.items():
+            weight = round(log(count * 2 * RESOLUTION / sum(counts.values())) * WEIGHT_SCALE)
+            expected[lang, gram] = (count, weight)
+    assert got == expected
+
+
+def test_rare_grams_are_left_out(spark):
+    text = "abc " * (RESOLUTION // 2) + "xyz"
+    labelled = spark.createDataFrame([("en", text)], "lang string, text string")
+    grams = {row.gram for row in train_profiles(labelled).collect()}
+    assert " ab" in grams and "xyz" not in grams
+
+
+def test_detection_and_unknown(spark, profiles):
+    model = load_model(profiles)
+    rows = [
+        ("the children of the town", "en"),
+        ("les gens de la rivière", "fr"),
+        ("سكان المدينة على النهر", "ar"),
+        (None, "unknown"),
+        ("   short   ", "unknown"),
+        ("0123456789 0123", "unknown"),
+        ("the town. ", "unknown"),
+        ("the towns.", "en"),
+        ("щщщщщщщщщщщщщ", "unknown"),
+    ]
+    df = spark.createDataFrame(rows, "t string, expected string")
+    wrong = df.withColumn("got", detect_language(F.col("t"), model)).where("got <> expected").collect()
+    assert wrong == []
+
+
+def test_ties_go_to_the_first_code(spark):
+    same = spark.createDataFrame([("nl", "abc"), ("af", "abc")], "lang string, text string")
+    model = load_model(train_profiles(same))
+    df = spark.createDataFrame([("abc abc abc",)], "t string")
+    assert df.select(detect_language(F.col("t"), model)).first()[0] == "af"
+
+
+def test_no_profiles_means_unknown(spark):
+    model = load_model(train_profiles(spark.createDataFrame([], "lang string, text string")))
+    df = spark.createDataFrame([("the children of the town",)], "t string")
+    assert df.select(detect_language(F.col("t"), model)).first()[0] == "unknown"
+
+
+def test_hash_table_finds_every_gram_and_only_those():
+    rng = random.Random(7)
+    grams = list({"".join(rng.choices("abcdefghijéñß ", k=3)) for _ in range(1500)})
+    model = language._index(["x"] * len(grams), grams, list(range(1, len(grams) + 1)))
+    assert len(model["crowded_out"]) > 0
+    known = language._pack(language.SEPARATOR.join(grams))[:: 4]
+    weight = model["by_lang"][0]
+    assert [int(w) for w in weight[language._rows(known, model)]] == list(range(1, len(grams) + 1))
+    other = language._pack("".join(rng.choices("klmnop", k=3000)))
+    assert not weight[language._rows(other, model)].any()
+
+
+def test_long_texts_are_scored_whole(monkeypatch):
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abc", k=4)) for _ in range(rng.randrange(60))) for _ in range(40)]
+    texts += [None, "", "ab"]
+    grams = sorted({gram for text in texts if text for gram in (text[i : i + 3] for i in range(len(text) - 2))})
+    langs = [rng.choice(["p", "q", "r"]) for _ in grams]
+    weights = [rng.randrange(1, 50) for _ in grams]
+    model = language._index(langs, grams, weights)
+    value = {gram: (lang, weight) for gram, lang, weight in zip(grams, langs, weights)}
+
+    def plain(text):
+        scores = Counter()
+        for i in range(len(text or "") - 2):
+            lang, weight = value[text[i : i + 3]]
+            scores[lang] += weight
+        return min(scores, key=lambda lang: (-scores[lang], lang)) if scores else None
+
+    expected = [plain(text) for text in texts]
+    for chunk in (1, 2, 7, 64, 1 << 18):
+        monkeypatch.setattr(language, "CHUNK", chunk)
+        assert language._best_languages(texts, model) == expected
+    assert np.array_equal(language._best_languages([], model), [])

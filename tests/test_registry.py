@@ -1,0 +1,46 @@
+"""Every registered query against its SQL on the smallest tables."""
+
+import os
+import subprocess
+import sys
+
+import pytest
+
+import __spark_entry__ as registry
+from oracle_compare import connect, differences
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def connection():
+    return connect(SF_DIR)
+
+
+def test_every_query_has_its_sql():
+    assert set(registry.queries()) == set(registry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(registry.queries()))
+def test_query_equals_sql(spark, connection, name):
+    assert differences(registry.queries()[name](spark, SF_DIR), connection, registry.oracle_sql()[name]) == []
+
+
+def test_entry(spark):
+    assert registry.entry(spark).count() > 0
+
+
+def test_python_functions_travel_without_the_package(tmp_path):
+    """Tasks must not import this repository: here only the program itself can find it."""
+    program = tmp_path / "program.py"
+    repo = os.path.dirname(os.path.abspath(registry.__file__))
+    program.write_text(
+        f"import sys; sys.path.append({repo!r})\n"
+        "from broadsheet.session import build_session\n"
+        "import __spark_entry__ as registry\n"
+        "spark = build_session('travel', 'local[2]', **{'spark.sql.shuffle.partitions': '2'})\n"
+        f"print('rows', registry.entry(spark).count(), registry.queries()['site_articles'](spark, {SF_DIR!r}).count())\n"
+    )
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, str(program)], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=180)
+    assert run.returncode == 0 and "rows" in run.stdout, run.stderr[-2000:]
