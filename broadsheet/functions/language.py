@@ -25,6 +25,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MIN_DETECT_LENGTH = 10
 EACH_TRIGRAM = r"(?s)(?=(...))."
 
+# A gram stays in a profile when it makes up at least 1/RESOLUTION of its language's grams, hence at
+# most RESOLUTION grams per language. An unseen gram counts as half that share.
+RESOLUTION = 100_000
+MAX_LANGUAGES = 100
+
 # A gap to rewrite as one blank: any run of non-letters that is not a lone blank already.
 NOT_LETTER = r"[^\p{L}\p{M}]"
 GAP = rf"{NOT_LETTER}(?:{NOT_LETTER}++|(?<! ))"
@@ -34,6 +39,7 @@ HASH_MULTIPLIER = 0x9E3779B97F4A7C15
 SLOTS_PER_KEY = 4
 CHUNK = 1 << 18  # characters scored at a time, which bounds the memory of a task
 SEPARATOR = "\0"  # part of no gram
+MAX_MODEL_BYTES = 1 << 30
 
 
 def letters(text: Column) -> Column:
@@ -54,13 +60,14 @@ def load_model(profiles: DataFrame) -> Broadcast:
     (:func:`broadsheet.operators.profiles.train_profiles`), so its size has a bound that does not
     depend on the amount of training text; a table beyond the bound is refused.
     """
-    from broadsheet.operators.profiles import MAX_LANGUAGES, RESOLUTION
-
     limit = MAX_LANGUAGES * RESOLUTION
     table = profiles.select("lang", "gram", "weight").limit(limit + 1).toArrow()
     if table.num_rows > limit:
         raise ValueError(f"profile table exceeds its bound of {limit} rows")
     model = _index(table["lang"].to_pylist(), table["gram"].to_pylist(), table["weight"].to_pylist())
+    size = sum(part.nbytes for part in model.values() if isinstance(part, np.ndarray))
+    if size > MAX_MODEL_BYTES:
+        raise ValueError(f"model of {size} bytes is too large to broadcast; train at a lower resolution")
     return profiles.sparkSession.sparkContext.broadcast(model)
 
 
@@ -99,10 +106,10 @@ def _index(langs: list[str], grams: list[str], weights: list[int]) -> dict:
     column = {lang: i for i, lang in enumerate(codes)}
     packed = np.array([_pack(gram)[0] for gram in grams], dtype=np.uint64)
     keys, row = np.unique(packed, return_inverse=True)
-    by_row = np.zeros((len(keys) + 1, len(codes)), dtype=np.int64)
+    by_row = np.zeros((len(keys) + 1, len(codes)), dtype=np.int32)
     by_row[row, [column[lang] for lang in langs]] = weights
     bits = max(4, (SLOTS_PER_KEY * len(keys)).bit_length())
-    slots = np.full(1 << bits, len(keys), dtype=np.int64)
+    slots = np.full(1 << bits, len(keys), dtype=np.int32)
     slots[_slot(keys, bits)] = np.arange(len(keys))
     crowded_out = np.flatnonzero(slots[_slot(keys, bits)] != np.arange(len(keys)))
     return {
@@ -155,6 +162,6 @@ def _best_languages(texts: list[str | None], model: dict) -> list[str | None]:
         rows = _rows(_pack(SEPARATOR.join(piece for _, piece in group)), model)
         starts = np.cumsum([0] + [len(piece) + len(SEPARATOR) for _, piece in group[:-1]])
         for score, weight in zip(scores, model["by_lang"]):
-            np.add.at(score, numbers, np.add.reduceat(weight[rows], starts))
+            np.add.at(score, numbers, np.add.reduceat(weight[rows], starts, dtype=np.int64))
     best = scores.argmax(axis=0)  # the first, hence alphabetically smallest, of equals
     return [model["langs"][i] if scores[i, n] > 0 else None for n, i in enumerate(best)]

@@ -5,16 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.functions.language import trigrams
+from broadsheet.functions.language import RESOLUTION, trigrams
 
-# A gram stays in a profile when it makes up at least 1/RESOLUTION of its language's grams, hence at
-# most RESOLUTION grams per language. An unseen gram counts as half that share.
-RESOLUTION = 100_000
-MAX_LANGUAGES = 250
 WEIGHT_SCALE = 1_000_000
 
 
-def train_profiles(labelled: DataFrame, text: str = "text", label: str = "lang") -> DataFrame:
+def train_profiles(
+    labelled: DataFrame, text: str = "text", label: str = "lang", resolution: int = RESOLUTION
+) -> DataFrame:
     """``(lang, gram, gram_count, weight)``; weight is the scaled log ratio to an unseen gram.
 
     Counts are combined per task before the shuffle, which therefore moves distinct grams only.
@@ -26,11 +24,11 @@ def train_profiles(labelled: DataFrame, text: str = "text", label: str = "lang")
         .agg(F.count("*").alias("gram_count"))
     )
     totals = counts.groupBy("lang").agg(F.sum("gram_count").alias("total"))
-    ratio = (F.col("gram_count") * (2 * RESOLUTION)).cast("double") / F.col("total").cast("double")
+    ratio = (F.col("gram_count") * (2 * resolution)).cast("double") / F.col("total").cast("double")
     # No hint: the adaptive planner broadcasts the totals once it has seen their size.
     return (
         counts.join(totals, "lang")
-        .where(F.col("gram_count") * RESOLUTION >= F.col("total"))
+        .where(F.col("gram_count") * resolution >= F.col("total"))
         .select(
             "lang",
             "gram",

@@ -10,6 +10,7 @@ from broadsheet.functions.language import load_model
 from broadsheet.operators.extract import SiteRule
 from broadsheet.operators.profiles import train_profiles
 from broadsheet.session import scratch_path, spread
+from broadsheet.sources.readers import present
 
 # Articles with gaps of every kind, made of documents. The text runs in Spark SQL and in ANSI SQL.
 ARTICLE_VIEW = """
@@ -56,12 +57,15 @@ def busy_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language profiles of the labelled documents, trained and stored once per application."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _profile_paths:
+    path = _profile_paths.get(key)
+    stored = present(lambda: spark.read.parquet(path)) if path else None
+    if stored is None:
         path = scratch_path(spark, "profiles")
         labelled = spread(table(spark, sf_dir, "documents", "text", "lang"))
         train_profiles(labelled).write.parquet(path)
         _profile_paths[key] = path
-    return spark.read.parquet(_profile_paths[key])
+        stored = spark.read.parquet(path)
+    return stored
 
 
 def model(spark: SparkSession, sf_dir: str) -> Broadcast:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from broadsheet.functions.language import RESOLUTION
 from broadsheet.functions.text import WHITESPACE
 from broadsheet.operators.extract import BATCH_RULES, STREAM_RULES, SiteRule
-from broadsheet.operators.profiles import RESOLUTION, WEIGHT_SCALE
+from broadsheet.operators.profiles import WEIGHT_SCALE
 from broadsheet.plans.inputs import ARTICLE_VIEW, LINK_KINDS, UNTITLED_EVERY
 from broadsheet.schema import ARTICLE_FIELDS, MIN_CONTENT_LENGTH, MIN_KEYWORD_LENGTH, STOPWORDS, TOP_KEYWORDS
 
@@ -195,7 +196,7 @@ def all_oracles() -> dict[str, str]:
         "text_normalize": f"SELECT page_id, {_normalize(_strip_html('html'))} AS text FROM pages",
         "country_canonical": f"SELECT id, {_country('country')} AS country FROM ({_ARTICLES})",
         "quality_accepted": f"SELECT * FROM ({_ARTICLES}) WHERE {_ACCEPTED_TEST}",
-        "quality_counts": f"""
+        "quality_report": f"""
             SELECT loaded, accepted, loaded - accepted AS rejected FROM (
               SELECT count(*) AS loaded, count(*) FILTER (WHERE {_ACCEPTED_TEST}) AS accepted
               FROM ({_ARTICLES}))""",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from broadsheet.functions.html import INSIDE
 from broadsheet.functions.language import detect_language
 from broadsheet.functions.text import canonical_country, normalize, strip_html
-from broadsheet.operators import gold
+from broadsheet.operators import gold, quality
 from broadsheet.operators.extract import (
     AS_IS,
     BATCH_RULES,
@@ -23,7 +23,7 @@ from broadsheet.operators.extract import (
     to_articles,
 )
 from broadsheet.operators.profiles import train_profiles
-from broadsheet.operators.quality import accepted, quality_report
+from broadsheet.operators.quality import accepted
 from broadsheet.operators.silver import to_silver
 from broadsheet.plans import inputs, medallion
 from broadsheet.schema import ARTICLE_FIELDS
@@ -103,8 +103,8 @@ def quality_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query
-def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_report(inputs.articles(spark, sf_dir))
+def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(inputs.articles(spark, sf_dir))
 
 
 @_query

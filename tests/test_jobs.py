@@ -1,0 +1,34 @@
+import pytest
+
+from broadsheet.__main__ import main
+from broadsheet.schema import PAGE
+
+
+def test_jobs_in_order(spark, tmp_path):
+    at = {name: str(tmp_path / name) for name in ("labelled", "profiles", "pages", "bronze", "silver", "gold", "messages")}
+    labelled = spark.createDataFrame([("en", "the town and the river"), ("fr", "la ville et la rivière")], "lang string, text string")
+    labelled.write.parquet(at["labelled"])
+    cards = "".join(f"<div class='card'><h3>The town number {i}</h3></div>" for i in range(9))
+    spark.createDataFrame([(1, "https://en.hespress.com/", cards)], PAGE).write.parquet(at["pages"])
+
+    def job(name, *options, **extra):
+        given = [f"--{key}={at[key]}" for key in options] + [f"--{key}={value}" for key, value in extra.items()]
+        return main([name, *given])
+
+    job("train", "labelled", "profiles")
+    assert job("extract", "pages", "bronze")["total"] == 8
+    assert job("clean", "bronze", "silver", "profiles") == {"loaded": 8, "accepted": 8, "rejected": 0}
+    assert job("aggregate", "silver", "gold")["gold_articles_per_source"] == 1
+    assert job("run", "pages", "bronze", "silver", "gold", "profiles")["clean"]["loaded"] == 16
+    main(["publish", f"--pages={at['pages']}", f"--messages={at['messages']}", f"--checkpoint={tmp_path}/c1", "--once"])
+    assert spark.read.text(at["messages"]).count() == 5
+    stream_silver = str(tmp_path / "stream-silver")
+    main(["follow", f"--bronze={at['bronze']}", f"--silver={stream_silver}", f"--profiles={at['profiles']}", f"--checkpoint={tmp_path}/c2", "--once"])
+    assert spark.read.parquet(stream_silver).count() == 16
+
+
+@pytest.mark.parametrize("arguments", [["aggregate", "--silver=s"], ["publish", "--pages=p", "--checkpoint=c"], ["clean"]])
+def test_missing_arguments_are_named(arguments, capsys):
+    with pytest.raises(SystemExit):
+        main(arguments)
+    assert "needs --" in capsys.readouterr().err

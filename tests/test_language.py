@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from broadsheet.functions import language
-from broadsheet.functions.language import detect_language, letters, load_model, trigrams
-from broadsheet.operators.profiles import RESOLUTION, WEIGHT_SCALE, train_profiles
+from broadsheet.functions.language import RESOLUTION, detect_language, letters, load_model, trigrams
+from broadsheet.operators.profiles import WEIGHT_SCALE, train_profiles
 
 SAMPLES = {
     "en": "The weather is fine today and the people of the town walk along the river with their children",

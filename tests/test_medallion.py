@@ -63,7 +63,7 @@ def test_bronze_grows_and_the_rest_is_rebuilt(spark, lake, pages, profiles):
 
 
 def test_missing_layers_stop_cleanly(spark, lake, profiles, tmp_path):
-    assert medallion.run_clean(spark, f"{lake.bronze}/*.json", lake.silver, inputs.load_model(profiles)) is None
+    assert medallion.run_clean(spark, lake.bronze, lake.silver, inputs.load_model(profiles)) is None
     assert medallion.run_aggregate(spark, lake.silver, lake.warehouse) is None
     assert not any(tmp_path.iterdir())
 

@@ -27,8 +27,9 @@ def test_bronze_union_missing_fields_and_broken_lines(spark, tmp_path):
     full, partial = record(1, title="Été مرحبا"), record(2)
     del partial["country"], partial["category"]
     (tmp_path / "a_1.json").write_text(json.dumps(full, ensure_ascii=False), encoding="utf-8")
+    (tmp_path / "notes.txt").write_text("{}")
     (tmp_path / "b_2.json").write_text(json.dumps({**partial, "extra": 1}) + "\n" + '{"id": "x", "title": ', encoding="utf-8")
-    df = readers.read_bronze(spark, f"{tmp_path}/*.json")
+    df = readers.read_bronze(spark, str(tmp_path))
     assert df.schema == ARTICLE
     rows = {row.id: row.asDict() for row in df.collect()}
     assert rows["id1"] == full
@@ -47,11 +48,13 @@ def test_append_bronze_adds(spark, tmp_path):
 
 
 def test_missing_path_is_no_data_other_errors_raise(spark, tmp_path):
-    assert readers.present(lambda: readers.read_bronze(spark, f"{tmp_path}/none/*.json")) is None
+    assert readers.present(lambda: readers.read_bronze(spark, f"{tmp_path}/none")) is None
     assert readers.present(lambda: readers.read_silver(spark, f"{tmp_path}/none")) is None
     empty = tmp_path / "empty"
     empty.mkdir()
     assert readers.present(lambda: readers.read_silver(spark, str(empty))) is None
+    (empty / "notes.txt").write_text("no article")
+    assert readers.present(lambda: readers.read_bronze(spark, str(empty))) is None
     with pytest.raises(AnalysisException):
         readers.present(lambda: spark.range(1).select("absent"))
     (tmp_path / "bad.parquet").write_text("no parquet")
