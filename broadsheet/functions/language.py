@@ -16,7 +16,7 @@ from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.functions.text import strip
+from broadsheet.functions.text import LOWER, strip
 from broadsheet.schema import UNKNOWN_LANGUAGE
 
 # Executors then need no copy of this package to run the scoring function.
@@ -31,7 +31,7 @@ RESOLUTION = 100_000
 MAX_LANGUAGES = 100
 
 # A gap to rewrite as one blank: any run of non-letters that is not a lone blank already.
-NOT_LETTER = r"[^\p{L}\p{M}]"
+NOT_LETTER = rf"[[^{LOWER}]&&[^\p{{L}}\p{{M}}]]"
 GAP = rf"{NOT_LETTER}(?:{NOT_LETTER}++|(?<! ))"
 
 CODE_POINT_BITS = 21

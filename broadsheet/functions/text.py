@@ -6,6 +6,9 @@ The silver rules follow Unicode (letters of every script survive); keyword rules
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,31 +31,36 @@ WHITESPACE = (
 # '<' from being scanned twice.
 TAG = r"<[^>\n]*+>"
 
-# White space to rewrite as one blank: any run that is not a lone blank already. The class equals
-# WHITESPACE, in a form that costs the regular-expression engine two tests per character, not ten.
+# The regular-expression engine decides a class of listed ASCII characters by one table look-up, and a
+# Unicode property by several calls. The classes below therefore ask the frequent characters first.
+LOWER = "abcdefghijklmnopqrstuvwxyz"
+WORD_CHARACTERS = LOWER + LOWER.upper() + "0123456789_"
+ASCII_SPACE = r" \t\n\x0b\f\r"
+
+# White space to rewrite as one blank: any run that is not a lone blank already.
 SPACE = r"[\p{IsWhite_Space}\x1c-\x1f]"
-GAP = rf"{SPACE}(?:{SPACE}++|(?<! ))"
+GAP = rf"[[^{LOWER}]&&{SPACE}](?:{SPACE}++|(?<! ))"
 
 # What normalisation deletes: all but letters, digits, underscore, blank and . , ! ? -
-# The inner class of frequent ASCII characters decides most characters with one table look-up.
-NOT_PLAIN = r"[^[abcdefghijklmnopqrstuvwxyz0123456789_ .,!?\-]\p{L}\p{N}]+"
+NOT_PLAIN = rf"[[^{LOWER}0123456789_ .,!?\-]&&[^\p{{L}}\p{{N}}]]+"
 
 # Per mode: the characters deleted before a text is cut into words, and a character of a word then.
 WORD_RULES = {
-    "ascii": (r"[^\w\s]+", r"\w"),
-    "unicode": (r"[^\p{L}\p{N}_\s]+", r"\S"),
+    "ascii": (rf"[^{WORD_CHARACTERS}{ASCII_SPACE}]+", r"\w"),
+    "unicode": (rf"[[^{WORD_CHARACTERS}{ASCII_SPACE}]&&[^\p{{L}}\p{{N}}]]+", r"\S"),
 }
 
 
 def strip(text: Column) -> Column:
-    """Remove Unicode white space at both ends."""
-    return F.btrim(text, F.lit(WHITESPACE))
+    """Remove Unicode white space at both ends; text without any there is passed on as it is."""
+    at_start = F.ascii(text).isin(*map(ord, WHITESPACE))
+    at_end = reduce(or_, map(text.endswith, WHITESPACE))
+    return F.when(at_start | at_end, F.btrim(text, F.lit(WHITESPACE))).otherwise(text)
 
 
 def strip_html(text: Column) -> Column:
     """Remove tags, then outer white space; null gives the empty string. Entities stay encoded."""
-    tagless = F.when(text.contains("<"), F.regexp_replace(text, TAG, "")).otherwise(text)
-    return F.coalesce(strip(tagless), F.lit(""))
+    return strip(F.coalesce(F.regexp_replace(text, TAG, ""), F.lit("")))
 
 
 def normalize(text: Column) -> Column:

@@ -16,7 +16,9 @@ from broadsheet.sources.readers import present
 ARTICLE_VIEW = """
 SELECT CAST(doc_id AS string) AS id,
   CASE WHEN doc_id % 23 = 0 THEN NULL WHEN doc_id % 29 = 0 THEN ''
-       ELSE concat('<b>', split_part(text, chr(10), 1), '</b>') END AS title,
+       WHEN instr(text, chr(10)) > 0
+       THEN concat('<b>', substr(text, 1, instr(text, chr(10)) - 1), '</b>')
+       ELSE concat('<b>', text, '</b>') END AS title,
   concat(source, ' Staff') AS author,
   CASE WHEN doc_id % 31 = 0 THEN NULL
        ELSE concat('2024-01-', lpad(CAST(doc_id % 28 + 1 AS string), 2, '0'), 'T10:00:00.000001')
