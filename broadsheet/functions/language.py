@@ -16,7 +16,7 @@ from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.functions.text import LOWER, strip
+from broadsheet.functions.text import LOWER, PIECE_LENGTH, strip
 from broadsheet.schema import UNKNOWN_LANGUAGE
 
 # Executors then need no copy of this package to run the scoring function.
@@ -48,9 +48,17 @@ def letters(text: Column) -> Column:
     return F.concat(F.lit(" "), runs, F.lit(" "))
 
 
-def trigrams(text: Column) -> Column:
-    """All overlapping three-character windows of :func:`letters`, found in one pass."""
-    return F.regexp_extract_all(letters(text), F.lit(EACH_TRIGRAM), F.lit(1))
+def letter_pieces(text: Column) -> Column:
+    """:func:`letters` as an array of bounded pieces, overlapping so that each window is in one."""
+    run = letters(text)
+    piece = rf"(?s)(?=(.{{1,{PIECE_LENGTH + 2}}})).{{1,{PIECE_LENGTH}}}"
+    cut = F.regexp_extract_all(run, F.lit(piece), F.lit(1))
+    return F.when(F.octet_length(text) > PIECE_LENGTH, cut).otherwise(F.array(run))
+
+
+def trigrams(piece: Column) -> Column:
+    """All overlapping three-character windows of a piece of letters, found in one pass."""
+    return F.regexp_extract_all(piece, F.lit(EACH_TRIGRAM), F.lit(1))
 
 
 def load_model(profiles: DataFrame) -> Broadcast:

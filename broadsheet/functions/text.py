@@ -44,6 +44,8 @@ GAP = rf"[[^{LOWER}]&&{SPACE}](?:{SPACE}++|(?<! ))"
 # What normalisation deletes: all but letters, digits, underscore, blank and . , ! ? -
 NOT_PLAIN = rf"[[^{LOWER}0123456789_ .,!?\-]&&[^\p{{L}}\p{{N}}]]+"
 
+PIECE_LENGTH = 1 << 16
+
 # Per mode: the characters deleted before a text is cut into words, and a character of a word then.
 WORD_RULES = {
     "ascii": (rf"[^{WORD_CHARACTERS}{ASCII_SPACE}]+", r"\w"),
@@ -85,6 +87,15 @@ def publish_day(published: Column) -> Column:
     return F.try_to_date(published)
 
 
+def word_pieces(text: Column) -> Column:
+    """A long text as an array of pieces that end where a word ends; a short one as its only piece.
+
+    What is exploded from a piece then fits in memory however long the text is.
+    """
+    cut = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PIECE_LENGTH}}}\S*+"), F.lit(0))
+    return F.when(F.octet_length(text) > PIECE_LENGTH, cut).otherwise(F.array(text))
+
+
 def keywords(text: Column, mode: str = "ascii") -> Column:
     """The lower-case words of keyword length, as an array, stop words included.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.functions.text import is_stopword, keywords, publish_day
+from broadsheet.functions.text import is_stopword, keywords, publish_day, word_pieces
 from broadsheet.schema import TOP_KEYWORDS
 
 DIMENSIONS = ("publish_day", "source", "category", "country", "language")
@@ -76,7 +76,8 @@ def share_of_total(counts: DataFrame) -> DataFrame:
 
 def word_frequency(texts: DataFrame, text: str, mode: str = "ascii") -> DataFrame:
     return (
-        texts.select(F.explode(keywords(F.col(text), mode)).alias("word"))
+        texts.select(F.explode(word_pieces(F.col(text))).alias("piece"))
+        .select(F.explode(keywords(F.col("piece"), mode)).alias("word"))
         .where(~is_stopword(F.col("word")))
         .groupBy("word")
         .agg(F.count("*").alias("frequency"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.functions.language import RESOLUTION, trigrams
+from broadsheet.functions.language import RESOLUTION, letter_pieces, trigrams
 
 WEIGHT_SCALE = 1_000_000
 
@@ -19,7 +19,8 @@ def train_profiles(
     """
     counts = (
         labelled.where(F.col(label).isNotNull())
-        .select(F.col(label).alias("lang"), F.explode(trigrams(F.col(text))).alias("gram"))
+        .select(F.col(label).alias("lang"), F.explode(letter_pieces(F.col(text))).alias("piece"))
+        .select("lang", F.explode(trigrams(F.col("piece"))).alias("gram"))
         .groupBy("lang", "gram")
         .agg(F.count("*").alias("gram_count"))
     )

@@ -31,7 +31,7 @@ def model_grams(text):
 
 def test_letters_and_trigrams(spark):
     df = spark.createDataFrame([("Le 3 mai, l'été!",), ("x",), ("12",), (None,)], "t string")
-    rows = df.select(letters(F.col("t")).alias("l"), trigrams(F.col("t")).alias("g")).collect()
+    rows = df.select(letters(F.col("t")).alias("l"), trigrams(letters(F.col("t"))).alias("g")).collect()
     assert [row.l for row in rows] == [" le mai l été ", " x ", "  ", None]
     assert [row.g for row in rows][0] == model_grams("Le 3 mai, l'été!")
     assert rows[1].g == [" x "] and rows[2].g == []
@@ -39,7 +39,7 @@ def test_letters_and_trigrams(spark):
 
 def test_trigrams_keep_characters_outside_the_basic_plane(spark):
     text = "a\U00010400b\U00010428"
-    row = spark.createDataFrame([(text,)], "t string").select(trigrams(F.col("t")).alias("g")).first()
+    row = spark.createDataFrame([(text,)], "t string").select(trigrams(letters(F.col("t"))).alias("g")).first()
     lowered = " a\U00010428b\U00010428 "
     assert row.g == [lowered[i : i + 3] for i in range(4)]
 
@@ -55,6 +55,17 @@ def test_profiles_equal_a_plain_count(spark, profiles):
     assert got == expected
 
 
+def test_long_texts_train_the_same_in_pieces(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choices("abé\U00010428", k=rng.randrange(1, 6))) for _ in range(rng.randrange(40))) for _ in range(60)]
+    labelled = spark.createDataFrame([("x", text) for text in texts], "lang string, text string")
+    whole = sorted(map(tuple, train_profiles(labelled).collect()))
+    assert sum(row[2] for row in whole) == sum(len(model_grams(text)) for text in texts)
+    for length in (1, 3, 10):
+        monkeypatch.setattr(language, "PIECE_LENGTH", length)
+        assert sorted(map(tuple, train_profiles(labelled).collect())) == whole
+
+
 def test_rare_grams_are_left_out(spark):
     text = "abc " * (RESOLUTION // 2) + "xyz"
     labelled = spark.createDataFrame([("en", text)], "lang string, text string")

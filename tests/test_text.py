@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from broadsheet.functions import text as text_functions
 from broadsheet.functions.text import (
     GAP,
     SPACE,
@@ -19,6 +20,7 @@ from broadsheet.functions.text import (
     publish_day,
     strip,
     strip_html,
+    word_pieces,
 )
 
 ONE_TEXT = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("x", T.StringType())])
@@ -166,6 +168,22 @@ def test_keywords_equal_split_and_filter(spark, texts):
     assert apply(spark, keywords, texts) == apply(spark, split_and_measure, texts)
 
 
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(TEXTS)
+def test_pieces_hold_the_text_and_its_words(spark, texts):
+    before = text_functions.PIECE_LENGTH
+    text_functions.PIECE_LENGTH = 5
+    try:
+        texts = texts + ["one two three", "unbroken_text", "\n\n\n\n\n\n\n"]
+        pieces = apply(spark, word_pieces, texts)
+        words = apply(spark, lambda x: F.flatten(F.transform(word_pieces(x), lambda piece: keywords(piece))), texts)
+    finally:
+        text_functions.PIECE_LENGTH = before
+    assert ["".join(parts) for parts in pieces] == texts
+    assert pieces[-3:] == [["one two", " three"], ["unbroken_text"], ["\n" * 5, "\n" * 2]]
+    assert words == apply(spark, keywords, texts)
+
+
 def test_stopwords(spark):
     words = ["with", "hespress", "maroc", ""]
     assert apply(spark, is_stopword, words) == [True, True, False, True]
