@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import sys
+from html import entities, unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -72,7 +73,7 @@ class _Item:
 
 class _ItemReader(HTMLParser):
     def __init__(self, rule: dict, candidates: int):
-        super().__init__(convert_charrefs=True)
+        super().__init__(convert_charrefs=False)
         self.tag = rule["item_tag"]
         self.css_class = rule["item_class"]
         self.title_tag = rule["title_tag"]
@@ -93,6 +94,13 @@ class _ItemReader(HTMLParser):
     def handle_data(self, data):
         self.text.append(data)
 
+    def handle_entityref(self, name):
+        # A known name counts with or without its semicolon; an unknown one stays, less the semicolon.
+        self.text.append(entities.html5.get(f"{name};", f"&{name}"))
+
+    def handle_charref(self, name):
+        self.text.append(unescape(f"&#{name};"))
+
     def unknown_decl(self, data):
         self.flush()
         if data.upper().startswith("CDATA["):

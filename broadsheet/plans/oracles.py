@@ -126,8 +126,8 @@ def _with_share(relation: str, key: str) -> str:
 
 
 def _unescaped(text: str) -> str:
-    for entity, raw in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
-        text = f"replace({text}, '{entity}', '{raw}')"
+    for entity, raw in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#x27", "''"), ("nbsp", " "), ("amp", "&")):
+        text = f"regexp_replace({text}, '&{entity};?', '{raw}', 'g')"
     return text
 
 

@@ -38,6 +38,9 @@ def items(page, item_tag, item_class=None, title_tag=None, link=INSIDE, cap=None
     [
         ("<h2>Foo <b>bar</b></h2>", [("Foobar", None)]),
         ("<h2> a &amp; b&nbsp;</h2>", [("a & b", None)]),
+        ("<h2>a&&&amp</h2>", [("a&&&", None)]),
+        ("<h2>&eacute;&hellip x &foo; &#39;&#x2019;&</h2>", [("é… x &foo '\u2019&", None)]),
+        ("<h2>a &lt;b&gt; c</h2>", [("a <b> c", None)]),
         ("<h2>a<!-- c --> b</h2>", [("ab", None)]),
         ("<h2>a<script>var x = '</p>';</script>b<style>p{}</style></h2>", [("ab", None)]),
         ("<H2>up</H2><h2>low</h2>", [("up", None), ("low", None)]),
