@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from broadsheet.llm import words
 from broadsheet.llm.tables import Workspace
@@ -35,7 +36,8 @@ MAX_COVERAGE = 0.8
 # Fixed value: a word of the overlap rule, after A-Z are lower-cased.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-SPAN = pa.struct([(name, pa.int64()) for name in ("first", "last", "start", "stop")])
+SPAN_NAMES = ("first", "last", "start", "stop")
+SPAN = pa.struct([(name, pa.int64()) for name in SPAN_NAMES])
 KINDS = {
     "n_words": pa.int64(),
     "n_hit": pa.int64(),
@@ -43,9 +45,10 @@ KINDS = {
     "item_ids": pa.list_(pa.int64()),
     "spans": pa.list_(SPAN),
 }
-FOUND = (
-    "n_words:long,n_hit:long,longest:long,item_ids:array<long>,"
-    "spans:array<struct<first:long,last:long,start:long,stop:long>>"
+_SPANS = T.ArrayType(T.StructType([T.StructField(name, T.LongType()) for name in SPAN_NAMES]))
+FOUND = T.StructType(
+    [T.StructField(name, T.LongType()) for name in ("n_words", "n_hit", "longest")]
+    + [T.StructField("item_ids", T.ArrayType(T.LongType())), T.StructField("spans", _SPANS)]
 )
 
 
@@ -203,7 +206,7 @@ def overlaps(docs: DataFrame, items: DataFrame, found: str = "found") -> DataFra
 
 
 def _scanner(shared: Broadcast) -> Callable:
-    @F.arrow_udf(f"struct<{FOUND}>")
+    @F.arrow_udf(FOUND)
     def scan_texts(texts: pa.Array) -> pa.Array:
         tables = shared.value
         rows = []
@@ -235,7 +238,7 @@ def _found(rows: list[tuple]) -> pa.Array:
     return pa.StructArray.from_arrays(arrays, list(KINDS))
 
 
-@F.arrow_udf(f"struct<{FOUND}>")
+@F.arrow_udf(FOUND)
 def merged(one: pa.Array, other: pa.Array) -> pa.Array:
     """What two automata found in one text; passages that touch or overlap become one."""
     rows = []
@@ -252,7 +255,7 @@ def merged(one: pa.Array, other: pa.Array) -> pa.Array:
     return _found(rows)
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def without(texts: pa.Array, spans: pa.Array) -> pa.Array:
     """Texts without the given byte ranges."""
     out = []

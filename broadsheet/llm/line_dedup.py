@@ -18,10 +18,11 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from broadsheet.llm import words
 from broadsheet.llm.linking import Similarity, components, link
-from broadsheet.llm.minhash import band_keys, measured, minima
+from broadsheet.llm.minhash import OVERLAP, band_keys, measured, minima
 from broadsheet.llm.tables import Workspace
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -39,6 +40,7 @@ SHIFTS = _random.integers(0, 1 << 32, ROWS * BANDS, dtype=np.uint32)
 BAND_SALT = words.mix(np.arange(1, BANDS + 1, dtype=np.uint64) << np.uint64(8))
 
 LINE_FEED = "\n"
+LINE = T.StructType([T.StructField("place", T.IntegerType()), T.StructField("item", T.LongType())])
 
 
 def comparable(line: bytes) -> bytes:
@@ -72,7 +74,7 @@ def _line_ids(lines: list[bytes]) -> np.ndarray:
     return out.view(np.int64)
 
 
-@F.arrow_udf("array<struct<place:int,item:long>>")
+@F.arrow_udf(T.ArrayType(LINE))
 def line_items(texts: pa.Array) -> pa.Array:
     """The lines of a text that are compared: their places and the ids of their comparable forms."""
     rows = []
@@ -112,7 +114,7 @@ def buckets(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(_bands, "key long, item long")
 
 
-@F.arrow_udf("struct<shared long, total long>")
+@F.arrow_udf(OVERLAP)
 def overlap(text_a: pa.Array, text_b: pa.Array) -> pa.Array:
     """Sizes of intersection and union of the shingle sets of two comparable lines."""
     shared, total = [], []

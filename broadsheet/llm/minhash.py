@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from broadsheet.llm import words
 from broadsheet.llm.linking import Similarity, components, link
@@ -45,6 +46,7 @@ FACTORS = _random.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) +
 SHIFTS = _random.integers(0, 1 << 32, HASHES, dtype=np.uint32)
 BAND_SALT = words.mix(np.arange(1, BANDS + 1, dtype=np.uint64))
 
+OVERLAP = T.StructType([T.StructField("shared", T.LongType()), T.StructField("total", T.LongType())])
 SIGNATURES = "n_shingles long, set_a long, set_b long, bands array<long>, low_bits array<long>"
 
 
@@ -129,7 +131,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     )
 
 
-@F.arrow_udf("struct<shared long, total long>")
+@F.arrow_udf(OVERLAP)
 def overlap(text_a: pa.Array, text_b: pa.Array) -> pa.Array:
     """Sizes of intersection and union of the shingle sets of two texts."""
     shared, total = [], []

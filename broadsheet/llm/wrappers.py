@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from broadsheet.llm.markup import MAIN_TAGS, Element, blocks, parse
 from broadsheet.llm.tables import Workspace
@@ -235,7 +236,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
     return partial.groupBy("host").applyInPandas(_merge, "host string, wrapper string, path array<string>")
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def main_text(htmls: pa.Array, paths: pa.Array) -> pa.Array:
     """Main text of each page, by the wrapper's path, else by the page's own."""
     out = []
