@@ -11,23 +11,23 @@ Lines of fewer than ``MIN_WORDS`` words carry too little to be told from ordinar
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from broadsheet.llm import words
-from broadsheet.llm.linking import Similarity, components, link
-from broadsheet.llm.minhash import OVERLAP, band_keys, measured, minima
-from broadsheet.llm.tables import Workspace
+from broadsheet.llm.linking import Similarity, candidate_rows, components, link
+from broadsheet.llm.minhash import OVERLAP, measured, minima
+from broadsheet.llm.tables import BROADCAST_ROWS, Workspace
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SHINGLE = 8  # characters (bytes of UTF-8)
+SHINGLE = 8  # characters (bytes of UTF-8); a line that is compared has at least nine
 AT_LEAST = 80  # per cent
 MIN_WORDS = 5
 
@@ -36,126 +36,158 @@ ROWS, BANDS = 5, 16
 
 _random = np.random.Generator(np.random.PCG64(words.SEED + 2))
 FACTORS = _random.integers(0, 1 << 31, ROWS * BANDS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-SHIFTS = _random.integers(0, 1 << 32, ROWS * BANDS, dtype=np.uint32)
 BAND_SALT = words.mix(np.arange(1, BANDS + 1, dtype=np.uint64) << np.uint64(8))
 
 LINE_FEED = "\n"
-LINE = T.StructType([T.StructField("place", T.IntegerType()), T.StructField("item", T.LongType())])
-
-
-def comparable(line: bytes) -> bytes:
-    """A line without case and with single blanks; empty if it has too few words to be compared."""
-    parts = line.lower().split()
-    return b" ".join(parts) if len(parts) >= MIN_WORDS else b""
-
-
-def line_sets(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
-    """The sorted distinct character shingles of each text; a text shorter than a shingle is one shingle."""
-    values = words.BYTE_VALUES[data]
-    for low, high in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-        size = min(SHINGLE, high - low)
-        if size == 0:
-            yield values[:0]
-            continue
-        n = high - low - size + 1
-        total = values[low : low + n] * words.PLACE_VALUES[0]
-        for place in range(1, size):
-            total += values[low + place : low + place + n] * words.PLACE_VALUES[place]
-        yield np.unique(words.mix(total))
-
-
-def _line_ids(lines: list[bytes]) -> np.ndarray:
-    """A 64-bit id per line, equal for equal lines."""
-    offsets = np.concatenate([[0], np.cumsum([len(line) for line in lines])]).astype(np.int64)
-    data = np.frombuffer(b"".join(lines), dtype=np.uint8)
-    out = np.zeros(len(lines), dtype=np.uint64)
-    full = np.flatnonzero(np.diff(offsets))
-    out[full] = words.word_hashes(data, offsets[:-1][full], offsets[1:][full], words.BYTE_VALUES)
-    return out.view(np.int64)
-
-
-@F.arrow_udf(T.ArrayType(LINE))
-def line_items(texts: pa.Array) -> pa.Array:
-    """The lines of a text that are compared: their places and the ids of their comparable forms."""
-    rows = []
-    for text in texts.to_pylist():
-        lines = [comparable(line) for line in (text or "").encode().split(b"\n")]
-        places = [place for place, line in enumerate(lines) if line]
-        ids = _line_ids([lines[place] for place in places]).tolist() if places else []
-        rows.append([{"place": place, "item": item} for place, item in zip(places, ids)])
-    return pa.array(rows, pa.list_(pa.struct([("place", pa.int32()), ("item", pa.int64())])))
-
-
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Band keys of the different lines of a batch of texts."""
+
+
+class Lines:
+    """The lines of some texts that are compared, in comparable form: lower case, single blanks, trimmed.
+
+    ``data`` holds them one after another with other bytes between; line ``i`` is ``data[start[i]:stop[i]]``, the
+    line ``place[i]`` of text ``text[i]``.
+    """
+
+    def __init__(self, column: pa.Array):
+        raw, offsets = words.text_bytes(column)
+        starts, stops, _ = words.word_spans(raw, offsets, words.NOT_WHITE)
+        feeds = np.flatnonzero(raw == 0x0A)
+        text_of = np.searchsorted(offsets, starts, side="right") - 1
+        feeds_before = np.searchsorted(feeds, starts)
+        # A line is told apart by its text and the line feeds before it.
+        heads = np.flatnonzero(np.diff(feeds_before, prepend=-1) | np.diff(text_of, prepend=-1))
+        tails = np.append(heads[1:], len(starts))
+        data = words.FOLD[raw]
+        keep = words.NOT_WHITE[raw]
+        inner = np.ones(len(starts), dtype=bool)
+        inner[heads] = False
+        blanks = starts[inner] - 1  # before each word but the first of its line
+        data[blanks] = 0x20
+        keep[blanks] = True
+        new = np.cumsum(keep)
+        full = tails - heads >= MIN_WORDS
+        heads, tails = heads[full], tails[full]
+        self.data = data[keep]
+        self.start, self.stop = new[starts[heads]] - 1, new[stops[tails - 1] - 1]
+        self.text = text_of[heads]
+        self.place = feeds_before[heads] - np.searchsorted(feeds, offsets[self.text])
+        self.rolling = words.Rolling(self.data, words.BYTE_VALUES)
+        self.ids = self.rolling.stretches(self.start, self.stop)
+
+
+def _line_slices(column: pa.Array) -> Iterator[tuple[pa.Array, Lines]]:
+    for _, part in words.slices(column, words.SPAN):
+        yield part, Lines(part)
+
+
+def _listed(counts: np.ndarray, values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), values)
+
+
+def _band_keys(lines: Lines, first: np.ndarray) -> np.ndarray:
+    """The band keys of some lines, a row each."""
+    shingles = lines.rolling.windows(SHINGLE)
+    least = np.empty((len(first), ROWS * BANDS), dtype=np.uint32)
+    starts, ends = lines.start[first].tolist(), (lines.stop[first] - SHINGLE + 1).tolist()
+    for row, (low, high) in enumerate(zip(starts, ends)):
+        least[row] = minima(shingles[low:high], FACTORS)
+    parts = least.reshape(len(first), BANDS, ROWS) * words.PLACE_VALUES[:ROWS]
+    return words.mix(parts.sum(axis=2, dtype=np.uint64) + BAND_SALT)
+
+
+def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places and ids of the lines of each document; band keys beside the first line of its kind in a slice."""
     for batch in batches:
-        for _, part in words.slices(batch.column("text")):
-            lines = {
-                line: None
-                for text in part.to_pylist()
-                for line in map(comparable, (text or "").encode().split(b"\n"))
-                if line
-            }
-            if not lines:
-                continue
-            ids = _line_ids(list(lines))
-            offsets = np.concatenate([[0], np.cumsum([len(line) for line in lines])]).astype(np.int64)
-            data = np.frombuffer(b"".join(lines), dtype=np.uint8)
-            keys = np.empty((len(ids), BANDS), dtype=np.uint64)
-            for row, shingles in enumerate(line_sets(data, offsets)):
-                keys[row] = band_keys(minima(shingles, FACTORS, SHIFTS), ROWS, BAND_SALT)
+        row = 0
+        for part, lines in _line_slices(batch.column("text")):
+            _, first = np.unique(lines.ids, return_index=True)
+            first.sort()
+            counts = np.bincount(lines.text, minlength=len(part))
+            fresh = np.bincount(lines.text[first], minlength=len(part))
+            keys = _band_keys(lines, first)
+            places = pa.StructArray.from_arrays(
+                [pa.array(lines.place, pa.int32()), pa.array(lines.ids.view(np.int64))], ["place", "item"]
+            )
+            bands = pa.StructArray.from_arrays(
+                [
+                    pa.array(lines.ids[first].view(np.int64)),
+                    _listed(np.full(len(first), BANDS), pa.array(keys.reshape(-1).view(np.int64))),
+                ],
+                ["item", "keys"],
+            )
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(ids, BANDS))], names=["key", "item"]
+                [
+                    batch.column("doc_id").slice(row, len(part)),
+                    batch.column("text_id").slice(row, len(part)),
+                    _listed(counts, places),
+                    _listed(fresh, bands),
+                ],
+                names=["doc_id", "text_id", "lines", "fresh"],
             )
+            row += len(part)
 
 
-def buckets(docs: DataFrame) -> DataFrame:
-    """``(key, item)`` for every band of every line, repeated lines of a batch once."""
-    return docs.select("text").mapInArrow(_bands, "key long, item long")
+SIGNED = (
+    "doc_id long, text_id long, lines array<struct<place:int,item:long>>,"
+    " fresh array<struct<item:long,keys:array<long>>>"
+)
+
+
+def _line_sets(column: pa.Array) -> Iterator[np.ndarray]:
+    """The sorted distinct shingles of comparable lines."""
+    for _, part in words.slices(column, words.SPAN):
+        data, offsets = words.text_bytes(part)
+        shingles = words.Rolling(data, words.BYTE_VALUES).windows(SHINGLE)
+        for low, high in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+            yield np.unique(shingles[low : high - SHINGLE + 1])
 
 
 @F.arrow_udf(OVERLAP)
 def overlap(text_a: pa.Array, text_b: pa.Array) -> pa.Array:
     """Sizes of intersection and union of the shingle sets of two comparable lines."""
     shared, total = [], []
-    for a, b in zip(line_sets(*words.text_bytes(text_a)), line_sets(*words.text_bytes(text_b))):
+    for a, b in zip(_line_sets(text_a), _line_sets(text_b)):
         both = len(np.intersect1d(a, b, assume_unique=True))
         shared.append(both)
         total.append(len(a) + len(b) - both)
     return pa.StructArray.from_arrays([pa.array(shared, pa.int64()), pa.array(total, pa.int64())], ["shared", "total"])
 
 
-def _line_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, part in words.slices(batch.column("text")):
-            lines = list(
-                dict.fromkeys(
-                    line
-                    for text in part.to_pylist()
-                    for line in map(comparable, (text or "").encode().split(b"\n"))
-                    if line
+def _line_texts(wanted: Broadcast | None) -> Callable:
+    """Ids and comparable forms of the lines, of those whose id is in a sorted array if one is given."""
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, lines in _line_slices(batch.column("text")):
+                ids, first = np.unique(lines.ids.view(np.int64), return_index=True)
+                if wanted is not None:
+                    at = np.searchsorted(wanted.value, ids)
+                    at[at == len(wanted.value)] = 0
+                    among = wanted.value[at] == ids if len(wanted.value) else np.zeros(len(ids), dtype=bool)
+                    ids, first = ids[among], first[among]
+                starts, stops = lines.start[first].tolist(), lines.stop[first].tolist()
+                found = [lines.data[low:high].tobytes() for low, high in zip(starts, stops)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids), pa.array(found, pa.binary()).cast(pa.string())], names=["item", "text"]
                 )
-            )
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_line_ids(lines), pa.int64()), pa.array([x.decode() for x in lines], pa.string())],
-                names=["item", "text"],
-            )
 
+    return texts
 
-class _Candidates:
-    """Measures candidate pairs on the texts of the lines in them, which are written once."""
 
-    def __init__(self, docs: DataFrame, work: Workspace):
-        self.docs, self.work = docs, work
-        self.written: DataFrame | None = None
+def line_texts(docs: DataFrame, needed: DataFrame, work: Workspace) -> DataFrame:
+    """``(item, text)`` of the lines whose ids are ``needed``.
 
-    def measure(self, pairs: DataFrame) -> DataFrame:
-        if self.written is None:
-            needed = pairs.select(F.explode(F.array("a", "b")).alias("item")).distinct()
-            lines = self.docs.select("text").mapInArrow(_line_texts, "item long, text string")
-            found = lines.join(needed, "item", "left_semi").groupBy("item").agg(F.min("text").alias("text"))
-            self.written = self.work.keep(found)
-        return measured(pairs, self.written, overlap)
+    Few ids, counted, are sent to the tasks; more are joined.
+    """
+    needed = work.keep(needed)
+    few = needed.count() <= BROADCAST_ROWS
+    wanted = None
+    if few:
+        ids = np.sort(needed.toArrow()["item"].to_numpy())
+        wanted = docs.sparkSession.sparkContext.broadcast(ids)
+    lines = docs.select("text").mapInArrow(_line_texts(wanted), "item long, text string")
+    lines = lines if few else lines.join(needed, "item", "left_semi")
+    return work.keep(lines.groupBy("item").agg(F.min("text").alias("text")))
 
 
 def repeated_lines(docs: DataFrame, work: Workspace) -> DataFrame:
@@ -164,9 +196,14 @@ def repeated_lines(docs: DataFrame, work: Workspace) -> DataFrame:
     Rows that agree in doc_id and text are one document.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = docs.select("doc_id", _text_id(), line_items("text").alias("lines"))
-    lines = work.keep(rows.where(F.size("lines") > 0))
-    links = link(buckets(docs), Similarity(_Candidates(docs, work).measure, AT_LEAST), work)
+    signed = docs.select("doc_id", _text_id(), "text").mapInArrow(_sign, SIGNED)
+    signed = work.keep(signed.where(F.size("lines") > 0))
+    lines = signed.select("doc_id", "text_id", "lines")
+    banded = signed.select(F.explode("fresh").alias("line")).select("line.item", "line.keys")
+    candidates = candidate_rows(banded.select(F.explode("keys").alias("key"), "item"), work)
+    needed = candidates.select(F.explode(F.array("item", "leader")).alias("item")).distinct()
+    texts = line_texts(docs, needed, work)
+    links = link(candidates, Similarity(lambda pairs: measured(pairs, texts, overlap), AT_LEAST), work)
     roots = components(links, work)
     line = lines.select("doc_id", "text_id", F.explode("lines").alias("line")).select("doc_id", "text_id", "line.*")
     # The first line of every item, then of every component: both combine before the shuffle.
@@ -196,7 +233,7 @@ def dedup_lines(docs: DataFrame, label: str = "line-dedup") -> DataFrame:
     )
     text = F.col("text").cast("string")
     joined = docs.join(
-        work.keep(places),
+        work.small(work.keep(places)),
         docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__text")),
         "left",
     )

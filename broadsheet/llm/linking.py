@@ -1,11 +1,13 @@
 """Similarity links inside candidate buckets, and the connected components they form.
 
-Items that share a bucket key are candidates. A bucket is never paired with itself as a whole: in each
-round its smallest item is the leader and every other item is compared with the leader only. Linked items
-leave the bucket, the others go on to the next round. What the leader cannot settle is settled exactly: the
+Items that share a bucket key are candidates. A bucket is never paired with itself as a whole. First every item
+is compared with one leader, the smallest item of a bucket, at a time, until buckets that lie in one component
+are known and dropped. In those that remain, every item is compared with the leader; linked items leave the
+bucket, the others go on to the next round. What the leader cannot settle is settled exactly: the
 distance ``1 - Jaccard`` is a metric, so an item ``y`` can be linked to an item ``x`` that left with leader
 ``a`` only if ``distance(y, a) - distance(x, a)`` does not exceed the threshold. Such pairs, and what remains
-when the buckets have become small, are compared directly unless they are in one component already.
+when its pairs are no more than the rows of all buckets (twice as many with each further round), are compared
+directly unless they are in one component already.
 """
 
 from __future__ import annotations
@@ -18,10 +20,6 @@ from pyspark.sql import functions as F
 
 from broadsheet.llm.tables import Workspace
 
-# Rounds go on while the pairs left over exceed the items by this factor.
-PAIRS_PER_ITEM = 2
-
-
 @dataclass(frozen=True)
 class Similarity:
     """``measure`` turns distinct pairs ``(a, b)`` into ``(a, b, shared, total)``, the sizes of intersection
@@ -39,16 +37,32 @@ class Similarity:
         return F.col("shared") * 100 >= F.col("total") * self.at_least
 
 
-def link(buckets: DataFrame, similarity: Similarity, work: Workspace) -> DataFrame:
-    """All links ``(a, b)``, a < b, needed to connect the items of ``buckets`` ``(key, item)``.
+def candidate_rows(buckets: DataFrame, work: Workspace) -> DataFrame:
+    """``(key, item, leader)`` for all but the smallest item, the leader, of every bucket ``(key, item)``."""
+    shared = buckets.groupBy("key").agg(
+        F.min("item").alias("leader"), F.max("item").alias("last"), F.count("*").alias("n")
+    )
+    shared = work.keep(shared.where("leader < last"))
+    # A bucket of two is known by its smallest and largest item; only larger ones are looked up again.
+    two = shared.where("n = 2").select("key", F.col("last").alias("item"), "leader")
+    more = work.small(work.keep(shared.where("n > 2").select("key", "leader")))
+    members = buckets.join(more, "key").where("item > leader").select("key", "item", "leader").distinct()
+    return work.keep(two.union(members))
+
+
+def link(active: DataFrame, similarity: Similarity, work: Workspace) -> DataFrame:
+    """Links ``(a, b)`` that connect the items of :func:`candidate_rows`.
 
-    The links returned have the same components as the graph of all linked candidate pairs.
+    They have the same components as the graph of all linked pairs that share a bucket.
     """
-    shared = buckets.groupBy("key").agg(F.min("item").alias("leader"), F.max("item").alias("last"))
-    shared = shared.where("leader < last").select("key", "leader")
-    members = buckets.join(shared, "key").where("item > leader")
-    active = work.keep(members.select("key", "item", "leader").distinct())
-    links, near = [], []
+    most_pairs = active.count()
+    links = [_first_links(active, similarity, work)]
+    roots = components(links[0], work)
+    # A bucket that lies in one component is settled.
+    mixed = _with_root(_with_root(active, roots, "item"), roots, "leader").where("root_item <> root_leader")
+    mixed = work.small(work.keep(mixed.select("key").distinct()))
+    active = work.keep(active.join(mixed, "key", "left_semi"))
+    near = []
     while True:
         pairs = active.select(F.col("leader").alias("a"), F.col("item").alias("b")).distinct()
         measured = work.keep(similarity.measure(pairs))
@@ -60,33 +74,67 @@ def link(buckets: DataFrame, similarity: Similarity, work: Workspace) -> DataFra
         )
         judged = work.keep(judged.withColumn("linked", F.coalesce(similarity.linked(), F.lit(False))))
         near.append(_unsettled(judged, similarity))
-        rest = judged.where("not linked").select("key", "item")
-        next_leader = rest.groupBy("key").agg(F.min("item").alias("leader"), F.count("*").alias("n"))
-        next_leader = work.keep(next_leader.where("n > 1"))
-        left = next_leader.agg(
-            F.sum(F.expr("n * (n - 1) / 2")).alias("pairs"), F.sum("n").alias("items")
-        ).first()
-        if not left["items"]:
+        roots = components(_union(links), work)
+        rest = work.keep(_with_root(judged.where("not linked").select("key", "item"), roots, "item"))
+        same = rest.groupBy("key", "root_item").agg(F.count("*").alias("n"), F.min("item").alias("leader"))
+        keys = same.groupBy("key").agg(
+            F.min("leader").alias("leader"),
+            F.sum("n").alias("n"),
+            ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"),
+        )
+        keys = work.keep(keys.where("pairs > 0"))
+        pairs_left = keys.agg(F.sum("pairs")).first()[0] or 0
+        if not pairs_left:
             break
-        if left["pairs"] <= PAIRS_PER_ITEM * left["items"]:
-            both = rest.join(next_leader.select("key"), "key")
-            pairs = both.alias("x").join(both.alias("y"), F.expr("x.key = y.key and x.item < y.item"))
+        if pairs_left <= most_pairs:
+            open_rows = rest.join(work.small(keys.select("key")), "key")
+            x, y = open_rows.alias("x"), open_rows.alias("y")
+            pairs = x.join(y, F.expr("x.key = y.key and x.item < y.item and x.root_item <> y.root_item"))
             near.append(pairs.select(F.col("x.item").alias("a"), F.col("y.item").alias("b")))
             break
-        active = work.keep(rest.join(next_leader.select("key", "leader"), "key").where("item > leader"))
-    found = work.keep(_union(links))
-    open_pairs = _union(near).distinct()
+        most_pairs *= 2
+        active = rest.join(keys.select("key", "leader"), "key").where("item > leader")
+        active = work.keep(active.select("key", "item", "leader"))
+    found = work.keep(_union(links).distinct())
     roots = components(found, work)
-    for side in ("a", "b"):
-        root = roots.select(F.col("item").alias(side), F.col("root").alias(f"root_{side}"))
-        open_pairs = open_pairs.join(root, side, "left")
-    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
-    open_pairs = work.keep(open_pairs.where(apart).select("a", "b"))
+    open_pairs = work.keep(_apart(_union(near).distinct(), roots))
     if open_pairs.isEmpty():
         return found
     return found.union(similarity.measure(open_pairs).where(similarity.linked()).select("a", "b"))
 
 
+def _first_links(active: DataFrame, similarity: Similarity, work: Workspace) -> DataFrame:
+    """Links that join most of what is linked, from one pair per item at a time.
+
+    Every item is compared with the smallest leader it has not met yet, then the pairs that lie in one
+    component are dropped, until that no longer halves the pairs that are left.
+    """
+    pairs = work.keep(active.select(F.col("leader").alias("a"), F.col("item").alias("b")).distinct())
+    n, found = pairs.count(), []
+    while True:
+        chosen = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+        measured = work.keep(similarity.measure(chosen))
+        found.append(measured.where(similarity.linked()).select("a", "b"))
+        met = pairs.join(chosen.select(F.col("a").alias("met"), "b"), "b").where("a > met").select("a", "b")
+        left = work.keep(_apart(met, components(_union(found), work)))
+        before, n = n, left.count()
+        if n * 2 > before or not n:
+            return work.keep(_union(found))
+        pairs = left
+
+
+def _with_root(rows: DataFrame, roots: DataFrame, side: str) -> DataFrame:
+    """``root_<side>``: the root of the item in a column; an item without links is its own."""
+    root = roots.select(F.col("item").alias("__item"), F.col("root").alias("__root"))
+    joined = rows.join(root, F.col(side) == F.col("__item"), "left")
+    return joined.withColumn(f"root_{side}", F.coalesce("__root", side)).drop("__item", "__root")
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of different components."""
+    return _with_root(_with_root(pairs, roots, "a"), roots, "b").where("root_a <> root_b").select("a", "b")
+
+
 def _unsettled(judged: DataFrame, similarity: Similarity) -> DataFrame:
     """Pairs of one bucket, one linked to the leader and one not, that the leader leaves open."""
     x, y = judged.where("linked").alias("x"), judged.where("not linked").alias("y")

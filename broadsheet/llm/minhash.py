@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from broadsheet.llm import words
-from broadsheet.llm.linking import Similarity, components, link
+from broadsheet.llm.linking import Similarity, candidate_rows, components, link
 from broadsheet.llm.tables import Workspace
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -43,20 +43,24 @@ ESTIMATE_FLOOR = 0.3
 
 _random = np.random.Generator(np.random.PCG64(words.SEED + 1))
 FACTORS = _random.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-SHIFTS = _random.integers(0, 1 << 32, HASHES, dtype=np.uint32)
 BAND_SALT = words.mix(np.arange(1, BANDS + 1, dtype=np.uint64))
 
 OVERLAP = T.StructType([T.StructField("shared", T.LongType()), T.StructField("total", T.LongType())])
 SIGNATURES = "n_shingles long, set_a long, set_b long, bands array<long>, low_bits array<long>"
 
 
-def minima(shingles: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np.ndarray:
-    """The smallest value of each hash function over a set of 64-bit shingles."""
+SCRATCH = np.empty(1 << 18, dtype=np.uint32)
+
+
+def minima(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """The smallest value of each hash function, a product modulo 2^32, over a set of 64-bit shingles."""
     small = (shingles >> np.uint64(32)).astype(np.uint32)
+    step = len(SCRATCH) // len(factors)
     out = np.full(len(factors), 0xFFFFFFFF, dtype=np.uint32)
-    step = max(1, (1 << 18) // len(factors))
     for low in range(0, len(small), step):
-        values = factors[:, None] * small[None, low : low + step] + shifts[:, None]
+        part = small[low : low + step]
+        values = SCRATCH[: len(factors) * len(part)].reshape(len(factors), len(part))
+        np.multiply(factors[:, None], part, out=values)
         np.minimum(out, values.min(axis=1), out=out)
     return out
 
@@ -106,7 +110,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(shingles):
                 set_a.append(None), set_b.append(None), bands.append(None), bits.append(None)
                 continue
-            least = minima(shingles, FACTORS, SHIFTS)
+            least = minima(shingles, FACTORS)
             set_a.append(shingles.sum(dtype=np.uint64).view(np.int64))
             set_b.append(words.mix(shingles + np.uint64(1)).sum(dtype=np.uint64).view(np.int64))
             bands.append(band_keys(least, ROWS, BAND_SALT).view(np.int64))
@@ -169,8 +173,10 @@ def near_duplicates(docs: DataFrame, label: str = "minhash") -> DataFrame:
     buckets = items.select(F.explode("bands").alias("key"), "item")
     low_bits = items.select("item", "low_bits")
     texts = docs.select(F.col("doc_id").cast("long").alias("item"), F.col("text").cast("string"))
-    candidates = _Candidates(texts, low_bits, work)
-    links = link(buckets, Similarity(candidates.measure, AT_LEAST), work)
+    candidates = candidate_rows(buckets, work)
+    needed = candidates.select(F.explode(F.array("item", "leader")).alias("item")).distinct()
+    measure = _Candidates(texts, low_bits, needed, work).measure
+    links = link(candidates, Similarity(measure, AT_LEAST), work)
     # A document row belongs to the item of its set; rows of one doc_id with several sets join these sets.
     own = signed.join(members, ["set_a", "set_b", "n_shingles"], "left").select("doc_id", "n_shingles", "item")
     own = work.keep(own)
@@ -198,12 +204,12 @@ def representatives(docs: DataFrame, label: str = "minhash") -> DataFrame:
 class _Candidates:
     """Measures candidate pairs: by packed signatures first, then on the texts of those that pass.
 
-    The texts of documents that are in some pair are written once, so that the rounds do not read and
-    shuffle all documents again; documents of later pairs are among those of the first round's buckets.
+    The texts of the documents ``needed``, those with company in a bucket, are written once, so that the
+    rounds do not read and shuffle all documents again.
     """
 
-    def __init__(self, texts: DataFrame, low_bits: DataFrame, work: Workspace):
-        self.texts, self.low_bits, self.work = texts, low_bits, work
+    def __init__(self, texts: DataFrame, low_bits: DataFrame, needed: DataFrame, work: Workspace):
+        self.texts, self.low_bits, self.needed, self.work = texts, low_bits, needed, work
         self.written: DataFrame | None = None
 
     def measure(self, pairs: DataFrame) -> DataFrame:
@@ -215,6 +221,6 @@ class _Candidates:
         close = signed.where(estimate(F.col("bits_a"), F.col("bits_b")) >= ESTIMATE_FLOOR)
         close = self.work.keep(close.select("a", "b"))
         if self.written is None:
-            needed = pairs.select(F.explode(F.array("a", "b")).alias("item")).distinct()
+            needed = self.work.small(self.work.keep(self.needed))
             self.written = self.work.keep(self.texts.join(needed, "item", "left_semi"))
         return measured(close, self.written, overlap)

@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from broadsheet.session import scratch_path
 
 
+# A written table of so many rows of a few numbers may be broadcast (some 30 MB); beyond, joins shuffle.
+BROADCAST_ROWS = 500_000
+
+
 def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
@@ -27,6 +32,10 @@ class Workspace:
         df.write.parquet(path)
         return self.spark.read.schema(schema).parquet(path)
 
+    def small(self, kept: DataFrame) -> DataFrame:
+        """A kept table, marked for broadcast if its rows, counted, are few."""
+        return F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept
+
     def forget(self, df: DataFrame) -> None:
         """Remove a table that :meth:`keep` wrote and that no later result reads."""
         for file in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:

@@ -34,6 +34,8 @@ _random = np.random.Generator(np.random.PCG64(SEED))
 BYTE_VALUES = _random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 FOLDED_VALUES = BYTE_VALUES.copy()
 FOLDED_VALUES[CAPITALS] = BYTE_VALUES[[c + 32 for c in CAPITALS]]
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[CAPITALS] += 32
 PLACE_VALUES = _random.integers(0, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -73,7 +75,28 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 _POWERS = _powers(MULTIPLIER, SPAN)
-_INVERSE = _powers(pow(MULTIPLIER, -1, 1 << 64), SPAN)
+_INVERSE_MULTIPLIER = pow(MULTIPLIER, -1, 1 << 64)
+_INVERSE = _powers(_INVERSE_MULTIPLIER, SPAN)
+
+
+class Rolling:
+    """Hashes of any stretches of some bytes from one running sum."""
+
+    def __init__(self, data: np.ndarray, values: np.ndarray):
+        n = len(data)
+        self.inverse = _INVERSE if n < SPAN else _powers(_INVERSE_MULTIPLIER, n + 1)
+        self.sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(values[data] * (_POWERS if n <= SPAN else _powers(MULTIPLIER, n))[:n], out=self.sums[1:])
+
+    def stretches(self, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """A number per stretch, equal for equal bytes."""
+        raw = (self.sums[stops] - self.sums[starts]) * self.inverse[starts]
+        return mix(raw + (stops - starts).astype(np.uint64) * np.uint64(MULTIPLIER))
+
+    def windows(self, size: int) -> np.ndarray:
+        """A number per window of ``size`` bytes."""
+        n = len(self.sums) - size
+        return mix((self.sums[size:] - self.sums[:n]) * self.inverse[:n]) if n > 0 else self.sums[:0]
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -81,15 +104,12 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, values:
     out = np.empty(len(starts), dtype=np.uint64)
     low = 0
     while low < len(starts):
-        high = max(low + 1, int(np.searchsorted(stops, starts[low] + SPAN, side="right")))
+        high = max(low + 1, int(np.searchsorted(stops, starts[low] + SPAN - 1, side="right")))
         begin, end = int(starts[low]), int(stops[high - 1])
-        powers = _POWERS if end - begin <= SPAN else _powers(MULTIPLIER, end - begin)
-        sums = np.zeros(end - begin + 1, dtype=np.uint64)
-        np.cumsum(values[data[begin:end]] * powers[: end - begin], out=sums[1:])
-        at = starts[low:high] - begin
-        out[low:high] = (sums[stops[low:high] - begin] - sums[at]) * _INVERSE[at]
+        rolling = Rolling(data[begin:end], values)
+        out[low:high] = rolling.stretches(starts[low:high] - begin, stops[low:high] - begin)
         low = high
-    return mix(out + (stops - starts).astype(np.uint64) * np.uint64(MULTIPLIER))
+    return out
 
 
 def windows(words: np.ndarray, size: int) -> np.ndarray:
