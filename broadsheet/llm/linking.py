@@ -28,6 +28,8 @@ class Similarity:
 
     measure: Callable[[DataFrame], DataFrame]
     at_least: int
+    # Like measure, for pairs of which only the links matter; may leave out what cannot be linked.
+    confirm: Callable[[DataFrame], DataFrame] | None = None
 
     @property
     def far(self) -> int:
@@ -58,10 +60,7 @@ def link(active: DataFrame, similarity: Similarity, work: Workspace) -> DataFram
     most_pairs = active.count()
     links = [_first_links(active, similarity, work)]
     roots = components(links[0], work)
-    # A bucket that lies in one component is settled.
-    mixed = _with_root(_with_root(active, roots, "item"), roots, "leader").where("root_item <> root_leader")
-    mixed = work.small(work.keep(mixed.select("key").distinct()))
-    active = work.keep(active.join(mixed, "key", "left_semi"))
+    active = _mixed(active, roots, work)
     near = []
     while True:
         pairs = active.select(F.col("leader").alias("a"), F.col("item").alias("b")).distinct()
@@ -72,10 +71,11 @@ def link(active: DataFrame, similarity: Similarity, work: Workspace) -> DataFram
             ["leader", "item"],
             "left",
         )
-        judged = work.keep(judged.withColumn("linked", F.coalesce(similarity.linked(), F.lit(False))))
-        near.append(_unsettled(judged, similarity))
+        judged = judged.withColumn("linked", F.coalesce(similarity.linked(), F.lit(False)))
         roots = components(_union(links), work)
-        rest = work.keep(_with_root(judged.where("not linked").select("key", "item"), roots, "item"))
+        judged = work.keep(_with_root(judged, roots, "item"))
+        near.append(_unsettled(judged, similarity))
+        rest = judged.where("not linked").select("key", "item", "root_item")
         same = rest.groupBy("key", "root_item").agg(F.count("*").alias("n"), F.min("item").alias("leader"))
         keys = same.groupBy("key").agg(
             F.min("leader").alias("leader"),
@@ -100,7 +100,8 @@ def link(active: DataFrame, similarity: Similarity, work: Workspace) -> DataFram
     open_pairs = work.keep(_apart(_union(near).distinct(), roots))
     if open_pairs.isEmpty():
         return found
-    return found.union(similarity.measure(open_pairs).where(similarity.linked()).select("a", "b"))
+    confirm = similarity.confirm or similarity.measure
+    return found.union(confirm(open_pairs).where(similarity.linked()).select("a", "b"))
 
 
 def _first_links(active: DataFrame, similarity: Similarity, work: Workspace) -> DataFrame:
@@ -123,6 +124,13 @@ def _first_links(active: DataFrame, similarity: Similarity, work: Workspace) ->
         pairs = left
 
 
+def _mixed(active: DataFrame, roots: DataFrame, work: Workspace) -> DataFrame:
+    """The rows of buckets that lie in several components; the others are settled."""
+    rooted = _with_root(_with_root(active, roots, "item"), roots, "leader")
+    keys = rooted.where("root_item <> root_leader").select("key").distinct()
+    return work.keep(active.join(work.small(work.keep(keys)), "key", "left_semi"))
+
+
 def _with_root(rows: DataFrame, roots: DataFrame, side: str) -> DataFrame:
     """``root_<side>``: the root of the item in a column; an item without links is its own."""
     root = roots.select(F.col("item").alias("__item"), F.col("root").alias("__root"))
@@ -136,13 +144,15 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _unsettled(judged: DataFrame, similarity: Similarity) -> DataFrame:
-    """Pairs of one bucket, one linked to the leader and one not, that the leader leaves open."""
+    """Pairs of one bucket, one linked to the leader and one not, that lie in different components and that
+    the leader leaves open."""
     x, y = judged.where("linked").alias("x"), judged.where("not linked").alias("y")
     # y is not far from the leader, and their distances to it differ by the threshold at most.
     open_to = F.col("y.shared") * 100 >= F.col("y.total") * similarity.far
     gap = F.expr("y.total * x.shared - x.total * y.shared") * 100
     within = gap <= F.expr("x.total * y.total") * (100 - similarity.at_least)
-    pairs = x.join(y.where(open_to), (F.col("x.key") == F.col("y.key")) & within)
+    apart = F.col("x.root_item") != F.col("y.root_item")
+    pairs = x.join(y.where(open_to), (F.col("x.key") == F.col("y.key")) & apart & within)
     return pairs.select(
         F.least("x.item", "y.item").alias("a"), F.greatest("x.item", "y.item").alias("b")
     )

@@ -40,6 +40,8 @@ BY_CHANCE = 0.5**LOW_BITS
 # Pairs estimated below this are not confirmed. It lies five standard deviations below a similarity of 0.5,
 # under which a pair can decide nothing (linking.Similarity.far).
 ESTIMATE_FLOOR = 0.3
+# The same distance below the threshold, for pairs of which only a link matters.
+LINK_FLOOR = 0.58
 
 _random = np.random.Generator(np.random.PCG64(words.SEED + 1))
 FACTORS = _random.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -175,8 +177,8 @@ def near_duplicates(docs: DataFrame, label: str = "minhash") -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("item"), F.col("text").cast("string"))
     candidates = candidate_rows(buckets, work)
     needed = candidates.select(F.explode(F.array("item", "leader")).alias("item")).distinct()
-    measure = _Candidates(texts, low_bits, needed, work).measure
-    links = link(candidates, Similarity(measure, AT_LEAST), work)
+    pairs = _Candidates(texts, low_bits, needed, work)
+    links = link(candidates, Similarity(pairs.measure, AT_LEAST, pairs.confirm), work)
     # A document row belongs to the item of its set; rows of one doc_id with several sets join these sets.
     own = signed.join(members, ["set_a", "set_b", "n_shingles"], "left").select("doc_id", "n_shingles", "item")
     own = work.keep(own)
@@ -212,13 +214,16 @@ class _Candidates:
         self.texts, self.low_bits, self.needed, self.work = texts, low_bits, needed, work
         self.written: DataFrame | None = None
 
-    def measure(self, pairs: DataFrame) -> DataFrame:
+    def confirm(self, pairs: DataFrame) -> DataFrame:
+        return self.measure(pairs, LINK_FLOOR)
+
+    def measure(self, pairs: DataFrame, floor: float = ESTIMATE_FLOOR) -> DataFrame:
         signed = pairs
         for side in ("a", "b"):
             signed = signed.join(
                 self.low_bits.select(F.col("item").alias(side), F.col("low_bits").alias(f"bits_{side}")), side
             )
-        close = signed.where(estimate(F.col("bits_a"), F.col("bits_b")) >= ESTIMATE_FLOOR)
+        close = signed.where(estimate(F.col("bits_a"), F.col("bits_b")) >= floor)
         close = self.work.keep(close.select("a", "b"))
         if self.written is None:
             needed = self.work.small(self.work.keep(self.needed))
