@@ -199,7 +199,8 @@ def judge(docs: DataFrame, folder: str = FOLDER, name: str = PIECE_BPE, label: s
     repeats = F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED
     measured = measures(docs, folder, name)
     measured = work.keep(measured.withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | repeats))
-    allowed = bands(measured.where("not base_failed")).drop("n_docs")
+    # A row per language or script.
+    allowed = work.small(work.keep(bands(measured.where("not base_failed")).drop("n_docs")))
     judged = measured.withColumn("group", _group()).join(allowed, "group", "left")
     inside = ~F.col("base_failed")
     wider = F.greatest(F.lit(1.0), FULL_LENGTH / F.nullif(F.col("n_tokens"), F.lit(0)))
