@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import sys
+from collections import Counter
 from html import entities, unescape
 from html.parser import HTMLParser
 
@@ -80,6 +81,7 @@ class _ItemReader(HTMLParser):
         self.cap = rule["cap"]
         self.candidates = candidates  # item start tags still to come, at most
         self.open = []
+        self.open_names = Counter()
         self.links = []  # (depth, href) of the open links
         self.muted = 0
         self.text = []
@@ -143,6 +145,7 @@ class _ItemReader(HTMLParser):
                 self.items.append(item)
                 self.live.append(item)
         self.open.append(tag)
+        self.open_names[tag] += 1
         self.muted += tag in MUTED_TAGS
         if tag == "a":
             self.links.append((depth, href))
@@ -151,7 +154,7 @@ class _ItemReader(HTMLParser):
 
     def handle_endtag(self, tag):
         self.flush()
-        if tag in self.open:
+        if self.open_names[tag]:
             while self.pop() != tag:
                 pass
 
@@ -176,6 +179,7 @@ class _ItemReader(HTMLParser):
     def pop(self) -> str:
         depth = len(self.open)
         tag = self.open.pop()
+        self.open_names[tag] -= 1
         self.muted -= tag in MUTED_TAGS
         if self.links and self.links[-1][0] == depth:
             self.links.pop()

@@ -25,10 +25,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MIN_DETECT_LENGTH = 10
 EACH_TRIGRAM = r"(?s)(?=(...))."
 
-# A gram stays in a profile when it makes up at least 1/RESOLUTION of its language's grams, hence at
-# most RESOLUTION grams per language. An unseen gram counts as half that share.
-RESOLUTION = 100_000
-MAX_LANGUAGES = 100
+# A model of more grams is refused before any is fetched: some 100 MB for ten languages.
+MAX_MODEL_ROWS = 5_000_000
 
 # A gap to rewrite as one blank: any run of non-letters that is not a lone blank already.
 NOT_LETTER = rf"[[^{LOWER}]&&[^\p{{L}}\p{{M}}]]"
@@ -51,7 +49,8 @@ def letters(text: Column) -> Column:
 def letter_pieces(text: Column) -> Column:
     """:func:`letters` as an array of bounded pieces, overlapping so that each window is in one."""
     run = letters(text)
-    piece = rf"(?s)(?=(.{{1,{PIECE_LENGTH + 2}}})).{{1,{PIECE_LENGTH}}}"
+    # Possessive: the engine recurses on a counted dot that may give characters back.
+    piece = rf"(?s)(?=(.{{1,{PIECE_LENGTH + 2}}}+)).{{1,{PIECE_LENGTH}}}+"
     cut = F.regexp_extract_all(run, F.lit(piece), F.lit(1))
     return F.when(F.octet_length(text) > PIECE_LENGTH, cut).otherwise(F.array(run))
 
@@ -64,18 +63,14 @@ def trigrams(piece: Column) -> Column:
 def load_model(profiles: DataFrame) -> Broadcast:
     """Broadcast a profile table ``(lang, gram, weight)`` as a hash table of arrays.
 
-    A profile keeps only grams above a fixed share of their language
-    (:func:`broadsheet.operators.profiles.train_profiles`), so its size has a bound that does not
-    depend on the amount of training text; a table beyond the bound is refused.
+    Its size is that of the alphabets' trigrams, not of the text trained on. It is counted first, and a table
+    beyond ``MAX_MODEL_ROWS`` or ``MAX_MODEL_BYTES`` is refused.
     """
-    limit = MAX_LANGUAGES * RESOLUTION
-    table = profiles.select("lang", "gram", "weight").limit(limit + 1).toArrow()
-    if table.num_rows > limit:
-        raise ValueError(f"profile table exceeds its bound of {limit} rows")
+    size = profiles.agg(F.count("*").alias("n"), F.count_distinct("gram").alias("grams"), F.count_distinct("lang").alias("langs")).first()
+    if size["n"] > MAX_MODEL_ROWS or size["grams"] * size["langs"] * 4 > MAX_MODEL_BYTES:
+        raise ValueError(f"profile table of {size['n']} rows is too large to broadcast")
+    table = profiles.select("lang", "gram", "weight").toArrow()
     model = _index(table["lang"].to_pylist(), table["gram"].to_pylist(), table["weight"].to_pylist())
-    size = sum(part.nbytes for part in model.values() if isinstance(part, np.ndarray))
-    if size > MAX_MODEL_BYTES:
-        raise ValueError(f"model of {size} bytes is too large to broadcast; train at a lower resolution")
     return profiles.sparkSession.sparkContext.broadcast(model)
 
 

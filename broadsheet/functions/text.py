@@ -92,9 +92,10 @@ def publish_day(published: Column) -> Column:
 def word_pieces(text: Column) -> Column:
     """A long text as an array of pieces that end where a word ends; a short one as its only piece.
 
-    What is exploded from a piece then fits in memory however long the text is.
+    What is exploded from a piece then fits in memory however long the text is, as long as it has white space:
+    a text without any stays one piece.
     """
-    cut = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PIECE_LENGTH}}}\S*+"), F.lit(0))
+    cut = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PIECE_LENGTH}}}+\S*+"), F.lit(0))
     return F.when(F.octet_length(text) > PIECE_LENGTH, cut).otherwise(F.array(text))
 
 

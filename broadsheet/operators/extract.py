@@ -38,29 +38,30 @@ class SiteRule:
     content_after: str
 
 
-# The sites, their page structure, limits and constants.
+# The sites, their page structure and constants. Whole pages are read; a rule with a ``cap``
+# (dataclasses.replace) stops after so many items of a page.
 AL_JAZEERA = SiteRule(
-    "Al Jazeera", "www.aljazeera.com", "article", None, "h3", INSIDE, 10, RELATIVE_ONLY,
+    "Al Jazeera", "www.aljazeera.com", "article", None, "h3", INSIDE, None, RELATIVE_ONLY,
     "https://www.aljazeera.com", "Al Jazeera Staff", "News", "International",
     "Article preview: ", "...",
 )
 BBC_NEWS = SiteRule(
-    "BBC News", "www.bbc.com", "h3", None, None, AROUND, 10, RESOLVE,
+    "BBC News", "www.bbc.com", "h3", None, None, AROUND, None, RESOLVE,
     "https://www.bbc.com", "BBC News Staff", "News", "International",
     "BBC News article: ", "...",
 )
 HESPRESS = SiteRule(
-    "Hespress", "en.hespress.com", "div", "card", "h3", INSIDE, 8, AS_IS,
+    "Hespress", "en.hespress.com", "div", "card", "h3", INSIDE, None, AS_IS,
     "", "Hespress Writer", "General", "Maroc",
     "Hespress article: ", "...",
 )
 HESPRESS_LIVE = SiteRule(
-    "Hespress", "en.hespress.com", "div", "card", "h3", INSIDE, 5, AS_IS,
+    "Hespress", "en.hespress.com", "div", "card", "h3", INSIDE, None, AS_IS,
     "", "Hespress Writer", "General", "Maroc",
     "Hespress streaming content for: ", "",
 )
 AKHBARONA = SiteRule(
-    "Akhbarona", "www.akhbarona.com", "h2", None, None, INSIDE_ELSE_AROUND, 5, AS_IS,
+    "Akhbarona", "www.akhbarona.com", "h2", None, None, INSIDE_ELSE_AROUND, None, AS_IS,
     "", "Akhbarona", "General", "Maroc",
     "Akhbarona article: ", "",
 )
@@ -77,16 +78,29 @@ _RULE = T.StructType(
 _READER_FIELDS = ("item_tag", "item_class", "title_tag", "link", "cap")
 
 
+def page_host() -> Column:
+    """The host of a page's url in lower case; null if it has none."""
+    return F.lower(F.try_parse_url("url", F.lit("HOST")))
+
+
+def matched_pages(pages: DataFrame, rules: Sequence[SiteRule]) -> DataFrame:
+    """``(host, pages, matched)``: pages per host, a null host included, and whether a rule reads them."""
+    table = pages.sparkSession.createDataFrame([(rule.host, True) for rule in rules], "host string, rule boolean")
+    counts = pages.select(page_host().alias("host")).groupBy("host").agg(F.count("*").alias("pages"))
+    hosts = counts.join(F.broadcast(table.distinct()), "host", "left")
+    return hosts.select("host", "pages", F.col("rule").isNotNull().alias("matched"))
+
+
 def with_rule(pages: DataFrame, rules: SiteRule | Sequence[SiteRule]) -> DataFrame:
     """Add a ``rule`` struct: one rule for all pages, or the rule of the page's host.
 
-    Pages of hosts without a rule are dropped. The rule table is a literal list in this program.
+    Pages of hosts without a rule have no items (:func:`matched_pages` counts them). The rule table is a literal list in this program.
     """
     if isinstance(rules, SiteRule):
         return pages.withColumn("rule", _literal_rule(rules))
     table = pages.sparkSession.createDataFrame([asdict(rule) for rule in rules], _RULE)
     table = table.select("host", F.struct(*table.columns).alias("rule"))
-    hosted = pages.withColumn("host", F.try_parse_url("url", F.lit("HOST")))
+    hosted = pages.withColumn("host", page_host())
     return hosted.join(F.broadcast(table), "host").drop("host")
 
 

@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.functions.language import RESOLUTION, letter_pieces, trigrams
+from broadsheet.functions.language import letter_pieces, trigrams
 
 WEIGHT_SCALE = 1_000_000
 
 
-def train_profiles(
-    labelled: DataFrame, text: str = "text", label: str = "lang", resolution: int = RESOLUTION
-) -> DataFrame:
-    """``(lang, gram, gram_count, weight)``; weight is the scaled log ratio to an unseen gram.
+def train_profiles(labelled: DataFrame, text: str = "text", label: str = "lang") -> DataFrame:
+    """``(lang, gram, gram_count, weight)`` of every gram; weight is the scaled log ratio to an unseen gram.
 
-    Counts are combined per task before the shuffle, which therefore moves distinct grams only.
+    An unseen gram counts as half a gram of the language with the most grams, which is the same share for all
+    languages, and below that of every gram seen. Counts are combined per task before the shuffle, which
+    therefore moves distinct grams only; the totals, one per language, reach the counts as a one-row map.
     """
     counts = (
         labelled.where(F.col(label).isNotNull())
@@ -25,15 +25,9 @@ def train_profiles(
         .agg(F.count("*").alias("gram_count"))
     )
     totals = counts.groupBy("lang").agg(F.sum("gram_count").alias("total"))
-    ratio = (F.col("gram_count") * (2 * resolution)).cast("double") / F.col("total").cast("double")
-    # No hint: the adaptive planner broadcasts the totals once it has seen their size.
-    return (
-        counts.join(totals, "lang")
-        .where(F.col("gram_count") * resolution >= F.col("total"))
-        .select(
-            "lang",
-            "gram",
-            "gram_count",
-            F.round(F.log(ratio) * WEIGHT_SCALE).cast("bigint").alias("weight"),
-        )
+    by_lang = totals.agg(F.map_from_entries(F.collect_list(F.struct("lang", "total")))).scalar()
+    most = totals.agg(F.max("total")).scalar()
+    ratio = (F.col("gram_count") * 2 * most).cast("double") / F.element_at(by_lang, F.col("lang")).cast("double")
+    return counts.select(
+        "lang", "gram", "gram_count", F.round(F.log(ratio) * WEIGHT_SCALE).cast("bigint").alias("weight")
     )

@@ -16,7 +16,7 @@ from broadsheet.operators import gold
 from broadsheet.operators.extract import BATCH_RULES, SiteRule, gathered, read_items, to_articles
 from broadsheet.operators.quality import accepted_and_observed
 from broadsheet.operators.silver import enrich
-from broadsheet.session import scratch_path, spread
+from broadsheet.session import scratch_path
 from broadsheet.sources.readers import present, read_bronze, read_silver
 from broadsheet.sources.writers import (
     FileWarehouse,
@@ -85,7 +85,7 @@ def run(
 ) -> dict:
     """Extract, clean, aggregate, strictly in this order."""
     return {
-        "extract": run_extract(spread(pages), lake.bronze, rules),
+        "extract": run_extract(pages, lake.bronze, rules),
         "clean": run_clean(spark, lake.bronze, lake.silver, load_model(profiles)),
         "aggregate": run_aggregate(spark, lake.silver, lake.warehouse),
     }

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from broadsheet.functions.language import RESOLUTION
 from broadsheet.functions.text import WHITESPACE
 from broadsheet.operators.extract import BATCH_RULES, STREAM_RULES, SiteRule
-from broadsheet.operators.profiles import WEIGHT_SCALE
 from broadsheet.plans.inputs import ARTICLE_VIEW, LINK_KINDS, UNTITLED_EVERY
 from broadsheet.schema import ARTICLE_FIELDS, MIN_CONTENT_LENGTH, MIN_KEYWORD_LENGTH, STOPWORDS, TOP_KEYWORDS
 
@@ -70,10 +68,9 @@ _PROFILES = f"""
   gram_totals AS (SELECT lang, sum(gram_count) AS total FROM gram_counts GROUP BY lang),
   profiles AS (
     SELECT lang, gram, gram_count,
-      CAST(round(ln(CAST(gram_count * {2 * RESOLUTION} AS double) / CAST(total AS double)) * {WEIGHT_SCALE})
-           AS bigint) AS weight
-    FROM gram_counts JOIN gram_totals USING (lang)
-    WHERE gram_count * {RESOLUTION} >= total)"""
+      CAST(round(ln(CAST(gram_count * 2 * (SELECT max(total) FROM gram_totals) AS double) / CAST(total AS double))
+           * 1000000) AS bigint) AS weight
+    FROM gram_counts JOIN gram_totals USING (lang))"""
 
 
 def _languages(relation: str, key: str, text: str) -> str:
@@ -159,7 +156,7 @@ def _site_articles(rules: tuple[SiteRule, ...]) -> str:
           '{rule.content_before}' || title || '{rule.content_after}' AS content,
           '{rule.source}' AS source, '{rule.country}' AS country, {target} AS url
         FROM (SELECT doc_id, pos, {_strip("line")} AS title FROM lines
-              WHERE doc_id % {len(rules)} = {number} AND pos < {rule.cap})
+              WHERE doc_id % {len(rules)} = {number})
         WHERE {kept}""")
     return f"""
       SELECT * FROM (
@@ -216,6 +213,10 @@ def all_oracles() -> dict[str, str]:
         "events_per_day": """
             SELECT CAST(ts AS date) AS publish_day, count(*) AS article_count
             FROM events GROUP BY 1 ORDER BY 1 DESC""",
+        "page_hosts": """
+            SELECT lower(nullif(regexp_extract(url, '://([^/?#:]+)', 1), '')) AS host, count(*) AS pages,
+              coalesce(host IN ('www.ththon.example.org', 'www.aljazeera.com'), false) AS matched
+            FROM pages GROUP BY 1""",
         "daily_trend": f"{_COUNTED} {_per('counted', 'publish_day')} ORDER BY publish_day",
         "country_share": f"{_COUNTED} {_with_share('counted', 'country')}",
         "language_share": f"{_SILVER} {_with_share('silver', 'language')}",

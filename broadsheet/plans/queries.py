@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,12 +14,15 @@ from broadsheet.functions.language import detect_language
 from broadsheet.functions.text import canonical_country, normalize, strip_html
 from broadsheet.operators import gold, quality
 from broadsheet.operators.extract import (
+    AL_JAZEERA,
     AS_IS,
     BATCH_RULES,
+    BBC_NEWS,
     STREAM_RULES,
     SiteRule,
     article_url,
     has_title,
+    matched_pages,
     read_items,
     to_articles,
 )
@@ -147,8 +151,15 @@ def articles_all_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def events_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stamped = inputs.table(spark, sf_dir, "events", "ts").select(F.col("ts").cast("string").alias("published_date"))
-    return gold.newest_first(gold.articles_per(stamped, "publish_day"))
+    days = inputs.table(spark, sf_dir, "events", "ts").groupBy(F.to_date("ts").alias("publish_day"))
+    return gold.newest_first(days.agg(F.count("*").alias("article_count")))
+
+
+@_query
+def page_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages per host, with and without a rule that reads them; a host of the given pages stands in for a site."""
+    pages = inputs.table(spark, sf_dir, "pages", "url")
+    return matched_pages(pages, (replace(BBC_NEWS, host="www.ththon.example.org"), AL_JAZEERA))
 
 
 @_query

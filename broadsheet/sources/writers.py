@@ -14,7 +14,28 @@ def append_bronze(articles: DataFrame, path: str) -> None:
     articles.write.mode("append").json(path)
 
 
+# A stream keeps its list of valid files in this folder beside them.
+STREAM_LOG = "_spark_metadata"
+
+
+def written_by(spark: SparkSession, path: str) -> str | None:
+    """``stream`` or ``batch``, by what a folder holds; None for an empty or missing one."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return None
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    return "stream" if STREAM_LOG in names else "batch" if names else None
+
+
+def refuse(spark: SparkSession, path: str, other: str) -> None:
+    """Readers see only a stream's own files in a folder it writes: batch and stream must not share one."""
+    if written_by(spark, path) == other:
+        raise ValueError(f"{path} is written by a {other} job; give the other job a folder of its own")
+
+
 def replace_silver(silver: DataFrame, path: str) -> None:
+    refuse(silver.sparkSession, path, "stream")
     silver.write.mode("overwrite").parquet(path)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from broadsheet.operators.extract import STREAM_RULES, SiteRule, has_title, read_items, to_articles
 from broadsheet.operators.silver import to_silver
-from broadsheet.sources.writers import messages
+from broadsheet.sources.writers import messages, refuse
 
 CYCLE = "60 seconds"
 
@@ -60,5 +60,6 @@ def start_cleaning(
     articles: DataFrame, model: Broadcast, path: str, checkpoint: str, once: bool = False
 ) -> StreamingQuery:
     """Arriving articles to the silver folder."""
+    refuse(articles.sparkSession, path, "batch")
     writer = to_silver(articles, model).writeStream.format("parquet").option("path", path)
     return _start(writer, checkpoint, once)

@@ -16,15 +16,15 @@ def test_jobs_in_order(spark, tmp_path):
         return main([name, *given])
 
     job("train", "labelled", "profiles")
-    assert job("extract", "pages", "bronze")["total"] == 8
-    assert job("clean", "bronze", "silver", "profiles") == {"loaded": 8, "accepted": 8, "rejected": 0}
+    assert job("extract", "pages", "bronze")["total"] == 9
+    assert job("clean", "bronze", "silver", "profiles") == {"loaded": 9, "accepted": 9, "rejected": 0}
     assert job("aggregate", "silver", "gold")["gold_articles_per_source"] == 1
-    assert job("run", "pages", "bronze", "silver", "gold", "profiles")["clean"]["loaded"] == 16
+    assert job("run", "pages", "bronze", "silver", "gold", "profiles")["clean"]["loaded"] == 18
     main(["publish", f"--pages={at['pages']}", f"--messages={at['messages']}", f"--checkpoint={tmp_path}/c1", "--once"])
-    assert spark.read.text(at["messages"]).count() == 5
+    assert spark.read.text(at["messages"]).count() == 9
     stream_silver = str(tmp_path / "stream-silver")
     main(["follow", f"--bronze={at['bronze']}", f"--silver={stream_silver}", f"--profiles={at['profiles']}", f"--checkpoint={tmp_path}/c2", "--once"])
-    assert spark.read.parquet(stream_silver).count() == 16
+    assert spark.read.parquet(stream_silver).count() == 18
 
 
 @pytest.mark.parametrize("arguments", [["aggregate", "--silver=s"], ["publish", "--pages=p", "--checkpoint=c"], ["clean"]])

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from broadsheet.functions import language
-from broadsheet.functions.language import RESOLUTION, detect_language, letters, load_model, trigrams
+from broadsheet.functions.language import detect_language, letters, load_model, trigrams
+from broadsheet.functions.text import word_pieces
 from broadsheet.operators.profiles import WEIGHT_SCALE, train_profiles
 
 SAMPLES = {
@@ -47,10 +48,11 @@ def test_trigrams_keep_characters_outside_the_basic_plane(spark):
 def test_profiles_equal_a_plain_count(spark, profiles):
     got = {(row.lang, row.gram): (row.gram_count, row.weight) for row in profiles.collect()}
     expected = {}
+    most = max(len(model_grams(text)) for text in SAMPLES.values())
     for lang, text in SAMPLES.items():
         counts = Counter(model_grams(text))
         for gram, count in counts.items():
-            weight = round(log(count * 2 * RESOLUTION / sum(counts.values())) * WEIGHT_SCALE)
+            weight = round(log(count * 2 * most / sum(counts.values())) * WEIGHT_SCALE)
             expected[lang, gram] = (count, weight)
     assert got == expected
 
@@ -66,11 +68,19 @@ def test_long_texts_train_the_same_in_pieces(spark, monkeypatch):
         assert sorted(map(tuple, train_profiles(labelled).collect())) == whole
 
 
-def test_rare_grams_are_left_out(spark):
-    text = "abc " * (RESOLUTION // 2) + "xyz"
-    labelled = spark.createDataFrame([("en", text)], "lang string, text string")
-    grams = {row.gram for row in train_profiles(labelled).collect()}
-    assert " ab" in grams and "xyz" not in grams
+def test_rare_grams_stay(spark):
+    labelled = spark.createDataFrame([("en", "abc " * 50_000 + "xyz")], "lang string, text string")
+    assert {" ab", "xyz"} <= {row.gram for row in train_profiles(labelled).collect()}
+
+
+def test_long_mixed_texts_at_the_real_piece_length(spark):
+    """In a task, not folded on the driver: blanks, letters and wide characters in turn."""
+    texts = ["good \U0001f600\U0001f600 " * 20_000, "\U00010428 a" * 60_000, "\u65e5" * 200_000]
+    df = spark.createDataFrame([("x", text) for text in texts], "lang string, text string").repartition(3)
+    rows = train_profiles(df).collect()
+    assert sum(row.gram_count for row in rows) == sum(len(model_grams(text)) for text in texts)
+    pieces = df.select(F.array_join(word_pieces(F.col("text")), "").alias("t")).collect()
+    assert sorted(row.t for row in pieces) == sorted(texts)
 
 
 def test_detection_and_unknown(spark, profiles):

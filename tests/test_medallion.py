@@ -21,7 +21,7 @@ def profiles(spark):
 
 @pytest.fixture()
 def pages(spark):
-    cards = "".join(f"<div class='card'><h3>The town number {i}</h3><a href='/{i}'>m</a></div>" for i in range(9))
+    cards = "".join(f"<div class='card'><h3>The town number {i}</h3><a href='/{i}'>m</a></div>" for i in range(8))
     headings = "<a href='/n'><h3>The river and the town</h3></a><h3>x</h3><h3></h3>"
     return spark.createDataFrame(
         [(1, "https://en.hespress.com/", cards), (2, "https://www.bbc.com/news", headings), (3, "https://www.aljazeera.com/", "")],

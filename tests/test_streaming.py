@@ -5,6 +5,7 @@ from broadsheet.functions.language import load_model
 from broadsheet.operators.extract import STREAM_RULES, read_items, to_articles
 from broadsheet.operators.profiles import train_profiles
 from broadsheet.operators.silver import to_silver
+from broadsheet.plans.medallion import run_clean
 from broadsheet.schema import ARTICLE, PAGE
 from broadsheet.sources import readers
 from broadsheet.sources.writers import append_bronze
@@ -56,7 +57,7 @@ def test_a_restart_sends_nothing_twice(spark, model, tmp_path):
 
 def test_pages_to_messages(spark, tmp_path):
     pages_path, topic, checkpoint = (str(tmp_path / name) for name in ("pages", "topic", "checkpoint"))
-    html_cards = "".join(f"<div class='card'><h3>T{i}</h3><a href='/{i}'>m</a></div>" for i in range(7))
+    html_cards = "".join(f"<div class='card'><h3>T{i}</h3><a href='/{i}'>m</a></div>" for i in range(5))
     pages = spark.createDataFrame(
         [
             (1, "https://en.hespress.com/", html_cards),
@@ -90,3 +91,24 @@ def test_the_continuous_form_runs_a_cycle_every_minute(spark, model, tmp_path):
     finally:
         query.stop()
     assert flows.CYCLE == "60 seconds"
+
+
+def test_batch_and_stream_refuse_to_share_a_silver_folder(spark, model, tmp_path):
+    bronze, silver, other, checkpoint = (str(tmp_path / name) for name in ("bronze", "silver", "other", "checkpoint"))
+    append_bronze(articles(spark, range(1, 4)), bronze)
+
+    def follow(path):
+        flows.start_cleaning(readers.stream_bronze(spark, bronze), model, path, checkpoint, once=True).awaitTermination()
+
+    follow(silver)
+    with pytest.raises(ValueError, match="stream job"):
+        run_clean(spark, bronze, silver, model)
+    append_bronze(articles(spark, range(4, 6)), bronze)
+    follow(silver)
+    run_clean(spark, bronze, other, model)
+    followed = {row.id for row in readers.read_silver(spark, silver).collect()}
+    assert followed == {row.id for row in readers.read_silver(spark, other).collect()} != set()
+    run_clean(spark, bronze, other, model)
+    with pytest.raises(ValueError, match="batch job"):
+        follow(other)
+    assert readers.read_silver(spark, other).count() == len(followed)
