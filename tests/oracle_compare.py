@@ -63,6 +63,7 @@ def main(sf_dir="/root/testdata/sf0.01", *names):
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(sf_dir)
     sqls = registry.oracle_sql()
+    names = names or tuple(sqls)
     for name, query in registry.queries().items():
         if names and name not in names:
             continue
