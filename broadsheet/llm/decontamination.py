@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from broadsheet.llm import words
-from broadsheet.llm.tables import Workspace
+from broadsheet.llm.tables import Workspace, bound_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -194,6 +194,7 @@ def overlaps(docs: DataFrame, items: DataFrame, found: str = "found") -> DataFra
     Null and empty texts, and texts without a word, have none of these. No row is dropped or repeated, also
     when there are no items or no documents; other columns pass through (``found`` must be a free name).
     """
+    bound_batches(docs.sparkSession)
     shared = automata(items)
     docs = docs.withColumn(found, _scanner(next(shared))(F.col("text").cast("string")))
     work = None

@@ -19,6 +19,7 @@ from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet.llm.tables import bound_batches
 from broadsheet.llm.words import mix
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -218,6 +219,7 @@ def fit(labelled: DataFrame) -> Broadcast | None:
     Fitted on about ``FIT_DOCS`` documents per language and calibrated on about ``CALIBRATION_DOCS`` others.
     """
     spark = labelled.sparkSession
+    bound_batches(spark)
     labelled = labelled.where("text is not null and lang is not null").select("text", "lang")
     calibrating = F.pmod(F.xxhash64(F.lit(5), "text"), F.lit(5)) == 0
     fitting = sampled(labelled.where(~calibrating), FIT_DOCS, 1)

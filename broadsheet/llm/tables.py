@@ -11,6 +11,15 @@ from broadsheet.session import scratch_path
 # A written table of so many rows of a few numbers may be broadcast (some 30 MB); beyond, joins shuffle.
 BROADCAST_ROWS = 500_000
 
+# Whole texts are wide rows: an Arrow batch takes few of them, in the memory of the executor as in the worker's.
+BATCH_ROWS, BATCH_SETTING = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's limit of rows in an Arrow batch to ``BATCH_ROWS``."""
+    if not 0 < int(spark.conf.get(BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
 
 def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
@@ -23,6 +32,7 @@ class Workspace:
         self.spark = spark
         self.root = scratch_path(spark, label)
         self.count = 0
+        bound_batches(spark)
 
     def keep(self, df: DataFrame) -> DataFrame:
         """Write a table and read it back."""
