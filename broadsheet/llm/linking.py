@@ -7,7 +7,7 @@ bucket, the others go on to the next round. What the leader cannot settle is set
 distance ``1 - Jaccard`` is a metric, so an item ``y`` can be linked to an item ``x`` that left with leader
 ``a`` only if ``distance(y, a) - distance(x, a)`` does not exceed the threshold. Such pairs, and what remains
 when its pairs are no more than the rows of all buckets (twice as many with each further round), are compared
-directly unless they are in one component already.
+directly unless they are in one component already or their sketches rule a link out.
 """
 
 from __future__ import annotations
@@ -30,6 +30,10 @@ class Similarity:
     at_least: int
     # Like measure, for pairs of which only the links matter; may leave out what cannot be linked.
     confirm: Callable[[DataFrame], DataFrame] | None = None
+    # ``(item, sketch)`` of every item, and whether two sketches leave a link possible. It is part of the join
+    # of a bucket, so that pairs that cannot be linked never become rows.
+    sketches: DataFrame | None = None
+    possible: Callable[[Column, Column], Column] | None = None
 
     @property
     def far(self) -> int:
@@ -38,6 +42,13 @@ class Similarity:
     def linked(self) -> Column:
         return F.col("shared") * 100 >= F.col("total") * self.at_least
 
+    def sketched(self, rows: DataFrame) -> DataFrame:
+        return rows if self.sketches is None else rows.join(self.sketches, "item")
+
+    def may_link(self) -> Column:
+        """For rows ``x`` and ``y`` with sketches."""
+        return F.lit(True) if self.sketches is None else self.possible(F.col("x.sketch"), F.col("y.sketch"))
+
 
 def candidate_rows(buckets: DataFrame, work: Workspace) -> DataFrame:
     """``(key, item, leader)`` for all but the smallest item, the leader, of every bucket ``(key, item)``."""
@@ -88,8 +99,10 @@ def link(active: DataFrame, similarity: Similarity, work: Workspace) -> DataFram
             break
         if pairs_left <= most_pairs:
             open_rows = rest.join(work.small(keys.select("key")), "key")
+            open_rows = similarity.sketched(open_rows)
             x, y = open_rows.alias("x"), open_rows.alias("y")
-            pairs = x.join(y, F.expr("x.key = y.key and x.item < y.item and x.root_item <> y.root_item"))
+            apart = F.expr("x.key = y.key and x.item < y.item and x.root_item <> y.root_item")
+            pairs = x.join(y, apart & similarity.may_link())
             near.append(pairs.select(F.col("x.item").alias("a"), F.col("y.item").alias("b")))
             break
         most_pairs *= 2
@@ -146,13 +159,15 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 def _unsettled(judged: DataFrame, similarity: Similarity) -> DataFrame:
     """Pairs of one bucket, one linked to the leader and one not, that lie in different components and that
     the leader leaves open."""
-    x, y = judged.where("linked").alias("x"), judged.where("not linked").alias("y")
+    columns = ["key", "item", "root_item", "shared", "total"]
+    x = similarity.sketched(judged.where("linked").select(*columns)).alias("x")
     # y is not far from the leader, and their distances to it differ by the threshold at most.
-    open_to = F.col("y.shared") * 100 >= F.col("y.total") * similarity.far
+    open_to = F.col("shared") * 100 >= F.col("total") * similarity.far
+    y = similarity.sketched(judged.where("not linked").where(open_to).select(*columns)).alias("y")
     gap = F.expr("y.total * x.shared - x.total * y.shared") * 100
     within = gap <= F.expr("x.total * y.total") * (100 - similarity.at_least)
     apart = F.col("x.root_item") != F.col("y.root_item")
-    pairs = x.join(y.where(open_to), (F.col("x.key") == F.col("y.key")) & apart & within)
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & apart & within & similarity.may_link())
     return pairs.select(
         F.least("x.item", "y.item").alias("a"), F.greatest("x.item", "y.item").alias("b")
     )

@@ -94,6 +94,10 @@ def estimate(a: Column, b: Column) -> Column:
     return (agreement - F.lit(BY_CHANCE)) / F.lit(1 - BY_CHANCE)
 
 
+def _may_link(a: Column, b: Column) -> Column:
+    return estimate(a, b) >= LINK_FLOOR
+
+
 def _sets(column: pa.Array) -> Iterator[np.ndarray]:
     """The shingle set of each text."""
     for _, part in words.slices(column):
@@ -178,7 +182,9 @@ def near_duplicates(docs: DataFrame, label: str = "minhash") -> DataFrame:
     candidates = candidate_rows(buckets, work)
     needed = candidates.select(F.explode(F.array("item", "leader")).alias("item")).distinct()
     pairs = _Candidates(texts, low_bits, needed, work)
-    links = link(candidates, Similarity(pairs.measure, AT_LEAST, pairs.confirm), work)
+    sketches = low_bits.withColumnRenamed("low_bits", "sketch")
+    similarity = Similarity(pairs.measure, AT_LEAST, pairs.confirm, sketches, _may_link)
+    links = link(candidates, similarity, work)
     # A document row belongs to the item of its set; rows of one doc_id with several sets join these sets.
     own = signed.join(members, ["set_a", "set_b", "n_shingles"], "left").select("doc_id", "n_shingles", "item")
     own = work.keep(own)
