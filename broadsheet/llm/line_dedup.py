@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from broadsheet.llm import words
 from broadsheet.llm.linking import Similarity, candidate_rows, components, link
-from broadsheet.llm.minhash import OVERLAP, measured, minima
+from broadsheet.llm.minhash import OVERLAP, measured
 from broadsheet.llm.tables import BROADCAST_ROWS, Workspace
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -86,11 +86,17 @@ def _listed(counts: np.ndarray, values: pa.Array) -> pa.Array:
 
 def _band_keys(lines: Lines, first: np.ndarray) -> np.ndarray:
     """The band keys of some lines, a row each."""
-    shingles = lines.rolling.windows(SHINGLE)
-    least = np.empty((len(first), ROWS * BANDS), dtype=np.uint32)
-    starts, ends = lines.start[first].tolist(), (lines.stop[first] - SHINGLE + 1).tolist()
-    for row, (low, high) in enumerate(zip(starts, ends)):
-        least[row] = minima(shingles[low:high], FACTORS)
+    if not len(first):
+        return np.empty((0, BANDS), dtype=np.uint64)
+    starts, counts = lines.start[first], lines.stop[first] - lines.start[first] - (SHINGLE - 1)
+    # The shingles of these lines alone, one line after another.
+    begins = np.cumsum(counts) - counts
+    at = np.repeat(starts - begins, counts) + np.arange(counts.sum())
+    small = (lines.rolling.windows(SHINGLE)[at] >> np.uint64(32)).astype(np.uint32)
+    least = np.empty((ROWS * BANDS, len(first)), dtype=np.uint32)
+    for row, factor in zip(least, FACTORS):
+        np.minimum.reduceat(small * factor, begins, out=row)
+    least = np.ascontiguousarray(least.T)
     parts = least.reshape(len(first), BANDS, ROWS) * words.PLACE_VALUES[:ROWS]
     return words.mix(parts.sum(axis=2, dtype=np.uint64) + BAND_SALT)
 
