@@ -206,7 +206,7 @@ def repeated_lines(docs: DataFrame, work: Workspace) -> DataFrame:
     signed = work.keep(signed.where(F.size("lines") > 0))
     lines = signed.select("doc_id", "text_id", "lines")
     banded = signed.select(F.explode("fresh").alias("line")).select("line.item", "line.keys")
-    candidates = candidate_rows(banded.select(F.explode("keys").alias("key"), "item"), work)
+    candidates = candidate_rows(banded, BANDS, work)
     needed = candidates.select(F.explode(F.array("item", "leader")).alias("item")).distinct()
     texts = line_texts(docs, needed, work)
     links = link(candidates, Similarity(lambda pairs: measured(pairs, texts, overlap), AT_LEAST), work)

@@ -18,8 +18,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet.llm.buckets import shared_keys
 from broadsheet.llm.tables import Workspace
 
+
 @dataclass(frozen=True)
 class Similarity:
     """``measure`` turns distinct pairs ``(a, b)`` into ``(a, b, shared, total)``, the sizes of intersection
@@ -50,15 +52,14 @@ class Similarity:
         return F.lit(True) if self.sketches is None else self.possible(F.col("x.sketch"), F.col("y.sketch"))
 
 
-def candidate_rows(buckets: DataFrame, work: Workspace) -> DataFrame:
-    """``(key, item, leader)`` for all but the smallest item, the leader, of every bucket ``(key, item)``."""
-    shared = buckets.groupBy("key").agg(
-        F.min("item").alias("leader"), F.max("item").alias("last"), F.count("*").alias("n")
-    )
-    shared = work.keep(shared.where("leader < last"))
+def candidate_rows(listed: DataFrame, keys_each: int, work: Workspace) -> DataFrame:
+    """``(key, item, leader)`` for all but the smallest item, the leader, of every bucket of ``listed``
+    ``(item, keys)``, a written table with ``keys_each`` keys an item."""
+    shared = work.keep(shared_keys(listed, keys_each))
     # A bucket of two is known by its smallest and largest item; only larger ones are looked up again.
     two = shared.where("n = 2").select("key", F.col("last").alias("item"), "leader")
     more = work.small(work.keep(shared.where("n > 2").select("key", "leader")))
+    buckets = listed.select(F.explode("keys").alias("key"), "item")
     members = buckets.join(more, "key").where("item > leader").select("key", "item", "leader").distinct()
     return work.keep(two.union(members))
 

@@ -176,10 +176,9 @@ def near_duplicates(docs: DataFrame, label: str = "minhash") -> DataFrame:
         )
     )
     members = items.select("set_a", "set_b", "n_shingles", "item")
-    buckets = items.select(F.explode("bands").alias("key"), "item")
     low_bits = items.select("item", "low_bits")
     texts = docs.select(F.col("doc_id").cast("long").alias("item"), F.col("text").cast("string"))
-    candidates = candidate_rows(buckets, work)
+    candidates = candidate_rows(items.select("item", F.col("bands").alias("keys")), BANDS, work)
     needed = candidates.select(F.explode(F.array("item", "leader")).alias("item")).distinct()
     pairs = _Candidates(texts, low_bits, needed, work)
     sketches = low_bits.withColumnRenamed("low_bits", "sketch")
