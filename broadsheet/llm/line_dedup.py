@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from broadsheet.llm import words
 from broadsheet.llm.linking import Similarity, candidate_rows, components, link
-from broadsheet.llm.minhash import OVERLAP, measured
+from broadsheet.llm.minhash import LOW_BITS, OVERLAP, estimate
 from broadsheet.llm.tables import BROADCAST_ROWS, Workspace
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -33,9 +33,15 @@ MIN_WORDS = 5
 
 # A pair of similarity 0.8 shares no band with probability (1 - 0.8^5)^16 = 0.0017.
 ROWS, BANDS = 5, 16
+HASHES = ROWS * BANDS
+SKETCH = (HASHES // 64 + 1) * LOW_BITS  # integers
+
+# Five standard deviations of the estimate below a similarity of 0.6, under which a pair can decide nothing
+# (linking.Similarity.far), and below the threshold, for pairs of which only a link matters.
+ESTIMATE_FLOOR, LINK_FLOOR = 0.25, 0.53
 
 _random = np.random.Generator(np.random.PCG64(words.SEED + 2))
-FACTORS = _random.integers(0, 1 << 31, ROWS * BANDS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+FACTORS = _random.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 BAND_SALT = words.mix(np.arange(1, BANDS + 1, dtype=np.uint64) << np.uint64(8))
 
 LINE_FEED = "\n"
@@ -84,23 +90,38 @@ def _listed(counts: np.ndarray, values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), values)
 
 
-def _band_keys(lines: Lines, first: np.ndarray) -> np.ndarray:
-    """The band keys of some lines, a row each."""
-    if not len(first):
-        return np.empty((0, BANDS), dtype=np.uint64)
-    starts, counts = lines.start[first], lines.stop[first] - lines.start[first] - (SHINGLE - 1)
+def _minima(lines: Lines, chosen: np.ndarray) -> np.ndarray:
+    """The minima of some lines, one or more, a row each."""
+    starts, counts = lines.start[chosen], lines.stop[chosen] - lines.start[chosen] - (SHINGLE - 1)
     # The shingles of these lines alone, one line after another.
     begins = np.cumsum(counts) - counts
     at = np.repeat(starts - begins, counts) + np.arange(counts.sum())
     small = (lines.rolling.windows(SHINGLE)[at] >> np.uint64(32)).astype(np.uint32)
-    least = np.empty((ROWS * BANDS, len(first)), dtype=np.uint32)
+    least = np.empty((HASHES, len(chosen)), dtype=np.uint32)
     for row, factor in zip(least, FACTORS):
         np.minimum.reduceat(small * factor, begins, out=row)
-    least = np.ascontiguousarray(least.T)
-    parts = least.reshape(len(first), BANDS, ROWS) * words.PLACE_VALUES[:ROWS]
+    return np.ascontiguousarray(least.T)
+
+
+def _band_keys(lines: Lines, first: np.ndarray) -> np.ndarray:
+    """The band keys of some lines, a row each."""
+    if not len(first):
+        return np.empty((0, BANDS), dtype=np.uint64)
+    parts = _minima(lines, first).reshape(len(first), BANDS, ROWS) * words.PLACE_VALUES[:ROWS]
     return words.mix(parts.sum(axis=2, dtype=np.uint64) + BAND_SALT)
 
 
+def _sketches(lines: Lines, chosen: np.ndarray) -> np.ndarray:
+    """The packed low bits of the minima of some lines, a row each."""
+    if not len(chosen):
+        return np.empty((0, SKETCH), dtype=np.int64)
+    least = _minima(lines, chosen)
+    planes = np.zeros((len(chosen), LOW_BITS, SKETCH // LOW_BITS * 64), dtype=np.uint8)
+    for bit in range(LOW_BITS):
+        planes[:, bit, :HASHES] = (least >> np.uint32(bit)) & np.uint32(1)
+    return np.packbits(planes, axis=2, bitorder="little").reshape(len(chosen), -1).view(np.int64)
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Places and ids of the lines of each document; band keys beside the first line of its kind in a slice."""
     for batch in batches:
@@ -173,15 +194,21 @@ def _line_texts(wanted: Broadcast | None) -> Callable:
                     ids, first = ids[among], first[among]
                 starts, stops = lines.start[first].tolist(), lines.stop[first].tolist()
                 found = [lines.data[low:high].tobytes() for low, high in zip(starts, stops)]
+                sketches = pa.array(_sketches(lines, first).reshape(-1))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids), pa.array(found, pa.binary()).cast(pa.string())], names=["item", "text"]
+                    [
+                        pa.array(ids),
+                        pa.array(found, pa.binary()).cast(pa.string()),
+                        _listed(np.full(len(first), SKETCH), sketches),
+                    ],
+                    names=["item", "text", "sketch"],
                 )
 
     return texts
 
 
 def line_texts(docs: DataFrame, needed: DataFrame, work: Workspace) -> DataFrame:
-    """``(item, text)`` of the lines whose ids are ``needed``.
+    """``(item, text, sketch)`` of the lines whose ids are ``needed``.
 
     Few ids, counted, are sent to the tasks; more are joined.
     """
@@ -191,9 +218,19 @@ def line_texts(docs: DataFrame, needed: DataFrame, work: Workspace) -> DataFrame
     if few:
         ids = np.sort(needed.toArrow()["item"].to_numpy())
         wanted = docs.sparkSession.sparkContext.broadcast(ids)
-    lines = docs.select("text").mapInArrow(_line_texts(wanted), "item long, text string")
+    lines = docs.select("text").mapInArrow(_line_texts(wanted), "item long, text string, sketch array<long>")
     lines = lines if few else lines.join(needed, "item", "left_semi")
-    return work.keep(lines.groupBy("item").agg(F.min("text").alias("text")))
+    return work.keep(lines.groupBy("item").agg(F.min("text").alias("text"), F.first("sketch").alias("sketch")))
+
+
+def _measured(pairs: DataFrame, texts: DataFrame, floor: float) -> DataFrame:
+    """Pairs ``(a, b)`` with the overlap of their lines, without those estimated below a similarity."""
+    for side in ("a", "b"):
+        own = [F.col(name).alias(f"{name}_{side}") for name in ("text", "sketch")]
+        pairs = pairs.join(texts.select(F.col("item").alias(side), *own), side)
+    close = pairs.where(estimate(F.col("sketch_a"), F.col("sketch_b"), HASHES) >= floor)
+    both = close.select("a", "b", overlap("text_a", "text_b").alias("o"))
+    return both.select("a", "b", "o.shared", "o.total")
 
 
 def repeated_lines(docs: DataFrame, work: Workspace) -> DataFrame:
@@ -209,7 +246,14 @@ def repeated_lines(docs: DataFrame, work: Workspace) -> DataFrame:
     candidates = candidate_rows(banded, BANDS, work)
     needed = candidates.select(F.explode(F.array("item", "leader")).alias("item")).distinct()
     texts = line_texts(docs, needed, work)
-    links = link(candidates, Similarity(lambda pairs: measured(pairs, texts, overlap), AT_LEAST), work)
+    similarity = Similarity(
+        lambda pairs: _measured(pairs, texts, ESTIMATE_FLOOR),
+        AT_LEAST,
+        lambda pairs: _measured(pairs, texts, LINK_FLOOR),
+        texts.select("item", "sketch"),
+        lambda a, b: estimate(a, b, HASHES) >= LINK_FLOOR,
+    )
+    links = link(candidates, similarity, work)
     roots = components(links, work)
     line = lines.select("doc_id", "text_id", F.explode("lines").alias("line")).select("doc_id", "text_id", "line.*")
     # The first line of every item, then of every component: both combine before the shuffle.

@@ -1,26 +1,37 @@
 """Similarity links inside candidate buckets, and the connected components they form.
 
 Items that share a bucket key are candidates. A bucket is never paired with itself as a whole. First every item
-is compared with one leader, the smallest item of a bucket, at a time, until buckets that lie in one component
-are known and dropped. In those that remain, every item is compared with the leader; linked items leave the
+is compared with one leader, the smallest item of a bucket; buckets that lie in one component then are dropped. In those that remain, every item is compared with the leader; linked items leave the
 bucket, the others go on to the next round. What the leader cannot settle is settled exactly: the
 distance ``1 - Jaccard`` is a metric, so an item ``y`` can be linked to an item ``x`` that left with leader
 ``a`` only if ``distance(y, a) - distance(x, a)`` does not exceed the threshold. Such pairs, and what remains
-when its pairs are no more than the rows of all buckets (twice as many with each further round), are compared
+when its pairs are few for the rows of all buckets (twice as many with each further round), are compared
 directly unless they are in one component already or their sketches rule a link out.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import sys
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.llm.buckets import shared_keys
 from broadsheet.llm.tables import Workspace
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Pairs left in the buckets, for each of their rows, up to which they are looked at in one join.
+PAIRS_A_ROW = 64
+
+# Links that a task contracts at a time.
+LINKS = 1 << 20
+
 
 @dataclass(frozen=True)
 class Similarity:
@@ -69,22 +80,21 @@ def link(active: DataFrame, similarity: Similarity, work: Workspace) -> DataFram
 
     They have the same components as the graph of all linked pairs that share a bucket.
     """
-    most_pairs = active.count()
-    links = [_first_links(active, similarity, work)]
-    roots = components(links[0], work)
+    most_pairs = active.count() * PAIRS_A_ROW
+    roots = components(_first_links(active, similarity, work), work)
     active = _mixed(active, roots, work)
     near = []
     while True:
         pairs = active.select(F.col("leader").alias("a"), F.col("item").alias("b")).distinct()
         measured = work.keep(similarity.measure(pairs))
-        links.append(measured.where(similarity.linked()).select("a", "b"))
+        found = _joined(roots).union(measured.where(similarity.linked()).select("a", "b"))
         judged = active.join(
             measured.select(F.col("a").alias("leader"), F.col("b").alias("item"), "shared", "total"),
             ["leader", "item"],
             "left",
         )
         judged = judged.withColumn("linked", F.coalesce(similarity.linked(), F.lit(False)))
-        roots = components(_union(links), work)
+        roots = components(found, work)
         judged = work.keep(_with_root(judged, roots, "item"))
         near.append(_unsettled(judged, similarity))
         rest = judged.where("not linked").select("key", "item", "root_item")
@@ -109,8 +119,7 @@ def link(active: DataFrame, similarity: Similarity, work: Workspace) -> DataFram
         most_pairs *= 2
         active = rest.join(keys.select("key", "leader"), "key").where("item > leader")
         active = work.keep(active.select("key", "item", "leader"))
-    found = work.keep(_union(links).distinct())
-    roots = components(found, work)
+    found = _joined(roots)
     open_pairs = work.keep(_apart(_union(near).distinct(), roots))
     if open_pairs.isEmpty():
         return found
@@ -118,24 +127,15 @@ def link(active: DataFrame, similarity: Similarity, work: Workspace) -> DataFram
     return found.union(confirm(open_pairs).where(similarity.linked()).select("a", "b"))
 
 
-def _first_links(active: DataFrame, similarity: Similarity, work: Workspace) -> DataFrame:
-    """Links that join most of what is linked, from one pair per item at a time.
+def _joined(roots: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` with the components of ``roots``."""
+    return roots.select(F.col("item").alias("a"), F.col("root").alias("b"))
 
-    Every item is compared with the smallest leader it has not met yet, then the pairs that lie in one
-    component are dropped, until that no longer halves the pairs that are left.
-    """
-    pairs = work.keep(active.select(F.col("leader").alias("a"), F.col("item").alias("b")).distinct())
-    n, found = pairs.count(), []
-    while True:
-        chosen = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        measured = work.keep(similarity.measure(chosen))
-        found.append(measured.where(similarity.linked()).select("a", "b"))
-        met = pairs.join(chosen.select(F.col("a").alias("met"), "b"), "b").where("a > met").select("a", "b")
-        left = work.keep(_apart(met, components(_union(found), work)))
-        before, n = n, left.count()
-        if n * 2 > before or not n:
-            return work.keep(_union(found))
-        pairs = left
+
+def _first_links(active: DataFrame, similarity: Similarity, work: Workspace) -> DataFrame:
+    """Links that join most of what is linked: every item is compared with the smallest of its leaders."""
+    chosen = active.groupBy("item").agg(F.min("leader").alias("a")).select("a", F.col("item").alias("b"))
+    return work.keep(similarity.measure(chosen).where(similarity.linked()).select("a", "b"))
 
 
 def _mixed(active: DataFrame, roots: DataFrame, work: Workspace) -> DataFrame:
@@ -184,13 +184,12 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 def components(links: DataFrame, work: Workspace) -> DataFrame:
     """``(item, root)`` for every item in a link ``(a, b)``; the root is the smallest item reachable.
 
-    Distributed union-find by alternating star contraction: every item's larger neighbours are hung on its
+    Distributed union-find: each task contracts its own links to stars, which alternating star contraction
+    then joins: every item's larger neighbours are hung on its
     smallest neighbour, then its smaller ones, until nothing moves. Each step is two aggregations that
     combine before the shuffle, and a join that splits skewed keys.
     """
-    edges = work.keep(
-        links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    )
+    edges = work.keep(links.where("a <> b").select("a", "b").mapInArrow(_stars, "u long, v long").distinct())
     state = _fingerprint(edges)
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -210,5 +209,34 @@ def components(links: DataFrame, work: Workspace) -> DataFrame:
     return roots.union(edges.select(F.col("v").alias("item"), F.col("v").alias("root")).distinct())
 
 
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(item, root)`` for the components of each ``LINKS`` links of a task."""
+    parts, size = [], 0
+    for batch in batches:
+        parts.append((batch.column("a").to_numpy(), batch.column("b").to_numpy()))
+        size += len(batch)
+        if size >= LINKS:
+            yield from _contract(parts)
+            parts, size = [], 0
+    if parts:
+        yield from _contract(parts)
+
+
+def _contract(parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    ends = np.concatenate([np.concatenate(side) for side in zip(*parts)])
+    items, at = np.unique(ends, return_inverse=True)
+    a, b = at[: len(at) // 2], at[len(at) // 2 :]
+    root = np.arange(len(items))
+    while (apart := root[a] != root[b]).any():
+        a, b = a[apart], b[apart]
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        np.minimum.at(root, high, low)
+        while ((up := root[root]) != root).any():
+            root = up
+    hung = np.flatnonzero(root != np.arange(len(items)))
+    table = pa.Table.from_arrays([pa.array(items[hung]), pa.array(items[root[hung]])], names=["u", "v"])
+    yield from table.to_batches(max_chunksize=1 << 16)
+
+
 def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first())

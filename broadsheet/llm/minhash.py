@@ -81,16 +81,17 @@ def pack(least: np.ndarray) -> np.ndarray:
     return np.packbits(planes, axis=1, bitorder="little").reshape(-1).view(np.int64)
 
 
-def estimate(a: Column, b: Column) -> Column:
+def estimate(a: Column, b: Column, hashes: int = HASHES) -> Column:
     """Similarity estimated from two packed signatures, corrected for agreement by chance."""
     different = F.lit(0)
-    for i in range(WORDS_PER_PLANE):
+    words_per_plane = hashes // 64 + 1
+    for i in range(words_per_plane):
         unequal = F.lit(0).cast("long")
         for bit in range(LOW_BITS):
-            at = F.lit(bit * WORDS_PER_PLANE + i)
+            at = F.lit(bit * words_per_plane + i)
             unequal = unequal.bitwiseOR(F.get(a, at).bitwiseXOR(F.get(b, at)))
         different = different + F.bit_count(unequal)
-    agreement = F.lit(1.0) - different / F.lit(float(HASHES))
+    agreement = F.lit(1.0) - different / F.lit(float(hashes))
     return (agreement - F.lit(BY_CHANCE)) / F.lit(1 - BY_CHANCE)
 
 
