@@ -5,7 +5,9 @@ shingles are minhashed, lines that agree in a band are candidates, candidates ar
 Jaccard similarity of their shingle sets, and of every connected component one line stays, the first by
 (doc_id, place). Equal lines are one item from the start, so copies are never paired.
 
-Lines of fewer than ``MIN_WORDS`` words carry too little to be told from ordinary prose. They always stay.
+Two rules say which lines take part. By default lines of fewer than ``MIN_WORDS`` words stay. With ``every`` all
+lines but blank ones take part: those that have more than one shingle are compared like all others, whatever their
+words, and shorter ones are compared for equality.
 """
 
 from __future__ import annotations
@@ -31,8 +33,8 @@ SHINGLE = 8  # characters (bytes of UTF-8); a line that is compared has at least
 AT_LEAST = 80  # per cent
 MIN_WORDS = 5
 
-# A pair of similarity 0.8 shares no band with probability (1 - 0.8^5)^16 = 0.0017.
-ROWS, BANDS = 5, 16
+# A pair of similarity 0.8 shares no band with probability (1 - 0.8^5)^32 = 3e-6.
+ROWS, BANDS = 5, 32
 HASHES = ROWS * BANDS
 SKETCH = (HASHES // 64 + 1) * LOW_BITS  # integers
 
@@ -51,10 +53,10 @@ class Lines:
     """The lines of some texts that are compared, in comparable form: lower case, single blanks, trimmed.
 
     ``data`` holds them one after another with other bytes between; line ``i`` is ``data[start[i]:stop[i]]``, the
-    line ``place[i]`` of text ``text[i]``.
+    line ``place[i]`` of text ``text[i]``. Lines that are not ``fuzzy`` are compared for equality only.
     """
 
-    def __init__(self, column: pa.Array):
+    def __init__(self, column: pa.Array, every: bool = False):
         raw, offsets = words.text_bytes(column)
         starts, stops, _ = words.word_spans(raw, offsets, words.NOT_WHITE)
         feeds = np.flatnonzero(raw == 0x0A)
@@ -71,19 +73,21 @@ class Lines:
         data[blanks] = 0x20
         keep[blanks] = True
         new = np.cumsum(keep)
-        full = tails - heads >= MIN_WORDS
-        heads, tails = heads[full], tails[full]
+        if not every:
+            full = tails - heads >= MIN_WORDS
+            heads, tails = heads[full], tails[full]
         self.data = data[keep]
         self.start, self.stop = new[starts[heads]] - 1, new[stops[tails - 1] - 1]
+        self.fuzzy = self.stop - self.start > SHINGLE
         self.text = text_of[heads]
         self.place = feeds_before[heads] - np.searchsorted(feeds, offsets[self.text])
         self.rolling = words.Rolling(self.data, words.BYTE_VALUES)
         self.ids = self.rolling.stretches(self.start, self.stop)
 
 
-def _line_slices(column: pa.Array) -> Iterator[tuple[pa.Array, Lines]]:
+def _line_slices(column: pa.Array, every: bool) -> Iterator[tuple[pa.Array, Lines]]:
     for _, part in words.slices(column, words.SPAN):
-        yield part, Lines(part)
+        yield part, Lines(part, every)
 
 
 def _listed(counts: np.ndarray, values: pa.Array) -> pa.Array:
@@ -122,36 +126,40 @@ def _sketches(lines: Lines, chosen: np.ndarray) -> np.ndarray:
     return np.packbits(planes, axis=2, bitorder="little").reshape(len(chosen), -1).view(np.int64)
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signer(every: bool) -> Callable:
     """Places and ids of the lines of each document; band keys beside the first line of its kind in a slice."""
-    for batch in batches:
-        row = 0
-        for part, lines in _line_slices(batch.column("text")):
-            _, first = np.unique(lines.ids, return_index=True)
-            first.sort()
-            counts = np.bincount(lines.text, minlength=len(part))
-            fresh = np.bincount(lines.text[first], minlength=len(part))
-            keys = _band_keys(lines, first)
-            places = pa.StructArray.from_arrays(
-                [pa.array(lines.place, pa.int32()), pa.array(lines.ids.view(np.int64))], ["place", "item"]
-            )
-            bands = pa.StructArray.from_arrays(
-                [
-                    pa.array(lines.ids[first].view(np.int64)),
-                    _listed(np.full(len(first), BANDS), pa.array(keys.reshape(-1).view(np.int64))),
-                ],
-                ["item", "keys"],
-            )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id").slice(row, len(part)),
-                    batch.column("text_id").slice(row, len(part)),
-                    _listed(counts, places),
-                    _listed(fresh, bands),
-                ],
-                names=["doc_id", "text_id", "lines", "fresh"],
-            )
-            row += len(part)
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row = 0
+            for part, lines in _line_slices(batch.column("text"), every):
+                _, first = np.unique(lines.ids, return_index=True)
+                first = np.sort(first[lines.fuzzy[first]])
+                counts = np.bincount(lines.text, minlength=len(part))
+                fresh = np.bincount(lines.text[first], minlength=len(part))
+                keys = _band_keys(lines, first)
+                places = pa.StructArray.from_arrays(
+                    [pa.array(lines.place, pa.int32()), pa.array(lines.ids.view(np.int64))], ["place", "item"]
+                )
+                bands = pa.StructArray.from_arrays(
+                    [
+                        pa.array(lines.ids[first].view(np.int64)),
+                        _listed(np.full(len(first), BANDS), pa.array(keys.reshape(-1).view(np.int64))),
+                    ],
+                    ["item", "keys"],
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").slice(row, len(part)),
+                        batch.column("text_id").slice(row, len(part)),
+                        _listed(counts, places),
+                        _listed(fresh, bands),
+                    ],
+                    names=["doc_id", "text_id", "lines", "fresh"],
+                )
+                row += len(part)
+
+    return sign
 
 
 SIGNED = (
@@ -180,13 +188,14 @@ def overlap(text_a: pa.Array, text_b: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(shared, pa.int64()), pa.array(total, pa.int64())], ["shared", "total"])
 
 
-def _line_texts(wanted: Broadcast | None) -> Callable:
+def _line_texts(wanted: Broadcast | None, every: bool) -> Callable:
     """Ids and comparable forms of the lines, of those whose id is in a sorted array if one is given."""
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, lines in _line_slices(batch.column("text")):
+            for _, lines in _line_slices(batch.column("text"), every):
                 ids, first = np.unique(lines.ids.view(np.int64), return_index=True)
+                ids, first = ids[lines.fuzzy[first]], first[lines.fuzzy[first]]
                 if wanted is not None:
                     at = np.searchsorted(wanted.value, ids)
                     at[at == len(wanted.value)] = 0
@@ -207,7 +216,7 @@ def _line_texts(wanted: Broadcast | None) -> Callable:
     return texts
 
 
-def line_texts(docs: DataFrame, needed: DataFrame, work: Workspace) -> DataFrame:
+def line_texts(docs: DataFrame, needed: DataFrame, work: Workspace, every: bool = False) -> DataFrame:
     """``(item, text, sketch)`` of the lines whose ids are ``needed``.
 
     Few ids, counted, are sent to the tasks; more are joined.
@@ -218,7 +227,7 @@ def line_texts(docs: DataFrame, needed: DataFrame, work: Workspace) -> DataFrame
     if few:
         ids = np.sort(needed.toArrow()["item"].to_numpy())
         wanted = docs.sparkSession.sparkContext.broadcast(ids)
-    lines = docs.select("text").mapInArrow(_line_texts(wanted), "item long, text string, sketch array<long>")
+    lines = docs.select("text").mapInArrow(_line_texts(wanted, every), "item long, text string, sketch array<long>")
     lines = lines if few else lines.join(needed, "item", "left_semi")
     return work.keep(lines.groupBy("item").agg(F.min("text").alias("text"), F.first("sketch").alias("sketch")))
 
@@ -233,19 +242,19 @@ def _measured(pairs: DataFrame, texts: DataFrame, floor: float) -> DataFrame:
     return both.select("a", "b", "o.shared", "o.total")
 
 
-def repeated_lines(docs: DataFrame, work: Workspace) -> DataFrame:
+def repeated_lines(docs: DataFrame, work: Workspace, every: bool = False) -> DataFrame:
     """``(doc_id, text_id, places)``: the lines to remove from the documents that have any.
 
     Rows that agree in doc_id and text are one document.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    signed = docs.select("doc_id", _text_id(), "text").mapInArrow(_sign, SIGNED)
+    signed = docs.select("doc_id", _text_id(), "text").mapInArrow(_signer(every), SIGNED)
     signed = work.keep(signed.where(F.size("lines") > 0))
     lines = signed.select("doc_id", "text_id", "lines")
     banded = signed.select(F.explode("fresh").alias("line")).select("line.item", "line.keys")
     candidates = candidate_rows(banded, BANDS, work)
     needed = candidates.select(F.explode(F.array("item", "leader")).alias("item")).distinct()
-    texts = line_texts(docs, needed, work)
+    texts = line_texts(docs, needed, work, every)
     similarity = Similarity(
         lambda pairs: _measured(pairs, texts, ESTIMATE_FLOOR),
         AT_LEAST,
@@ -270,15 +279,15 @@ def _text_id() -> Column:
     return F.xxhash64("text").alias("text_id")
 
 
-def dedup_lines(docs: DataFrame, label: str = "line-dedup") -> DataFrame:
+def dedup_lines(docs: DataFrame, label: str = "line-dedup", every: bool = False) -> DataFrame:
     """All columns of ``docs``, the text without its repeated lines, and ``n_lines`` and ``n_dropped``.
 
-    Null and empty texts have no line to lose. A null doc_id orders after all others. Rows that agree in
+    ``every`` lets lines of few words take part, too. Null and empty texts have no line to lose. A null doc_id orders after all others. Rows that agree in
     doc_id and text are one document and get the same result. Columns of other names pass through; the two
     counts take a ``_`` more where their names are in use.
     """
     work = Workspace(docs.sparkSession, label)
-    places = repeated_lines(docs, work).select(
+    places = repeated_lines(docs, work, every).select(
         F.col("doc_id").alias("__id"), F.col("text_id").alias("__text"), F.col("places").alias("__places")
     )
     text = F.col("text").cast("string")

@@ -59,7 +59,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without lines that repeat, nearly or exactly, a line kept elsewhere."""
-    return line_dedup.dedup_lines(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return line_dedup.dedup_lines(read(spark, sf_dir, "documents", "doc_id", "text"), every=True)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
