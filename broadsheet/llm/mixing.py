@@ -20,6 +20,7 @@ from broadsheet.llm.tables import Workspace
 
 # A word of the size rule, the weights in order of sources, and the most epochs of a source.
 WORD = r"[^\x20\x09-\x0D]+"
+BLANKS = r"[\x20\x09-\x0D]"
 WEIGHTS = (1, 2, 3)
 MOST_EPOCHS = 3
 
@@ -138,11 +139,18 @@ def mix(
     return summed.select("doc_id", "source", "text_id", "size", "source_size", "target", taken.alias("taken"))
 
 
+def beginning(text: Column, n: Column) -> Column:
+    """``text`` up to the end of its word number ``n``."""
+    parts = F.regexp_extract_all(text, F.lit(rf"{BLANKS}*+{WORD}+"), F.lit(0))
+    return F.array_join(F.slice(parts, F.lit(1), n.cast("int")), "")
+
+
 def sample(docs: DataFrame, label: str = "mixing", **options) -> DataFrame:
     """The documents the mix takes, with the columns they have, the text repeated as often as it is taken.
 
     ``epochs_taken`` and ``words_taken`` tell how much of a document the mix takes: complete passes first,
-    the remainder is the beginning of the text, cut after a word. Documents it takes nothing of go. Equal rows
+    the remainder is the beginning of the text, cut after a word. The text holds them all, a line feed between,
+    and ``n_chars``, if there is such a column, is its length. Documents it takes nothing of go. Equal rows
     are taken together: they share the epochs, and each takes the mean of their words.
     """
     plan = mix(docs, label=label, **options)
@@ -155,5 +163,15 @@ def sample(docs: DataFrame, label: str = "mixing", **options) -> DataFrame:
         & (F.xxhash64(text) == F.col("__text_id"))
     )
     taken = docs.join(plan.where("__taken > 0"), same)
-    epochs = F.floor(F.col("__taken") / F.col("__size")).alias("epochs_taken")
-    return taken.select(*docs.columns, epochs, F.col("__taken").alias("words_taken"))
+    epochs = F.floor(F.col("__taken") / F.col("__size"))
+    rest = F.col("__taken") - epochs * F.col("__size")
+    last = F.when(rest > 0, F.array(beginning(text, rest))).otherwise(F.array().cast("array<string>"))
+    passes = F.array_join(F.concat(F.array_repeat(text, epochs.cast("int")), last), "\n")
+    changed = F.col("__taken") != F.col("__size")
+    taken = taken.withColumn("__mixed", F.when(changed, passes).otherwise(text))
+    shown = {"text": F.col("__mixed")}
+    if "n_chars" in docs.columns:
+        length = F.length("__mixed").cast(docs.schema["n_chars"].dataType)
+        shown["n_chars"] = F.when(changed, length).otherwise(F.col("n_chars"))
+    columns = [shown.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns]
+    return taken.select(*columns, epochs.alias("epochs_taken"), F.col("__taken").alias("words_taken"))
