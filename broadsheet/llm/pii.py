@@ -22,14 +22,21 @@ PHONE = r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,3}"
 ADDRESS = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"
 DATE = r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})"
 SOCIAL = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
-CARD = r"[0-9](?:[ -]?[0-9]){12,18}"
-FORMS = {"phone": PHONE, "address": ADDRESS, "date": DATE, "social": SOCIAL, "card": CARD}
+# Cards come in one piece or in the groups of their kinds. Fours in a row, with what may be a last group of a card or
+# a check value behind it, are one candidate, in which cards are looked for from the left.
+FOURS = r"[0-9]{4}(?:[ -][0-9]{4}){3}"
+RUN = r"[0-9]{4}(?:[ -][0-9]{4}){3,}(?:[ -][0-9]{3}|-[0-9]{1,2})?"
+CARD = r"(?:[0-9]{13,19}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}|[0-9]{4}[ -][0-9]{5}[ -][0-9]{6}|(?:[0-9]{4}[ -]){3}[0-9]{1,3})"
+FORMS = {"phone": PHONE, "address": ADDRESS, "date": DATE, "social": SOCIAL, "run": RUN, "card": CARD}
+# What every form holds: a plus and a digit, a point between digits, or three digits in a row.
+WORTH = r"[0-9]{3}|[0-9]\.[0-9]|\+[0-9]"
 # A candidate is no part of a longer number or word.
 CANDIDATE = rf"(?<![0-9A-Za-z+])(?<![0-9][.-])(?:{'|'.join(FORMS.values())})(?![0-9A-Za-z])(?![.-][0-9])"
 
 DATE_FORMATS = ("yyyy-MM-dd", "dd.MM.yyyy", "dd/MM/yyyy")
 # The days of 400 years are 27 * 5411; the Gregorian calendar repeats after them.
 FIRST_DAY, DAYS = "1800-01-01", (27, 5411)
+WALK = 16  # steps to the next number that one in ten is not
 SUBSCRIBER = 7  # digits of a telephone number that are permuted
 AREAS, GROUPS, SERIALS = 898, 99, 9999  # valid parts of a social-security number: 001-899 but 666, 01-99, 0001-9999
 
@@ -111,7 +118,73 @@ def _card(value: Column, key: Column, back: bool) -> Column:
     return F.when((n >= 13) & (luhn_sum(digits) % 10 == 0), in_format(value, F.get(check, F.lit(0))))
 
 
+def _run(value: Column, key: Column, back: bool) -> Column:
+    """Struct of fours with every valid card among them replaced, from the left, and the number of these cards; else
+    of all of it as one card."""
+    groups = F.regexp_extract_all(value, F.lit("[0-9]+[ -]?"), F.lit(0))
+
+    def group(state: Column, i: Column) -> Column:
+        four = F.array_join(F.slice(groups, i, F.lit(4)), "")
+        card = F.when(state["skip"] == 0, _card(F.regexp_extract(four, f"^{FOURS}", 0), key, back))
+        # The lambda binds the card once.
+        step = F.transform(
+            F.array(card),
+            lambda new: F.struct(
+                F.concat(
+                    state["text"],
+                    F.when(state["skip"] > 0, "")
+                    .when(new.isNotNull(), F.concat(new, F.regexp_extract(four, "[ -]?$", 0)))
+                    .otherwise(F.get(groups, i - 1)),
+                ).alias("text"),
+                F.when(state["skip"] > 0, state["skip"] - 1).when(new.isNotNull(), 3).otherwise(0).alias("skip"),
+                (state["n"] + F.when(new.isNotNull(), 1).otherwise(0)).alias("n"),
+            ),
+        )
+        return F.get(step, F.lit(0))
+
+    start = F.struct(F.lit("").alias("text"), F.lit(0).alias("skip"), F.lit(0).alias("n"))
+    places = F.sequence(F.lit(1), F.size(groups))
+    whole = F.when(value.rlike(f"^{FOURS}[ -][0-9]{{3}}$"), _long_card(value, key, back))
+    found = F.transform(
+        F.array(F.aggregate(places, start, group)),
+        lambda s: F.when(s["n"] > 0, F.struct(s["text"].alias("text"), s["n"].alias("n"))).otherwise(_single(whole)),
+    )
+    return F.get(found, F.lit(0))
+
+
+def _single(value: Column) -> Column:
+    """Struct of a value and 1, or of null and 0."""
+    counted = lambda v: F.struct(v.alias("text"), F.when(v.isNull(), 0).otherwise(1).alias("n"))
+    return F.get(F.transform(F.array(value), counted), F.lit(0))
+
+
+def _long_card(value: Column, key: Column, back: bool) -> Column:
+    """A card of 19 digits whose first 16 are none, among those of its kind: others are passed over."""
+
+    def is_none(card: Column) -> Column:
+        return luhn_sum(F.substr(_digits(card), F.lit(1), F.lit(16))) % 10 != 0
+
+    def walk(card: Column, _: Column) -> Column:
+        return F.when(is_none(card), card).otherwise(_card(card, key, back))
+
+    first = _card(value, key, back)
+    return F.when(first.isNotNull(), F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), first, walk))
+
+
 def _phone(value: Column, key: Column, back: bool) -> Column:
+    """A number of 10 to 15 digits; in a longer one a card behind the prefix, or the number without its last group."""
+    card = F.regexp_extract(value, rf"^\+[0-9]{{1,3}}[ .-]({FOURS})$", 1)
+    less = F.regexp_extract(value, r"^(.*[0-9)])[ .-][0-9]{2,4}$", 1)
+    prefix = F.regexp_extract(value, r"^\+[0-9]{1,3}[ .-]", 0)
+    rest = F.substr(value, F.length(less) + 1, F.length(value))
+    return F.coalesce(
+        _whole_phone(value, key, back),
+        F.concat(prefix, _card(card, key, back)),
+        F.concat(_whole_phone(less, key, back), rest),
+    )
+
+
+def _whole_phone(value: Column, key: Column, back: bool) -> Column:
     digits = _digits(value)
     n = F.length(digits)
     kept = F.substr(digits, F.lit(1), n - SUBSCRIBER)
@@ -165,12 +238,13 @@ def _social(value: Column, key: Column, back: bool) -> Column:
 KINDS: dict[str, Callable] = {"phone": _phone, "address": _address, "date": _date, "social": _social, "card": _card}
 
 
-def pseudonym(value: Column, key: Column, back: bool = False) -> Column:
-    """The value of the same format that stands for a candidate; null if the candidate is not valid."""
+def replaced(value: Column, key: Column, back: bool = False) -> Column:
+    """Struct of the value of the same format that stands for a candidate, null if it holds nothing valid, and the
+    number of values replaced."""
     out = F.lit(None).cast("string")
     for kind in reversed(KINDS):
         out = F.when(value.rlike(f"^{FORMS[kind]}$"), KINDS[kind](value, key, back)).otherwise(out)
-    return out
+    return F.when(value.rlike(f"^{RUN}$"), _run(value, key, back)).otherwise(_single(out))
 
 
 def pseudonymise(docs: DataFrame, key: str, back: bool = False) -> DataFrame:
@@ -186,16 +260,16 @@ def pseudonymise(docs: DataFrame, key: str, back: bool = False) -> DataFrame:
     text = F.col("text").cast("string")
     secret = F.lit(key)
     found = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
-    # One struct per candidate: what stands in its place, and whether that is a pseudonym.
-    new = F.transform(found, lambda value: pseudonym(value, secret, back))
+    # One struct per candidate: what stands in its place, and how many pseudonyms that holds.
+    new = F.transform(found, lambda value: replaced(value, secret, back))
     pieces = F.split(text, CANDIDATE, -1)
-    shown = F.zip_with(new, found, lambda a, b: F.coalesce(a, b))
+    shown = F.zip_with(new, found, lambda a, b: F.coalesce(a["text"], b))
     joined = F.array_join(
         F.zip_with(pieces, F.concat(shown, F.array(F.lit(""))), lambda piece, value: F.concat(piece, value)), ""
     )
-    # Every form holds three digits in a row, or two beside a separator.
-    worth = text.rlike(r"[0-9]{3}|[0-9][./-][0-9]")
-    staged = docs.withColumn("__new", F.when(worth, F.struct(joined.alias("text"), F.size(F.array_compact(new)).alias("n"))))
+    worth = text.rlike(WORTH)
+    total = F.aggregate(new, F.lit(0), lambda n, value: n + value["n"])
+    staged = docs.withColumn("__new", F.when(worth, F.struct(joined.alias("text"), total.alias("n"))))
     return staged.select(
         *[F.coalesce("__new.text", text).alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns],
         F.coalesce("__new.n", F.lit(0)).cast("long").alias(name),
