@@ -29,8 +29,7 @@ from broadsheet.llm.url_filters import host
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# An element that holds this share of its parent's text is descended into.
-MAIN_SHARE = 0.6
+# Elements that are descended into where they hold all text of their parent.
 DESCEND = frozenset("html body div section main article td table tbody tr center".split())
 
 # Beyond so many different parts in one element, parts are told apart by element name only; beyond so many
@@ -161,16 +160,19 @@ def expression(part: Part) -> str:
 
 
 def main_path(root: Part) -> list[str]:
-    """Keys from below the root to the part with the main text."""
+    """Keys from below the root to the part with the main text.
+
+    That is the element for main content; without one, the innermost that holds all text. Links are no text.
+    """
     path = _to_main_tag(root)
+    if path:
+        return path
     node = root
-    for key in path:
-        node = next(p for p in node.parts if p.key == key)
     while True:
         inner = [p for p in node.parts if p.key.split(".", 1)[0] in DESCEND and not p.repeated]
         best = max(inner, key=lambda p: p.chars, default=None)
-        # A heading beside a part belongs to the text: the part alone would lose it.
-        if best is None or best.chars < MAIN_SHARE * node.chars or any(p.key[:1] == "h" and p.key[1:2].isdigit() for p in node.parts):
+        # Text beside a part belongs to the main text: the part alone would lose it.
+        if best is None or not best.chars or best.chars < node.chars:
             return path
         path, node = [*path, best.key], best
 
