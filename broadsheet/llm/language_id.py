@@ -19,7 +19,7 @@ from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.tables import bound_batches
+from broadsheet.llm.tables import Workspace
 from broadsheet.llm.words import mix
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -33,8 +33,11 @@ BLANK, OTHER, FIRST = 1, 2, 3  # numbers of a run of non-letters, of rare letter
 # others for the calibration. This bounds the model, whatever the size of the corpus.
 FIT_DOCS = 2000
 CALIBRATION_DOCS = 500
-MAX_WINDOWS = 4_000_000  # (window, language) counts that are accepted from a sample
-MAX_LANGUAGES = 64
+FIT_SALT = 1
+# (window, language) counts of a sample, and cells of a table of different windows by languages. A sample beyond is
+# drawn again with fewer documents of every language, one at least.
+MAX_WINDOWS = 4_000_000
+MAX_CELLS = 1 << 27
 
 # A text is rejected when its cross-entropy exceeds the language's mean by REJECT_SLACK times the largest excess
 # that the calibration documents show; excesses are scaled by the square root of the length, up to FULL_LENGTH.
@@ -110,11 +113,57 @@ def _window_counter(shared: Broadcast) -> Callable:
     return count
 
 
-def sampled(labelled: DataFrame, docs: int, salt: int) -> DataFrame:
-    """About ``docs`` documents of every language, chosen by a hash of the text; all where there are fewer."""
-    per_lang = labelled.groupBy("lang").agg(F.count("*").alias("n"))
-    draw = F.pmod(F.xxhash64(F.lit(salt), "text"), F.lit(1 << 30)) / float(1 << 30)
-    return labelled.join(F.broadcast(per_lang.limit(MAX_LANGUAGES)), "lang").where(draw < docs / F.col("n")).drop("n")
+def _draw(salt: int) -> Column:
+    """Uniform in [0, 1) by the text."""
+    return F.pmod(F.xxhash64(F.lit(salt), "text"), F.lit(1 << 30)) / float(1 << 30)
+
+
+def labels(labelled: DataFrame, work: Workspace) -> DataFrame:
+    """``(lang, n_fit, least, n_held)`` of every language of ``labelled`` ``(lang, text, calibrating)``: documents to
+    fit and to calibrate, and the least draw of the former. Where all calibrate, all are there to fit, too."""
+    fits = ~F.col("calibrating")
+    counted = labelled.withColumn("draw", _draw(FIT_SALT)).groupBy("lang").agg(
+        F.count_if(fits).alias("n_fit"),
+        F.min(F.when(fits, F.col("draw"))).alias("least"),
+        F.min("draw").alias("least_of_all"),
+        F.count_if("calibrating").alias("n_held"),
+    )
+    none = F.col("n_fit") == 0
+    return work.small(
+        work.keep(
+            counted.select(
+                "lang",
+                F.when(none, F.col("n_held")).otherwise(F.col("n_fit")).alias("n_fit"),
+                F.when(none, F.col("least_of_all")).otherwise(F.col("least")).alias("least"),
+                "n_held",
+                none.alias("all_held"),
+            )
+        )
+    )
+
+
+def fitting_sample(labelled: DataFrame, known: DataFrame, docs: float) -> DataFrame:
+    """About ``docs`` documents of every language, chosen by a hash of the text, the one of least hash always."""
+    draw = _draw(FIT_SALT)
+    chosen = labelled.join(known, "lang").where(~F.col("calibrating") | F.col("all_held"))
+    return chosen.where((draw < docs / F.col("n_fit")) | (draw == F.col("least"))).select("lang", "text")
+
+
+def _counted_windows(sample: DataFrame, work: Workspace) -> tuple[DataFrame, Broadcast, float]:
+    """``(lang, window, n)`` of a sample, written; the numbers of its characters; and how many times too many the
+    windows are."""
+    sample_characters = F.arrow_udf("array<struct<char:string,n:long>>")(_count_characters)("text")
+    characters = sample.select(F.inline(sample_characters))
+    frequent = characters.groupBy("char").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "char").limit(ALPHABET)
+    table = work.spark.sparkContext.broadcast(character_numbers([row["char"] for row in frequent.collect()]))
+    counted = sample.select("lang", "text").mapInArrow(_window_counter(table), "lang string, window long, n long")
+    counted = work.keep(counted.groupBy("lang", "window").agg(F.sum("n").alias("n")))
+    n = counted.count()
+    excess = n / MAX_WINDOWS
+    langs = counted.select("lang").distinct().count()
+    if n * langs > MAX_CELLS:  # else no need to tell different windows
+        excess = max(excess, counted.select("window").distinct().count() * langs / MAX_CELLS)
+    return counted, table, excess
 
 
 class Model:
@@ -216,21 +265,22 @@ def entropies(texts: list[str | None], table: np.ndarray, model: dict) -> tuple[
 def fit(labelled: DataFrame) -> Broadcast | None:
     """A model from ``(text, lang)``; null languages and texts teach nothing. None if nothing is left.
 
-    Fitted on about ``FIT_DOCS`` documents per language and calibrated on about ``CALIBRATION_DOCS`` others.
+    Fitted on about ``FIT_DOCS`` documents per language, fewer where their windows are too many, and calibrated on
+    about ``CALIBRATION_DOCS`` others. Every language is learnt.
     """
     spark = labelled.sparkSession
-    bound_batches(spark)
     labelled = labelled.where("text is not null and lang is not null").select("text", "lang")
     calibrating = F.pmod(F.xxhash64(F.lit(5), "text"), F.lit(5)) == 0
-    fitting = sampled(labelled.where(~calibrating), FIT_DOCS, 1)
-    characters = fitting.select(F.inline(F.arrow_udf("array<struct<char:string,n:long>>")(_count_characters)("text")))
-    frequent = characters.groupBy("char").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "char").limit(ALPHABET)
-    table = spark.sparkContext.broadcast(character_numbers([row["char"] for row in frequent.collect()]))
-    counted = fitting.select("lang", "text").mapInArrow(_window_counter(table), "lang string, window long, n long")
-    counted = counted.groupBy("lang", "window").agg(F.sum("n").alias("n"))
-    arrow = counted.limit(MAX_WINDOWS + 1).toArrow()
-    if arrow.num_rows > MAX_WINDOWS:
-        raise ValueError(f"the sample has more than {MAX_WINDOWS} windows; fit on fewer documents per language")
+    labelled = labelled.withColumn("calibrating", calibrating)
+    work = Workspace(spark, "language")
+    known = labels(labelled, work)
+    docs = float(FIT_DOCS)
+    while True:
+        counted, table, excess = _counted_windows(fitting_sample(labelled, known, docs), work)
+        if excess <= 1 or docs <= 1:
+            break
+        docs = max(1.0, docs / excess * 0.9)
+    arrow = counted.toArrow()
     if not arrow.num_rows:
         return None
     names = arrow["lang"].to_pylist()
@@ -241,7 +291,8 @@ def fit(labelled: DataFrame) -> Broadcast | None:
     model["table"], model["letters"] = table.value, letter_table()
     raw = spark.sparkContext.broadcast(model)
     # Calibration: mean cross-entropy per language, and the largest excess over it by length.
-    held = sampled(labelled.where(calibrating), CALIBRATION_DOCS, 2).select("lang", "text")
+    held = labelled.where("calibrating").join(known, "lang")
+    held = held.where(_draw(2) < CALIBRATION_DOCS / F.col("n_held")).select("lang", "text")
     scored = held.select("lang", _scorer(raw)("text").alias("s")).select("lang", "s.*")
     scored = scored.where("lang = lang_pred and n_letters > 0")
     scale = F.sqrt(F.least("n_symbols", F.lit(FULL_LENGTH)).cast("double"))
