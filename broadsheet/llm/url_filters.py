@@ -14,14 +14,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.llm.tables import Workspace
 
-# Levels of the tree; what is deeper is one rest segment.
-DEPTH = 4
 # A node with more different children than this share of its URLs, and with more than the least number, is a
 # wildcard.
 WILD_SHARE, WILD_LEAST = 0.3, 8
@@ -31,7 +30,7 @@ MERGE_ERRORS = 2.0
 TEMPLATE_PRIOR, HOST_PRIOR = 20.0, 50.0
 REJECT_ABOVE = 0.5
 
-WILD, REST, MERGED = "*", "**", "+"
+WILD, MERGED = "*", "+"
 
 
 @dataclass(frozen=True)
@@ -90,8 +89,7 @@ def segments(path: Column) -> Column:
         )
         return F.concat(form, extension)
 
-    top = F.transform(F.slice(parts, 1, DEPTH), masked)
-    return F.when(F.size(parts) > DEPTH, F.concat(top, F.array(F.lit(REST)))).otherwise(top)
+    return F.transform(parts, masked)
 
 
 def _node(level: int) -> Column:
@@ -102,18 +100,28 @@ def _node(level: int) -> Column:
 def templates(paths: DataFrame, work: Workspace) -> DataFrame:
     """``(host, segments, template, n, n_labelled, n_bad)`` from masked paths with their counts.
 
-    Goes down the tree one level at a time; each level is two aggregations and one join of masked paths.
+    Goes down the tree one level at a time, until no path has a further segment; each level is two aggregations
+    and one join of masked paths. Paths that end, or that are alone below their node, are left as they are.
     """
-    tree = paths.withColumn("template", F.col("segments"))
-    for level in range(DEPTH):
+    tree = paths.withColumn("template", F.col("segments")).withColumn("__alone", F.lit(False))
+    settled, level = [], 0
+    while True:
+        inside = (F.size("template") > level) & ~F.col("__alone")
+        settled.append(tree.where(~inside).drop("__alone"))
+        tree = tree.where(inside).drop("__alone")
+        if tree.isEmpty():
+            return reduce(DataFrame.union, settled)
         here = F.get("template", F.lit(level))
-        inner = tree.where(F.size("template") > level)
-        child = inner.groupBy("host", _node(level).alias("node"), here.alias("segment")).agg(
-            F.sum("n").alias("n"), F.sum("n_labelled").alias("n_labelled"), F.sum("n_bad").alias("n_bad")
+        child = tree.groupBy("host", _node(level).alias("node"), here.alias("segment")).agg(
+            F.sum("n").alias("n"),
+            F.sum("n_labelled").alias("n_labelled"),
+            F.sum("n_bad").alias("n_bad"),
+            F.count("*").alias("paths"),
         )
         node = child.groupBy("host", "node").agg(
             F.count("*").alias("children"),
             F.sum("n").alias("all_n"),
+            F.sum("paths").alias("all_paths"),
             F.sum("n_labelled").alias("all_labelled"),
             F.sum("n_bad").alias("all_bad"),
         )
@@ -129,17 +137,17 @@ def templates(paths: DataFrame, work: Workspace) -> DataFrame:
             F.col("node").alias("__node"),
             F.col("segment").alias("__segment"),
             step.alias("__step"),
+            (F.col("all_paths") == 1).alias("__alone"),
         )
         at = (F.col("host") == F.col("__host")) & (_node(level) == F.col("__node")) & (here == F.col("__segment"))
-        tree = tree.join(steps, at, "left")
+        tree = tree.join(steps, at)
         changed = F.concat(
             F.slice("template", 1, level),
             F.array("__step"),
-            F.slice("template", level + 2, DEPTH + 1),
+            F.slice("template", F.lit(level + 2), F.size("template")),
         )
-        template = F.when(F.col("__step").isNull(), F.col("template")).otherwise(changed)
-        tree = work.keep(tree.withColumn("template", template).drop("__host", "__node", "__segment", "__step"))
-    return tree
+        tree = work.keep(tree.withColumn("template", changed).drop("__host", "__node", "__segment", "__step"))
+        level += 1
 
 
 def purity(tree: DataFrame) -> DataFrame:
