@@ -14,6 +14,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 FOLDER = "/opt/tokenizers"
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 PIECE_BPE = "piece_bpe_32k.model"
+WORD_BPE = "word_bpe_49k.json"
 
 # Fixed value: how the byte-level vocabulary cuts a text before merging.
 BYTE_BPE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"

@@ -1,0 +1,110 @@
+"""Encoding and decoding against the library whose results they must equal."""
+
+import hashlib
+import random
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from broadsheet.llm import bpe, queries, tokenizers
+
+FILE = f"{tokenizers.FOLDER}/{tokenizers.WORD_BPE}"
+POOLS = [
+    "abcdefgh '", "ABC'sd'LLre ", "éèÀßΣσςİıǅ ", "́̀e각 ", "日本語テキスト한국어",
+    "😀‍👧🇫🇷 ", "0123456789²½Ⅷ ", "  ​\x85\x1c\t\n\r ", "!?#$%…—«»<|>", "ᲉꟋ\U00010d50՘ ",
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(FILE)
+
+
+def odd_texts():
+    rng = random.Random(13)
+    runs = lambda: "".join("".join(rng.choices(rng.choice(POOLS), k=rng.randrange(1, 8))) for _ in range(rng.randrange(30)))
+    texts = [runs() + rng.choice(["", "<|startoftext|>x<|endoftext|><|endoftext|>", "<|ENDOFTEXT|>"]) for _ in range(800)]
+    return texts + ["", "  ", None, "a" * 70_000, "é" * 5001, "ab'" * 3000, "the" * 4000, "x" * 64, "x" * 65, "日" * 22]
+
+
+def test_equals_the_library_on_odd_texts(library):
+    vocabulary, texts = bpe.Vocabulary(tokenizers.FOLDER, tokenizers.WORD_BPE), odd_texts()
+    ids = vocabulary.encode(pa.array(texts))
+    expected = [library.encode(text or "", add_special_tokens=False).ids for text in texts]
+    assert ids.to_pylist() == expected
+    assert vocabulary.decode(ids).to_pylist() == [library.decode(row, skip_special_tokens=False) for row in expected]
+
+
+def test_word_table_does_not_change_results(library, monkeypatch):
+    texts = odd_texts()[:300]
+    whole = bpe.Vocabulary(tokenizers.FOLDER, tokenizers.WORD_BPE).encode(pa.array(texts))
+    for known, length in ((1, 64), (50, 2)):
+        monkeypatch.setattr(bpe, "KNOWN_WORDS", known)
+        monkeypatch.setattr(bpe, "KNOWN_LENGTH", length)
+        assert bpe.Vocabulary(tokenizers.FOLDER, tokenizers.WORD_BPE).encode(pa.array(texts)).equals(whole)
+
+
+def plain_merges(symbols, merges):
+    """The lowest rank first, the leftmost of equals, found anew each time."""
+    symbols = list(symbols)
+    while True:
+        ranks = [(merges.rank_of.get(a << bpe.ID_BITS | b, 1 << 40), i) for i, (a, b) in enumerate(zip(symbols, symbols[1:]))]
+        if not ranks or min(ranks)[0] == 1 << 40:
+            return symbols
+        rank, i = min(ranks)
+        symbols[i : i + 2] = [int(merges.results[rank])]
+
+
+def test_trees_equal_plain_merging():
+    """A made vocabulary with merges that overlap, chain and repeat."""
+    rng = random.Random(4)
+    symbols = list(range(5))
+    pairs, results = [], []
+    for new in range(5, 60):
+        pair = (rng.choice(symbols), rng.choice(symbols))
+        if pair not in pairs:
+            pairs.append(pair), results.append(new), symbols.append(new)
+    merges = bpe.Merges(pairs, results)
+    words = [[rng.randrange(5) for _ in range(rng.randrange(1, 33))] for _ in range(400)]
+    expected = [plain_merges(word, merges) for word in words]
+    assert [bpe.merge_word(word, merges) for word in words] == expected
+    import numpy as np
+
+    rows = np.full((len(words), 32), -1, dtype=np.int64)
+    for row, word in zip(rows, words):
+        row[: len(word)] = word
+    bpe.merge_rows(rows, np.array([len(word) for word in words]), merges)
+    assert [[s for s in row if s >= 0] for row in rows.tolist()] == expected
+
+
+def test_round_trip_and_unknown_ids(spark):
+    df = spark.createDataFrame([("Hello,  World! it's 12\n<|endoftext|>É",), ("",), (None,)], "t string")
+    rows = df.select(bpe.restore(bpe.encode(F.col("t"))).alias("t")).collect()
+    assert [row.t for row in rows] == ["hello , world ! it 's 1 2 <|endoftext|> é", "", ""]
+    ids = spark.createDataFrame([([3306, None, -1, 99_999_999, 1002],), ([],), (None,)], "ids array<int>")
+    assert [row[0] for row in ids.select(bpe.decode(F.col("ids"))).collect()] == ["hello</w> world</w>", "", ""]
+
+
+def test_digest_of_odd_rows(spark, library):
+    rows = [(1, "A b", 7), (1, "A b", 8), (None, None, 9), (2, "", 1)]
+    got = bpe.digest(spark.createDataFrame(rows, "doc_id long, text string, ids int")).collect()
+    empty = hashlib.sha256(b"").hexdigest()
+    assert [(row.doc_id, row.n_tokens) for row in got] == [(1, 2), (1, 2), (None, 0), (2, 0)]
+    assert got[2].ids_sha256 == got[2].decoded_sha256 == empty
+    assert got[0] == got[1]
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert bpe.digest(none).collect() == []
+
+
+def test_query_equals_the_library(spark, library):
+    sf_dir = "/root/testdata/sf0.001"
+    texts = dict(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect())
+    got = queries.op13_bpe(spark, sf_dir).collect()
+    assert len(got) == len(texts)
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    for row in got:
+        ids = library.encode(texts[row.doc_id] or "", add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        assert tuple(row) == (row.doc_id, len(ids), sha(" ".join(map(str, ids))), sha(decoded))
