@@ -46,6 +46,25 @@ SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN f USING (doc_id)
 """
 
+OP11 = rf"""
+WITH
+d AS (SELECT doc_id, {LOWER_AZ.format("unnest(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))")} AS term
+      FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+n AS (SELECT doc_id, count(*) AS n FROM d GROUP BY ALL),
+s AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM n),
+b AS (SELECT DISTINCT item_id, {LOWER_AZ.format("unnest(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))")} AS term
+      FROM benchmark),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+      FROM tf, s WHERE term IN (SELECT term FROM b) GROUP BY term, docs),
+m AS (SELECT doc_id, 100 - 50 + ((50 * n * docs) // terms) AS m FROM n, s),
+r AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+      FROM b JOIN w USING (term) JOIN tf USING (term) JOIN m USING (doc_id) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM r WHERE score > 0
+QUALIFY rank <= 50
+"""
+
 
 def all_oracles() -> dict[str, str]:
-    return {"op3_minhash": OP3, "op6_decontamination": OP6}
+    return {"op3_minhash": OP3, "op6_decontamination": OP6, "op11_lexical_search": OP11}

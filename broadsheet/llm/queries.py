@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from broadsheet.llm import (
+    bpe,
     decontamination,
     fertility,
     language_id,
+    lexical,
     line_dedup,
     minhash,
     mixing,
     pii,
     token_counts,
     url_filters,
+    whitening,
     wrappers,
 )
 from broadsheet.llm.tables import read
@@ -94,6 +97,22 @@ def op4_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extracted.select("page_id", "url", "text", "n_chars")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 documents that rank highest for each benchmark item."""
+    items = read(spark, sf_dir, "benchmark", "item_id", "text")
+    return lexical.search(read(spark, sf_dir, "documents", "doc_id", "text"), items)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding along the first 16 components, whitened."""
+    return whitening.whiten(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of what they decode to."""
+    return bpe.digest(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -111,6 +130,9 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_language_id,
         op9_mixing,
         op10_quality,
+        op11_lexical_search,
+        op12_whitening,
+        op13_bpe,
         pipeline,
     )
     return {query.__name__: query for query in listed}
