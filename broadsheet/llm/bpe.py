@@ -297,15 +297,24 @@ def _named(ids: pa.Array, names: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), names.take(pa.array(flat[known])))
 
 
+class _Loaded:
+    """A vocabulary, read by the first batch of a task."""
+
+    def __init__(self, folder: str, name: str):
+        self.file, self.vocabulary = (folder, name), None
+
+    def __call__(self) -> Vocabulary:
+        if self.vocabulary is None:
+            self.vocabulary = Vocabulary(*self.file)
+        return self.vocabulary
+
+
 def _applied(kind: str, method: str, folder: str, name: str) -> Callable:
-    loaded: dict = {}
+    loaded = _Loaded(folder, name)
 
     @F.arrow_udf(kind)
     def apply(column: pa.Array) -> pa.Array:
-        vocabulary = loaded.get((folder, name))
-        if vocabulary is None:
-            vocabulary = loaded[folder, name] = Vocabulary(folder, name)
-        return getattr(vocabulary, method)(column)
+        return getattr(loaded(), method)(column)
 
     return apply
 
@@ -325,6 +334,25 @@ def restore(ids: Column, folder: str = tokenizers.FOLDER, name: str = tokenizers
     return _applied("string", "restore", folder, name)(ids.cast("array<int>"))
 
 
+def coded(docs: DataFrame, folder: str = tokenizers.FOLDER, name: str = tokenizers.WORD_BPE) -> DataFrame:
+    """``(doc_id, ids, decoded)`` of ``docs`` ``(doc_id, text, ...)``: :func:`encode` and :func:`decode` in one go.
+
+    As columns, the second would have its text encoded once more.
+    """
+    loaded = _Loaded(folder, name)
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = loaded().encode(batch.column("text"))
+            columns = [batch.column("doc_id"), ids, loaded().decode(ids)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"])
+
+    bound_batches(docs.sparkSession)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    texts = docs.select("doc_id", F.col("text").cast("string"))
+    return texts.mapInArrow(both, f"doc_id {kind}, ids array<int>, decoded string")
+
+
 def digest(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` for every row of ``docs`` ``(doc_id, text, ...)``.
 
@@ -332,11 +360,9 @@ def digest(docs: DataFrame) -> DataFrame:
     have no tokens and the digests of the empty string. Rows are independent of each other, so repeated rows and
     null ids give rows of their own; other columns are ignored. Nothing is shuffled.
     """
-    bound_batches(docs.sparkSession)
-    coded = docs.select("doc_id", encode(F.col("text")).alias("ids"))
-    return coded.select(
+    return coded(docs).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2(decode(F.col("ids")), 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
