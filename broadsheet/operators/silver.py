@@ -2,31 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.functions.language import detect_language
+from broadsheet.functions.language import Model, with_language
 from broadsheet.functions.text import canonical_country, normalize, strip_html
 from broadsheet.operators.quality import accepted
 from broadsheet.schema import SILVER
 
 
-def enrich(articles: DataFrame, model: Broadcast) -> DataFrame:
+def enrich(articles: DataFrame, model: Model) -> DataFrame:
     """Cleaned, normalised and language-tagged copies of already accepted articles."""
+    cleaned = articles.withColumns(
+        {
+            "content_clean": strip_html(F.col("content")),
+            "title_clean": strip_html(F.col("title")),
+            "country": canonical_country(F.col("country")),
+        }
+    )
     return (
-        articles.withColumns(
-            {
-                "content_clean": strip_html(F.col("content")),
-                "title_clean": strip_html(F.col("title")),
-                "country": canonical_country(F.col("country")),
-            }
-        )
+        with_language(cleaned, "content_clean", model, stripped=True)
         .withColumns(
             {
                 "content_normalized": normalize(F.col("content_clean")),
                 "title_normalized": normalize(F.col("title_clean")),
-                "language": detect_language(F.col("content_clean"), model, stripped=True),
                 "processed_at": F.current_timestamp(),
             }
         )
@@ -34,5 +33,5 @@ def enrich(articles: DataFrame, model: Broadcast) -> DataFrame:
     )
 
 
-def to_silver(bronze: DataFrame, model: Broadcast) -> DataFrame:
+def to_silver(bronze: DataFrame, model: Model) -> DataFrame:
     return enrich(accepted(bronze), model)

@@ -148,3 +148,63 @@ def test_long_texts_are_scored_whole(monkeypatch):
         monkeypatch.setattr(language, "CHUNK", chunk)
         assert language._best_languages(texts, model) == expected
     assert np.array_equal(language._best_languages([], model), [])
+
+
+def test_packed_grams_are_those_of_the_scorer(spark):
+    grams = [" ab", "é日\U00010428", "\x00￿ ", "zzz"]
+    df = spark.createDataFrame([(gram,) for gram in grams], "g string")
+    rows = df.select("g", language.packed(F.col("g")).alias("p"), language.unpacked(language.packed(F.col("g"))).alias("u")).collect()
+    assert [(row.p, row.u) for row in rows] == [(int(language._pack(gram)[0]), gram) for gram in grams]
+
+
+def odd_labelled(spark, n, seed):
+    """Texts of three invented languages with rare grams of their own, copies, and texts that tell nothing."""
+    rng = random.Random(seed)
+    alphabets = {"aa": "abcdeé", "bb": "cdefgß", "cc": "efghi日\U00010428"}
+    rows = []
+    for i in range(n):
+        lang = rng.choice(list(alphabets))
+        words = ["".join(rng.choices(alphabets[lang], k=rng.randrange(1, 7))) for _ in range(rng.randrange(30))]
+        rows.append((i % (n - 5), lang, " ".join(words)))
+    return rows + [(1, "aa", None), (None, "bb", ""), (3, "cc", "  ab  "), (4, "aa", "0123456789 0123"), (5, "bb", "щ" * 20)]
+
+
+@pytest.mark.parametrize("most_rows", [0, 1, 100, 400])
+def test_joined_models_give_the_same_labels(spark, most_rows):
+    """Repeated rows and null ids included; each row keeps its own label."""
+    rows = odd_labelled(spark, 300, 1)
+    df = spark.createDataFrame(rows, "id long, lang string, text string").repartition(4)
+    profiles = train_profiles(df.where("id % 3 = 0"))
+    whole, parted = load_model(profiles), load_model(profiles, most_rows)
+    assert whole.tail is None and parted.tail is not None and parted.tail.count() > 0
+    assert parted.tail.count() + np.count_nonzero(parted.head.value["by_lang"]) == profiles.count()
+    with pytest.raises(ValueError, match="with_language"):
+        detect_language(F.col("text"), parted)
+    labels = [sorted(map(str, language.with_language(df, "text", model).collect())) for model in (whole, parted)]
+    assert labels[0] == labels[1] and len(labels[0]) == len(rows)
+
+
+def test_joined_models_break_ties_by_code(spark):
+    same = spark.createDataFrame([("nl", "abc abd"), ("af", "abc abd"), ("zu", "xyz")], "lang string, text string")
+    model = load_model(train_profiles(same), 3)
+    df = spark.createDataFrame([("abc abc abd",), ("xyz xyz xyz",)], "t string")
+    assert [row.language for row in language.with_language(df, "t", model).orderBy("t").collect()] == ["af", "zu"]
+
+
+def test_joined_model_on_the_given_documents(spark):
+    from broadsheet.plans import inputs
+
+    sf_dir = "/root/testdata/sf0.001"
+    documents = inputs.table(spark, sf_dir, "documents", "doc_id", "text")
+    parted = load_model(inputs.profiles(spark, sf_dir), 100)
+    got = {tuple(row) for row in language.with_language(documents, "text", parted).drop("text").collect()}
+    assert got == {tuple(row) for row in language.with_language(documents, "text", inputs.model(spark, sf_dir)).drop("text").collect()}
+
+
+def test_partial_counts_of_many_grams_add_up(spark, monkeypatch):
+    from broadsheet.operators import profiles as training
+
+    df = spark.createDataFrame(odd_labelled(spark, 200, 2), "id long, lang string, text string").repartition(3)
+    whole = sorted(map(tuple, train_profiles(df).collect()))
+    monkeypatch.setattr(training, "GRAMS_HELD", 5)
+    assert sorted(map(tuple, train_profiles(df).collect())) == whole
