@@ -63,16 +63,24 @@ class _Complete(Exception):
 
 
 class _Item:
+    """An item, whose title is the texts of the page from ``start`` up to ``stop``."""
+
+    __slots__ = ("depth", "start", "stop", "inside", "around")
+
     def __init__(self, depth: int, around: tuple | None):
         self.depth = depth
-        self.title_depth = None  # depth of the element that holds the title
-        self.title_open = False
-        self.parts = []
+        self.start = self.stop = None
         self.inside = None  # (href,) of the first link inside
         self.around = around  # (href,) of the nearest link around
 
 
 class _ItemReader(HTMLParser):
+    """Every event costs the same however many items are open.
+
+    The texts of the page are kept once, and items hold places in them. The open items are a stack; those that still
+    lack a link or a title are its upper part, as a link or title element serves all that are open.
+    """
+
     def __init__(self, rule: dict, candidates: int):
         super().__init__(convert_charrefs=False)
         self.tag = rule["item_tag"]
@@ -85,8 +93,12 @@ class _ItemReader(HTMLParser):
         self.links = []  # (depth, href) of the open links
         self.muted = 0
         self.text = []
+        self.texts = []
         self.items = []
         self.live = []
+        self.unlinked = []  # open items without a link so far
+        self.untitled = []  # open items without a title so far
+        self.titling = {}  # depth of an open element -> the items whose title it is
 
     def updatepos(self, i, j):
         return j  # line numbers are not needed
@@ -129,21 +141,23 @@ class _ItemReader(HTMLParser):
         href = None
         if tag == "a":
             href = next((value or "" for name, value in reversed(attrs) if name == "href"), None)
-            for item in self.live:
-                if item.inside is None:
-                    item.inside = (href,)
+            for item in self.unlinked:
+                item.inside = (href,)
+            self.unlinked.clear()
         if tag == self.title_tag:
-            for item in self.live:
-                if item.title_depth is None:
-                    item.title_depth, item.title_open = depth, True
+            self.begin_titles(self.untitled, depth)
+            self.untitled = []
         if tag == self.tag:
             self.candidates -= 1
             if (self.cap is None or len(self.items) < self.cap) and self.has_class(attrs):
                 item = _Item(depth, self.links[-1][1:] if self.links else None)
-                if self.title_tag is None:
-                    item.title_depth, item.title_open = depth, True
                 self.items.append(item)
                 self.live.append(item)
+                self.unlinked.append(item)
+                if self.title_tag is None:
+                    self.begin_titles([item], depth)
+                else:
+                    self.untitled.append(item)
         self.open.append(tag)
         self.open_names[tag] += 1
         self.muted += tag in MUTED_TAGS
@@ -166,15 +180,23 @@ class _ItemReader(HTMLParser):
         value = next((value or "" for name, value in reversed(attrs) if name == "class"), "")
         return self.css_class in value.split()
 
+    def begin_titles(self, items, depth):
+        for item in items:
+            item.start = len(self.texts)
+        if items:
+            self.titling.setdefault(depth, []).extend(items)
+
+    def end_titles(self, depth):
+        for item in self.titling.pop(depth, ()):
+            item.stop = len(self.texts)
+
     def flush(self):
         if not self.text:
             return
         text = "".join(self.text).strip()
         self.text.clear()
-        if text and not self.muted:
-            for item in self.live:
-                if item.title_open:
-                    item.parts.append(text)
+        if text and not self.muted and self.titling:
+            self.texts.append(text)
 
     def pop(self) -> str:
         depth = len(self.open)
@@ -183,11 +205,12 @@ class _ItemReader(HTMLParser):
         self.muted -= tag in MUTED_TAGS
         if self.links and self.links[-1][0] == depth:
             self.links.pop()
-        for item in self.live:
-            if item.title_depth == depth:
-                item.title_open = False
+        self.end_titles(depth)
         if self.live and self.live[-1].depth == depth:
-            self.live.pop()
+            item = self.live.pop()
+            for waiting in (self.unlinked, self.untitled):
+                if waiting and waiting[-1] is item:
+                    waiting.pop()
             self.stop_when_complete()
         return tag
 
@@ -196,6 +219,9 @@ class _ItemReader(HTMLParser):
         if not self.live and (full or self.candidates <= 0):
             raise _Complete
 
+    def title(self, item: _Item) -> str | None:
+        return None if item.start is None else "".join(self.texts[item.start : item.stop])
+
 
 def _read_items(html: str, rule: dict) -> list[dict]:
     # The case-sensitive '<' in front keeps this search fast.
@@ -215,8 +241,7 @@ def _read_items(html: str, rule: dict) -> list[dict]:
             link = item.inside
         if link is None and rule["link"] in (AROUND, INSIDE_ELSE_AROUND):
             link = item.around
-        title = None if item.title_depth is None else "".join(item.parts)
-        found.append({"pos": pos, "title": title, "href": link[0] if link else None})
+        found.append({"pos": pos, "title": reader.title(item), "href": link[0] if link else None})
     return found
 
 

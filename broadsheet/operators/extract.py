@@ -92,16 +92,16 @@ def matched_pages(pages: DataFrame, rules: Sequence[SiteRule]) -> DataFrame:
 
 
 def with_rule(pages: DataFrame, rules: SiteRule | Sequence[SiteRule]) -> DataFrame:
-    """Add a ``rule`` struct: one rule for all pages, or the rule of the page's host.
+    """Add a ``rule`` struct: one rule for all pages, or the rule of the page's host, null if it has none.
 
-    Pages of hosts without a rule have no items (:func:`matched_pages` counts them). The rule table is a literal list in this program.
+    The rule table is a literal list in this program.
     """
     if isinstance(rules, SiteRule):
         return pages.withColumn("rule", _literal_rule(rules))
     table = pages.sparkSession.createDataFrame([asdict(rule) for rule in rules], _RULE)
     table = table.select("host", F.struct(*table.columns).alias("rule"))
     hosted = pages.withColumn("host", page_host())
-    return hosted.join(F.broadcast(table), "host").drop("host")
+    return hosted.join(F.broadcast(table), "host", "left").drop("host")
 
 
 def _literal_rule(rule: SiteRule) -> Column:
@@ -110,22 +110,41 @@ def _literal_rule(rule: SiteRule) -> Column:
     )
 
 
-def read_items(pages: DataFrame, rules: SiteRule | Sequence[SiteRule]) -> DataFrame:
+def read_items(pages: DataFrame, rules: SiteRule | Sequence[SiteRule], unread: bool = False) -> DataFrame:
     """One row per item, and one with a null ``pos`` per page that could not be read.
 
-    Keeps the page's columns but ``html`` and adds ``rule, pos, title, href, error``.
+    Keeps the page's columns but ``html`` and adds ``rule, pos, title, href, error``. With ``unread``, pages of hosts
+    without a rule have a row as well, with a null ``rule``, and ``html`` stays of pages that could not be read.
     """
     ruled = with_rule(pages, rules)
+    if not unread:
+        ruled = ruled.where(F.col("rule").isNotNull())
     reader_rule = F.struct(*[F.col(f"rule.{name}").alias(name) for name in _READER_FIELDS])
+    read = ruled.withColumn("page", page_items(F.when(F.col("rule").isNotNull(), F.col("html")), reader_rule))
     kept = [name for name in ruled.columns if name != "html"]
-    return (
-        ruled.withColumn("page", page_items(F.col("html"), reader_rule))
-        .select(*kept, "page.error", F.explode_outer("page.items").alias("item"))
-        .where(F.col("item").isNotNull() | F.col("error").isNotNull())
-        .select(*kept, "item.pos", "item.title", "item.href", "error")
+    failed = [F.when(F.col("page.error").isNotNull(), F.col("html")).alias("html")] if unread else []
+    items = read.select(*kept, *failed, "page.error", F.explode_outer("page.items").alias("item"))
+    reported = F.col("error").isNotNull() | (F.col("rule").isNull() if unread else F.lit(False))
+    return items.where(F.col("item").isNotNull() | reported).select(
+        *kept, "item.pos", "item.title", "item.href", "error", *(["html"] if unread else [])
     )
 
 
+def is_unmatched() -> Column:
+    """For rows of :func:`read_items` with ``unread``: a page whose host has no rule."""
+    return F.col("rule").isNull()
+
+
+def failed_pages(items: DataFrame) -> DataFrame:
+    """``(page_id, url, html, error)`` of the pages that could not be read, from items with ``unread``."""
+    return items.where(F.col("error").isNotNull()).select("page_id", "url", "html", "error")
+
+
+def unmatched_hosts(items: DataFrame) -> DataFrame:
+    """``(host, pages)`` of the pages without a rule, from items with ``unread``; the host may be null."""
+    return items.where(is_unmatched()).groupBy(page_host().alias("host")).agg(F.count("*").alias("pages"))
+
+
 def has_title() -> Column:
     """An item is dropped without its title element; an item that is its own title, when empty."""
     own_title = F.col("rule.title_tag").isNull()

@@ -18,11 +18,13 @@ from broadsheet.operators.extract import (
     HESPRESS,
     HESPRESS_LIVE,
     STREAM_RULES,
+    failed_pages,
     gathered,
     read_items,
     to_articles,
     utc_iso,
     matched_pages,
+    unmatched_hosts,
 )
 from broadsheet.schema import ARTICLE_FIELDS
 
@@ -344,3 +346,46 @@ def test_unclosed_and_stray_tags_take_linear_time():
     started = time.perf_counter()
     assert items(html, "h2") == [("t", None)]
     assert time.perf_counter() - started < 5
+
+
+@pytest.mark.parametrize(
+    "page, rule, expected",
+    [
+        ("<div class=c>" * 100_000 + "x", dict(item_tag="div", item_class="c"), ("x", None)),
+        ("<div><h3>t</h3>" * 100_000 + "<a href=/z>x", dict(item_tag="div", title_tag="h3"), ("t", "/z")),
+        ("<div>" * 100_000 + "<h3>t</h3><a href=/z></a>" + "</div>" * 100_000, dict(item_tag="div", title_tag="h3"), ("t", "/z")),
+        ("<a href=/z>" * 100_000 + "<h2>x" * 3, dict(item_tag="h2", link=AROUND), ("xxx", "/z")),
+    ],
+)
+def test_deeply_nested_items_take_linear_time(page, rule, expected):
+    started = time.perf_counter()
+    found = items(page, **rule)
+    assert time.perf_counter() - started < 8
+    assert found[0] == expected and len(found) in (100_000, 3)
+
+
+def test_unmatched_and_failed_pages_have_rows_of_their_own(spark, monkeypatch):
+    read = reader._read_items
+
+    def fail(html, rule):
+        if "poison" in html:
+            raise ValueError("broken")
+        return read(html, rule)
+
+    monkeypatch.setattr(reader, "_read_items", fail)
+    pages = spark.createDataFrame(
+        [
+            (1, "https://www.bbc.com/", "<h3>a</h3><h3>b</h3>"),
+            (2, "https://www.bbc.com/bad", "<h3>poison</h3>"),
+            (3, "https://elsewhere.org/", "<h3>c</h3>"),
+            (4, "https://elsewhere.org/x", None),
+            (5, None, "<h3>d</h3>"),
+            (6, "https://www.bbc.com/empty", None),
+        ],
+        "page_id long, url string, html string",
+    )
+    found = read_items(pages, BATCH_RULES, unread=True)
+    assert [tuple(row) for row in failed_pages(found).collect()] == [(2, "https://www.bbc.com/bad", "<h3>poison</h3>", "ValueError: broken")]
+    assert {row.host: row.pages for row in unmatched_hosts(found).collect()} == {"elsewhere.org": 2, None: 1}
+    assert sorted(row.title for row in to_articles(found).collect()) == ["a", "b"]
+    assert read_items(pages, BATCH_RULES).count() == 3
