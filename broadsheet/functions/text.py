@@ -92,22 +92,46 @@ def publish_day(published: Column) -> Column:
 def word_pieces(text: Column) -> Column:
     """A long text as an array of pieces that end where a word ends; a short one as its only piece.
 
-    What is exploded from a piece then fits in memory however long the text is, as long as it has white space:
-    a text without any stays one piece.
+    Each piece can be searched for words by itself. A text without white space stays one piece, see
+    :func:`bounded_pieces`.
     """
-    cut = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PIECE_LENGTH}}}+\S*+"), F.lit(0))
+    return _cut(text, r"\S*+")
+
+
+def bounded_pieces(text: Column) -> Column:
+    """Like :func:`word_pieces`, with pieces of at most twice ``PIECE_LENGTH``: longer words are cut.
+
+    Where a word is cut, the next piece goes on with it.
+    """
+    return _cut(text, rf"\S{{0,{PIECE_LENGTH}}}+")
+
+
+def _cut(text: Column, rest_of_word: str) -> Column:
+    cut = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PIECE_LENGTH}}}+{rest_of_word}"), F.lit(0))
     return F.when(F.octet_length(text) > PIECE_LENGTH, cut).otherwise(F.array(text))
 
 
+def plain_words(text: Column, mode: str = "ascii") -> Column:
+    """Lower-case words of a mode's alphabet with white space between; other characters are deleted.
+
+    Deletion glues what stands around, and what a letter becomes may depend on the letters beside it: both are
+    done before a text is cut into pieces.
+    """
+    return F.lower(F.regexp_replace(text, WORD_RULES[mode][0], ""))
+
+
 def keywords(text: Column, mode: str = "ascii") -> Column:
     """The lower-case words of keyword length, as an array, stop words included.
 
     Characters outside the mode's alphabet are deleted first, which glues the parts around them.
     Words are found by one pass over the rest instead of being split, measured and filtered.
     """
-    deleted, word = WORD_RULES[mode]
-    plain = F.lower(F.regexp_replace(text, deleted, ""))
-    return F.regexp_extract_all(plain, F.lit(f"{word}{{{MIN_KEYWORD_LENGTH},}}+"), F.lit(0))
+    return listed_keywords(plain_words(text, mode), mode)
+
+
+def listed_keywords(plain: Column, mode: str = "ascii") -> Column:
+    """The words of keyword length in text of :func:`plain_words`."""
+    return F.regexp_extract_all(plain, F.lit(f"{WORD_RULES[mode][1]}{{{MIN_KEYWORD_LENGTH},}}+"), F.lit(0))
 
 
 def is_stopword(word: Column) -> Column:

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from broadsheet.functions.text import is_stopword, keywords, publish_day, word_pieces
-from broadsheet.schema import TOP_KEYWORDS
+from broadsheet.functions.text import (
+    bounded_pieces,
+    is_stopword,
+    listed_keywords,
+    plain_words,
+    publish_day,
+)
+from broadsheet.schema import MIN_KEYWORD_LENGTH, TOP_KEYWORDS
 
 DIMENSIONS = ("publish_day", "source", "category", "country", "language")
 
@@ -75,13 +81,85 @@ def share_of_total(counts: DataFrame) -> DataFrame:
 
 
 def word_frequency(texts: DataFrame, text: str, mode: str = "ascii") -> DataFrame:
-    return (
-        texts.select(F.explode(word_pieces(F.col(text))).alias("piece"))
-        .select(F.explode(keywords(F.col("piece"), mode)).alias("word"))
+    """``(word, frequency)``, however long texts and words are.
+
+    Texts are read once and counted in bounded pieces. Parts of words that a cut went through travel among the
+    words, marked as such, and are put together after the count.
+    """
+    counted = (
+        _pieces(texts.select(plain_words(F.col(text), mode).alias("plain")))
+        .select(F.explode(F.concat(listed_keywords(F.col("inner"), mode), "parts")).alias("word"))
         .where(~is_stopword(F.col("word")))
         .groupBy("word")
         .agg(F.count("*").alias("frequency"))
     )
+    # Both halves ask about the count, too, so that the question stays above it and the one count serves both.
+    is_part = F.when(F.col("frequency") > 0, F.col("word").startswith(MARK))
+    cut = _cut_words(counted.where(is_part)).where(~is_stopword(F.col("word")))
+    both = counted.where(~is_part).union(cut.where(F.length("word") >= MIN_KEYWORD_LENGTH))
+    return both.groupBy("word").agg(F.sum("frequency").alias("frequency"))
+
+
+# What parts of words begin with, and what stands between their fields; part of no word.
+MARK = "\0"
+
+
+def _pieces(plain: DataFrame) -> DataFrame:
+    """``(inner, parts)`` of the pieces of texts ``(plain)`` of words and white space.
+
+    ``inner`` holds the words no cut went through; ``parts`` those of others, marked: the ``head`` of a piece, the rest
+    of a word that began in an earlier one, and its ``tail``, the beginning of a word that goes on in the next. A
+    piece inside one word is a head that does not end it.
+    """
+    cut = plain.select("plain", bounded_pieces(F.col("plain")).alias("pieces"))
+
+    def joined(left: Column, right: Column) -> Column:
+        """Whether a word goes on from one piece to the next."""
+        return F.coalesce(left.rlike(r"\S\z") & right.rlike(r"\A\S"), F.lit(False))
+
+    def marked(piece: Column, i: Column) -> Column:
+        before, after = F.get("pieces", i - 1), F.get("pieces", i + 1)
+        return F.struct(i.alias("i"), piece.alias("piece"), joined(before, piece).alias("goes_on"), joined(piece, after).alias("is_cut"))
+
+    alone = F.struct(F.lit(0).alias("i"), F.col("plain").alias("piece"), F.lit(False).alias("goes_on"), F.lit(False).alias("is_cut"))
+    several = F.size("pieces") > 1
+    listed = cut.select(
+        # Equal texts share a number, and their parts are counted together.
+        F.when(several, F.sha2("plain", 256)).alias("text"),
+        F.explode(F.when(several, F.transform("pieces", marked)).otherwise(F.array(alone))).alias("p"),
+    ).select("text", "p.*")
+    inside = F.col("goes_on") & F.col("is_cut") & ~F.col("piece").rlike(r"\s")
+    head = F.when(F.col("goes_on"), F.regexp_extract("piece", r"\A\S*+", 0))
+    tail = F.when(F.col("is_cut") & ~inside, F.regexp_extract("piece", r"\S*+\z", 0))
+    parts = F.array_compact(F.array(
+        _marked("text", "i", F.when(inside, "inside").otherwise("head"), head), _marked("text", "i", F.lit("tail"), tail)
+    ))
+    length = {name: F.coalesce(F.length(part), F.lit(0)) for name, part in (("head", head), ("tail", tail))}
+    inner = F.substring("piece", length["head"] + 1, F.length("piece") - length["head"] - length["tail"])
+    whole = ~F.col("goes_on") & ~F.col("is_cut")
+    return listed.select(
+        F.when(whole, F.col("piece")).otherwise(inner).alias("inner"),
+        F.when(whole, F.array().cast("array<string>")).otherwise(parts).alias("parts"),
+    )
+
+
+def _marked(text: str, i: str, kind: Column, part: Column) -> Column:
+    fields = [F.col(text), F.col(i).cast("string"), kind, part]
+    return F.when(part.isNotNull(), F.concat(*[column for field in fields for column in (F.lit(MARK), field)]))
+
+
+def _cut_words(parts: DataFrame) -> DataFrame:
+    """``(word, frequency)``: words put together from marked parts ``(word, frequency)``."""
+    fields = F.split("word", MARK)
+    names = ("text", "i", "kind", "part")
+    parts = parts.select(*[F.get(fields, F.lit(at + 1)).alias(name) for at, name in enumerate(names)], "frequency")
+    parts = parts.withColumn("i", F.col("i").cast("int"))
+    # The words of a text that were cut are numbered by those that ended before: a tail begins one, a head ends it.
+    before = Window.partitionBy("text").orderBy("i", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    ended = F.coalesce(F.sum((F.col("kind") == "head").cast("int")).over(before), F.lit(0))
+    in_order = F.array_sort(F.collect_list(F.struct("i", "part")))
+    words = parts.withColumn("ended", ended).groupBy("text", "ended")
+    return words.agg(F.array_join(in_order["part"], "").alias("word"), F.max("frequency").alias("frequency")).select("word", "frequency")
 
 
 def top_keywords(

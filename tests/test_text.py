@@ -1,6 +1,8 @@
 """Text functions against stated edge rows and against short Python models of the same rules."""
 
+import random
 import re
+from collections import Counter
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -9,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from broadsheet.functions import text as text_functions
+from broadsheet.operators import gold
+from broadsheet.schema import STOPWORDS
 from broadsheet.functions.text import (
     GAP,
     SPACE,
@@ -187,3 +191,38 @@ def test_pieces_hold_the_text_and_its_words(spark, texts):
 def test_stopwords(spark):
     words = ["with", "hespress", "maroc", ""]
     assert apply(spark, is_stopword, words) == [True, True, False, True]
+
+
+def plain_frequency(texts, mode):
+    """Every word of the uncut texts, in plain Python."""
+    odd = r"[^A-Za-z0-9_ \t\n\x0b\f\r]" if mode == "ascii" else r"[^\w \t\n\x0b\f\r]"
+    counts = Counter()
+    for text in texts:
+        words = re.split(r"[ \t\n\x0b\f\r]+", re.sub(odd, "", text or "").lower())
+        counts.update(word for word in words if len(word) >= 4 and word not in STOPWORDS)
+    return counts
+
+
+@pytest.mark.parametrize("mode", ["ascii", "unicode"])
+@pytest.mark.parametrize("length", [1, 3, 8, 50])
+def test_cut_words_are_put_together(spark, monkeypatch, mode, length):
+    """Texts of long and short runs, with copies, at pieces far shorter than the runs."""
+    rng = random.Random(length)
+    runs = lambda: "".join(rng.choices("abcdé日.-", k=rng.choice([1, 2, 5, 9, 40])))
+    texts = ["".join(runs() + rng.choice([" ", "\n", "  ", ""]) for _ in range(rng.randrange(12))) for _ in range(60)]
+    texts += texts[:20] + ["", None, " ", "abcd" * 30, "that " * 5, "x" * 7 + " that"]
+    monkeypatch.setattr(text_functions, "PIECE_LENGTH", length)
+    df = spark.createDataFrame([(text,) for text in texts], "t string").repartition(3)
+    got = gold.word_frequency(df, "t", mode).collect()
+    assert {row.word: row.frequency for row in got} == plain_frequency(texts, mode)
+
+
+def test_ten_megabytes_without_a_blank(spark):
+    rng = random.Random(2)
+    run = "".join(rng.choices("abcdefghij.,;", k=10_000_000))
+    texts = [run, f"tiny word {run[:400_000]} tail", run, "日本語" * 200_000, "word"]
+    df = spark.createDataFrame([(text,) for text in texts], "t string").repartition(3)
+    got = gold.word_frequency(df, "t").collect()
+    assert {row.word: row.frequency for row in got} == plain_frequency(texts, "ascii")
+    sizes = df.select(F.explode(text_functions.bounded_pieces(F.col("t"))).alias("p")).select(F.max(F.length("p"))).first()[0]
+    assert sizes <= 2 * text_functions.PIECE_LENGTH
