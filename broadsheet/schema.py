@@ -16,6 +16,9 @@ ARTICLE_FIELDS = [
 
 ARTICLE = T.StructType([T.StructField(name, T.StringType()) for name in ARTICLE_FIELDS])
 
+# A line of bronze: an article, or the text of a line that is none.
+BROKEN = T.StructType([*ARTICLE.fields, T.StructField("broken_line", T.StringType())])
+
 SILVER = T.StructType(
     ARTICLE.fields
     + [

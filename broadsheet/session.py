@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +43,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/broadsheet-{label}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder with all it holds; nothing happens where there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """A folder name like :func:`scratch_path` whose folder is removed at the end."""
+    path = scratch_path(spark, label)
+    try:
+        yield path
+    finally:
+        remove(spark, path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give CPU-heavy work one task per core when the scan yields fewer splits than cores.
 

@@ -8,7 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.schema import ARTICLE, PAGE
+from broadsheet.schema import ARTICLE, ARTICLE_FIELDS, BROKEN, PAGE
+from broadsheet.sources import snapshots
 
 
 def read_bronze(spark: SparkSession, folder: str) -> DataFrame:
@@ -20,8 +21,23 @@ def read_bronze(spark: SparkSession, folder: str) -> DataFrame:
     return reader.option("pathGlobFilter", "*.json").json(folder)
 
 
+def read_marked_bronze(spark: SparkSession, folder: str, names: str = "*.json") -> DataFrame:
+    """Like :func:`read_bronze`, with the text of a line that is no record in ``broken_line`` and its ``file``."""
+    reader = spark.read.schema(BROKEN).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "broken_line")
+    lines = reader.option("pathGlobFilter", names).json(folder)
+    # The reader gives the text of a line only to a query that asks for a field, too.
+    asked = F.coalesce(F.length("id"), F.lit(0)) >= 0
+    return lines.select(*ARTICLE_FIELDS, F.when(asked, F.col("broken_line")).alias("broken_line"), F.col("_metadata.file_path").alias("file"))
+
+
+def broken_lines(marked: DataFrame) -> DataFrame:
+    """``(file, line)`` of the lines of :func:`read_marked_bronze` that are no records."""
+    return marked.where(F.col("broken_line").isNotNull()).select("file", F.col("broken_line").alias("line"))
+
+
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """Silver as it is now; a rewrite does not change what has been opened."""
+    return snapshots.read(spark, path)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -49,8 +65,15 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     return messages.select(article.alias("article")).select("article.*")
 
 
-def stream_topic(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
-    """Articles of a Kafka topic; needs Spark's Kafka connector on the class path."""
+def stream_topic(
+    spark: SparkSession, servers: str, topic: str, offsets_per_cycle: int | None = None, **options: str
+) -> DataFrame:
+    """Articles of a Kafka topic; needs Spark's Kafka connector on the class path.
+
+    A backlog is worked off by so many messages a cycle.
+    """
+    if offsets_per_cycle is not None:
+        options["maxOffsetsPerTrigger"] = str(offsets_per_cycle)
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -59,11 +82,15 @@ def stream_topic(spark: SparkSession, servers: str, topic: str, **options: str)
     return decode_messages(reader.options(**options).load())
 
 
-def stream_bronze(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """Articles of the JSON files arriving in a folder."""
-    return spark.readStream.schema(ARTICLE).options(**options).json(path)
+def _bounded(files_per_cycle: int | None) -> dict[str, str]:
+    return {} if files_per_cycle is None else {"maxFilesPerTrigger": str(files_per_cycle)}
+
+
+def stream_bronze(spark: SparkSession, path: str, files_per_cycle: int | None = None, **options: str) -> DataFrame:
+    """Articles of the JSON files arriving in a folder; a backlog is worked off by so many files a cycle."""
+    return spark.readStream.schema(ARTICLE).options(**_bounded(files_per_cycle), **options).json(path)
 
 
-def stream_pages(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """Pages of the Parquet files arriving in a folder."""
-    return spark.readStream.schema(PAGE).options(**options).parquet(path)
+def stream_pages(spark: SparkSession, path: str, files_per_cycle: int | None = None, **options: str) -> DataFrame:
+    """Pages of the Parquet files arriving in a folder; a backlog is worked off by so many files a cycle."""
+    return spark.readStream.schema(PAGE).options(**_bounded(files_per_cycle), **options).parquet(path)

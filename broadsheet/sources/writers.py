@@ -8,14 +8,17 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from broadsheet.session import scratch
+from broadsheet.sources import snapshots
+
 
 def append_bronze(articles: DataFrame, path: str) -> None:
     """Add articles as JSON lines, a file per partition, non-ASCII text unescaped."""
     articles.write.mode("append").json(path)
 
 
-# A stream keeps its list of valid files in this folder beside them.
-STREAM_LOG = "_spark_metadata"
+# A stream keeps its list of valid files in this folder beside them, or gives each cycle a folder.
+STREAM_LOG, CYCLE_FOLDER = "_spark_metadata", "cycle="
 
 
 def written_by(spark: SparkSession, path: str) -> str | None:
@@ -25,7 +28,8 @@ def written_by(spark: SparkSession, path: str) -> str | None:
     if not files.exists(folder):
         return None
     names = [status.getPath().getName() for status in files.listStatus(folder)]
-    return "stream" if STREAM_LOG in names else "batch" if names else None
+    streamed = any(name == STREAM_LOG or name.startswith(CYCLE_FOLDER) for name in names)
+    return "stream" if streamed else "batch" if names else None
 
 
 def refuse(spark: SparkSession, path: str, other: str) -> None:
@@ -35,8 +39,17 @@ def refuse(spark: SparkSession, path: str, other: str) -> None:
 
 
 def replace_silver(silver: DataFrame, path: str) -> None:
+    """All of silver anew; readers see the old rows or the new ones, see :mod:`snapshots`."""
     refuse(silver.sparkSession, path, "stream")
-    silver.write.mode("overwrite").parquet(path)
+    snapshots.replace(silver, path)
+
+
+def replace_cycle(df: DataFrame, path: str, cycle: int, form: str = "parquet") -> None:
+    """What one cycle of a stream adds, in a folder of its own: written again, it replaces itself.
+
+    Readers of ``path`` see a further column ``cycle``.
+    """
+    df.write.mode("overwrite").format(form).save(f"{path.rstrip('/')}/{CYCLE_FOLDER}{cycle}")
 
 
 def messages(articles: DataFrame) -> DataFrame:
@@ -52,7 +65,7 @@ def publish(articles: DataFrame, servers: str, topic: str, **options: str) -> No
 
 @dataclass(frozen=True)
 class FileWarehouse:
-    """Tables as Parquet folders below a root path."""
+    """Tables as Parquet folders below a root path, replaced as a whole, see :mod:`snapshots`."""
 
     root: str
 
@@ -60,10 +73,10 @@ class FileWarehouse:
         return f"{self.root.rstrip('/')}/{table}"
 
     def store(self, df: DataFrame, table: str) -> None:
-        df.write.mode("overwrite").parquet(self.path(table))
+        snapshots.replace(df, self.path(table))
 
     def load(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.parquet(self.path(table))
+        return snapshots.read(spark, self.path(table))
 
 
 @dataclass(frozen=True)
@@ -84,7 +97,17 @@ class JdbcWarehouse:
 
 
 def store_counted(df: DataFrame, table: str, warehouse: FileWarehouse | JdbcWarehouse) -> int:
-    """Replace one table and return its row count, taken while writing."""
+    """Replace one table and return its row count, taken while writing.
+
+    A database is filled from a written copy: its sink reports no counts of its own, and a failure while the rows
+    are computed then leaves the table as it was.
+    """
     observation = Observation(table)
-    warehouse.store(df.observe(observation, F.count("*").alias("rows")), table)
+    counted = df.observe(observation, F.count("*").alias("rows"))
+    if isinstance(warehouse, FileWarehouse):
+        warehouse.store(counted, table)
+    else:
+        with scratch(df.sparkSession, "table") as copy:
+            counted.write.parquet(copy)
+            warehouse.store(df.sparkSession.read.parquet(copy), table)
     return observation.get["rows"]
