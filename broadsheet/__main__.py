@@ -5,12 +5,18 @@
     aggregate  silver -> gold            run        the three above, in this order
     publish    arriving pages -> messages, every minute
     follow     arriving bronze -> silver, every minute
+    count      arriving bronze -> articles per day, every minute
 """
 
 from __future__ import annotations
 
 import argparse
 import json
+from collections.abc import Callable
+from contextlib import nullcontext
+
+from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from broadsheet.functions.language import load_model
 from broadsheet.operators.profiles import train_profiles
@@ -19,6 +25,7 @@ from broadsheet.session import build_session
 from broadsheet.sources import readers
 from broadsheet.sources.writers import FileWarehouse, JdbcWarehouse
 from broadsheet.streaming import flows
+from broadsheet.streaming.progress import CycleLog
 
 NEEDS = {
     "train": ("labelled", "profiles"),
@@ -28,6 +35,7 @@ NEEDS = {
     "run": ("pages", "bronze", "silver", "profiles"),
     "publish": ("pages", "checkpoint"),
     "follow": ("bronze", "silver", "profiles", "checkpoint"),
+    "count": ("bronze", "gold", "checkpoint"),
 }
 
 
@@ -45,6 +53,10 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--messages", help="folder for published messages, unless --kafka is given")
     parser.add_argument("--kafka", help="JSON file of Kafka sink options")
     parser.add_argument("--checkpoint", help="folder for the progress of a stream")
+    parser.add_argument("--quarantine", help="folder for bronze lines that are no records")
+    parser.add_argument("--letters", help="folder for pages that gave no message: unreadable ones, hosts without a rule")
+    parser.add_argument("--cycles", help="folder for what the cycles of a stream did")
+    parser.add_argument("--files-per-cycle", type=int, help="so many files of a backlog in one cycle of a stream")
     parser.add_argument("--once", action="store_true", help="a stream works off what has arrived and ends")
     args = parser.parse_args(argv)
     missing = [f"--{name}" for name in NEEDS[args.job] if getattr(args, name) is None]
@@ -64,6 +76,12 @@ def _json_file(path: str | None) -> dict | None:
         return json.load(file)
 
 
+def _follow(spark: SparkSession, args: argparse.Namespace, start: Callable[[], StreamingQuery]) -> bool | None:
+    """Run a stream to its end, with its cycles stored if there is a folder for them."""
+    with CycleLog(spark, args.cycles) if args.cycles else nullcontext():
+        return start().awaitTermination()
+
+
 def main(argv: list[str] | None = None) -> object:
     args = _arguments(argv)
     spark = build_session(f"broadsheet-{args.job}")
@@ -79,17 +97,24 @@ def main(argv: list[str] | None = None) -> object:
     if args.job == "aggregate":
         return medallion.run_aggregate(spark, args.silver, warehouse)
     if args.job == "publish":
-        articles = flows.ingest(readers.stream_pages(spark, args.pages))
-        kafka = _json_file(args.kafka)
-        return flows.start_publishing(articles, args.checkpoint, args.messages, kafka, args.once).awaitTermination()
+        pages, kafka = readers.stream_pages(spark, args.pages, args.files_per_cycle), _json_file(args.kafka)
+        if args.letters:
+            return _follow(spark, args, lambda: flows.start_ingest(
+                pages, args.checkpoint, args.letters, args.messages, kafka, once=args.once
+            ))
+        articles = flows.ingest(pages)
+        return _follow(spark, args, lambda: flows.start_publishing(articles, args.checkpoint, args.messages, kafka, args.once))
+    if args.job == "count":
+        articles = readers.stream_bronze(spark, args.bronze, args.files_per_cycle)
+        table = warehouse.path("gold_articles_per_day")
+        return _follow(spark, args, lambda: flows.start_daily_counts(articles, table, args.checkpoint, once=args.once))
     profiles = spark.read.parquet(args.profiles)
     if args.job == "clean":
-        return medallion.run_clean(spark, args.bronze, args.silver, load_model(profiles))
+        return medallion.run_clean(spark, args.bronze, args.silver, load_model(profiles), args.quarantine)
     if args.job == "follow":
-        articles = readers.stream_bronze(spark, args.bronze)
-        query = flows.start_cleaning(articles, load_model(profiles), args.silver, args.checkpoint, args.once)
-        return query.awaitTermination()
-    lake = medallion.Lake(args.bronze, args.silver, warehouse)
+        articles, model = readers.stream_bronze(spark, args.bronze, args.files_per_cycle), load_model(profiles)
+        return _follow(spark, args, lambda: flows.start_cleaning(articles, model, args.silver, args.checkpoint, args.once))
+    lake = medallion.Lake(args.bronze, args.silver, warehouse, args.quarantine)
     return medallion.run(spark, readers.read_pages(spark, args.pages), profiles, lake)
 
 

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.functions.language import load_model
+from broadsheet.functions.language import Model, load_model
 from broadsheet.operators.extract import SiteRule
 from broadsheet.operators.profiles import train_profiles
 from broadsheet.session import scratch_path, spread
@@ -37,7 +36,11 @@ FROM {documents}
 UNTITLED_EVERY = 4
 LINK_KINDS = 3
 
+# Files of a backlog of pages.
+BACKLOG_FILES = 5
+
 _profile_paths: dict[tuple[str, str], str] = {}
+_models: dict[str, Model] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -50,6 +53,15 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(ARTICLE_VIEW, documents=documents)
 
 
+def bronze_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles as JSON lines ``(value)``; every seventh line breaks off before its text, which stands there bare."""
+    text = F.translate("text", "\n\r", "  ")
+    record = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("content")))
+    broken = F.concat(F.lit('{"id": "'), F.col("doc_id").cast("string"), F.lit('", "content": '), text)
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    return documents.select(F.when(F.col("doc_id") % 7 == 0, broken).otherwise(record).alias("value"))
+
+
 def busy_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles for work that reads every character."""
     documents = spread(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
@@ -70,8 +82,13 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored
 
 
-def model(spark: SparkSession, sf_dir: str) -> Broadcast:
-    return load_model(profiles(spark, sf_dir))
+def model(spark: SparkSession, sf_dir: str) -> Model:
+    """The model of the labelled documents, fetched once per stored profile."""
+    stored = profiles(spark, sf_dir)
+    path = _profile_paths[spark.sparkContext.applicationId, sf_dir]
+    if path not in _models:
+        _models[path] = load_model(stored)
+    return _models[path]
 
 
 def _escaped(text: Column) -> Column:

@@ -187,6 +187,9 @@ def all_oracles() -> dict[str, str]:
     return {
         "top_keywords": _top_keywords("documents", "text", _ASCII_DELETED),
         "top_keywords_unicode": _top_keywords("documents", "text", _UNICODE_DELETED),
+        "unbroken_keywords": f"""
+            WITH unbroken AS (SELECT replace(text, ' ', '') AS text FROM documents)
+            {_top_keywords("unbroken", "text", _ASCII_DELETED)}""",
         "title_keywords": f"""{_COUNTED}, titles AS (SELECT {_strip_html("title")} AS title_clean FROM counted)
             {_top_keywords("titles", "title_clean", _ASCII_DELETED)}""",
         "html_strip": f"SELECT page_id, {_strip_html('html')} AS text FROM pages",
@@ -225,6 +228,7 @@ def all_oracles() -> dict[str, str]:
             FROM ({_ARTICLES}) GROUP BY ROLLUP (source)""",
         "language_profiles": f"WITH {_PROFILES} SELECT lang, gram, gram_count, weight FROM profiles",
         "language_detect": f"WITH {_languages('documents', 'doc_id', 'text')} SELECT doc_id, language FROM languages",
+        "language_detect_joined": f"WITH {_languages('documents', 'doc_id', 'text')} SELECT doc_id, language FROM languages",
         "extract_headings": _page_elements(
             "<h1[^>]*>(.*?)</h1>", ["body"], f"{_strip(_unescaped('body'))} AS title"
         ),
@@ -240,10 +244,27 @@ def all_oracles() -> dict[str, str]:
         "live_site_articles": _site_articles(STREAM_RULES),
         "article_messages": _ARTICLES,
         "bronze_roundtrip": _ARTICLES,
+        "broken_lines": """
+            SELECT '{"id": "' || doc_id || '", "content": ' || translate(text, chr(10) || chr(13), '  ') AS line,
+              (SELECT count(*) FROM documents) AS loaded,
+              (SELECT count(*) FROM documents WHERE doc_id % 7 <> 0) AS good
+            FROM documents WHERE doc_id % 7 = 0""",
         "gold_roundtrip": f"""{_COUNTED}
             SELECT source, count(*) AS article_count, count(*) OVER () AS stored_rows FROM counted GROUP BY source""",
         "stream_silver": silver_rows,
         "stream_site_messages": f"SELECT {message_columns} FROM ({_site_articles(STREAM_RULES)})",
+        "stream_bounded_cycles": f"""
+            SELECT 5 AS cycles, (SELECT count(*) FROM documents) AS pages, count(*) AS sent, 0 AS failed_pages,
+              (SELECT count(*) FROM documents WHERE doc_id % 7 = 0) AS unmatched_pages
+            FROM ({_site_articles(STREAM_RULES)}) WHERE CAST(split_part(id, '-', 1) AS bigint) % 7 <> 0""",
+        "stream_letters": f"""
+            SELECT 'site' || (doc_id % 11) || '.example' AS host, count(*) AS pages,
+              (SELECT count(*) FROM ({_site_articles(STREAM_RULES)})
+               WHERE CAST(split_part(id, '-', 1) AS bigint) % 3 <> 0) AS sent, 0 AS failed
+            FROM documents WHERE doc_id % 3 = 0 GROUP BY 1""",
+        "stream_daily_counts": f"""
+            SELECT TRY_CAST(substr(published_date, 1, 10) AS date) AS publish_day, count(*) AS article_count
+            FROM ({_ARTICLES}) GROUP BY 1""",
         "news_run_gold": f"WITH {_silver_ctes(_site_articles(BATCH_RULES))} {_gold_list('silver')}",
         "dashboard_views": f"""{_SILVER}
             SELECT 'daily_trend' AS chart, CAST(publish_day AS varchar) AS label, CAST(count(*) AS double) AS value

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from broadsheet.functions.html import INSIDE
-from broadsheet.functions.language import detect_language
+from broadsheet.functions.language import load_model, with_language
 from broadsheet.functions.text import canonical_country, normalize, strip_html
 from broadsheet.operators import gold, quality
 from broadsheet.operators.extract import (
@@ -32,9 +32,10 @@ from broadsheet.operators.silver import to_silver
 from broadsheet.plans import inputs, medallion
 from broadsheet.schema import ARTICLE_FIELDS
 from broadsheet.session import scratch_path, spread
-from broadsheet.sources import readers
+from broadsheet.sources import readers, snapshots
 from broadsheet.sources.writers import FileWarehouse, append_bronze, messages, store_counted
 from broadsheet.streaming import flows
+from broadsheet.streaming.progress import CycleLog, read_cycles
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +73,13 @@ def top_keywords_unicode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.top_keywords(spread(inputs.table(spark, sf_dir, "documents", "text")), "text", "unicode")
 
 
+@_query
+def unbroken_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of texts whose blanks are gone: each line is one word, however long."""
+    documents = spread(inputs.table(spark, sf_dir, "documents", "text"))
+    return gold.top_keywords(documents.select(F.translate("text", " ", "").alias("text")), "text")
+
+
 @_query
 def title_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     titles = accepted(inputs.articles(spark, sf_dir)).select(strip_html(F.col("title")).alias("title_clean"))
@@ -193,8 +201,15 @@ def language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def language_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spread(inputs.table(spark, sf_dir, "documents", "doc_id", "text"))
-    language = detect_language(F.col("text"), inputs.model(spark, sf_dir))
-    return documents.select("doc_id", language.alias("language"))
+    return with_language(documents, "text", inputs.model(spark, sf_dir)).drop("text")
+
+
+@_query
+def language_detect_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels of ``language_detect`` by a model of which a hundred rows are broadcast and the others joined."""
+    documents = spread(inputs.table(spark, sf_dir, "documents", "doc_id", "text"))
+    model = load_model(inputs.profiles(spark, sf_dir), most_rows=100)
+    return with_language(documents, "text", model).drop("text")
 
 
 # -- extraction ---------------------------------------------------------------------------------
@@ -257,6 +272,18 @@ def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_bronze(spark, path)
 
 
+@_query
+def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of bronze lines that are no records, and how many lines were read and are good."""
+    path = scratch_path(spark, "bronze-with-broken")
+    inputs.bronze_lines(spark, sf_dir).write.text(path)
+    # Bronze is what other programs write: files by the name of the format.
+    marked = readers.read_marked_bronze(spark, path, "*")
+    counts = marked.agg(F.count("*").alias("loaded"), (F.count("*") - F.count("broken_line")).alias("good"))
+    one = counts.select(F.struct("loaded", "good").alias("c")).scalar()
+    return readers.broken_lines(marked).select("line", one["loaded"].alias("loaded"), one["good"].alias("good"))
+
+
 @_query
 def gold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = FileWarehouse(scratch_path(spark, "gold"))
@@ -291,6 +318,50 @@ def stream_site_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return received.select(*[name for name in ARTICLE_FIELDS if name not in ("id", "published_date")])
 
 
+@_query
+def stream_bounded_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backlog of pages worked off one file a cycle, by what the cycles stored: they add up to the backlog."""
+    pages, at = scratch_path(spark, "backlog"), scratch_path(spark, "bounded")
+    made = inputs.site_pages(spark, sf_dir, STREAM_RULES)
+    stray = made.withColumn("url", F.when(F.col("page_id") % 7 == 0, "https://elsewhere.example/").otherwise(F.col("url")))
+    stray.repartition(inputs.BACKLOG_FILES, "page_id").write.parquet(pages)
+    with CycleLog(spark, f"{at}/cycles"):
+        stream = readers.stream_pages(spark, pages, files_per_cycle=1)
+        flows.start_publishing(flows.ingest(stream), f"{at}/offsets", path=f"{at}/topic", once=True).awaitTermination()
+    cycles = read_cycles(spark, f"{at}/cycles")
+    counts = {name: F.sum(F.col("counts")[name]).alias(name) for name in ("sent", "failed_pages", "unmatched_pages")}
+    return cycles.agg(F.count("*").alias("cycles"), F.sum("rows").alias("pages"), *counts.values())
+
+
+@_query
+def stream_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages without a message, by host: those that hosts without a rule sent in two cycles."""
+    pages, at = scratch_path(spark, "arriving-pages"), scratch_path(spark, "letters")
+    made = inputs.site_pages(spark, sf_dir, STREAM_RULES)
+    hosts = F.concat(F.lit("https://site"), (F.col("page_id") % 11).cast("string"), F.lit(".example/"))
+    for odd in (0, 1):
+        part = made.where(F.col("page_id") % 2 == odd)
+        part.withColumn("url", F.when(F.col("page_id") % 3 == 0, hosts).otherwise(F.col("url"))).write.mode("append").parquet(pages)
+        stream = readers.stream_pages(spark, pages)
+        flows.start_ingest(stream, f"{at}/offsets", f"{at}/letters", path=f"{at}/topic", once=True).awaitTermination()
+    unmatched = spark.read.parquet(f"{at}/letters/unmatched").groupBy("host").agg(F.sum("pages").alias("pages"))
+    sent = spark.read.text(f"{at}/topic").agg(F.count("*")).scalar()
+    failed = spark.read.parquet(f"{at}/letters/failed").agg(F.count("*")).scalar()
+    return unmatched.select("host", "pages", sent.alias("sent"), failed.alias("failed"))
+
+
+@_query
+def stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles per day, kept up to date over three cycles: the batch count, as no article is late."""
+    bronze, at = scratch_path(spark, "arriving"), scratch_path(spark, "daily")
+    articles = inputs.articles(spark, sf_dir)
+    for cycle in range(3):
+        append_bronze(articles.where(F.pmod(F.col("id").cast("long"), F.lit(3)) == cycle), bronze)
+        stream = readers.stream_bronze(spark, bronze)
+        flows.start_daily_counts(stream, f"{at}/table", f"{at}/offsets", late="60 days", once=True).awaitTermination()
+    return snapshots.read(spark, f"{at}/table")
+
+
 # -- the whole chain ----------------------------------------------------------------------------
 
 

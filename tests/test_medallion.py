@@ -1,9 +1,15 @@
+import os
+from contextlib import contextmanager
+from dataclasses import replace
+
 import pytest
 
+from broadsheet import session
 from broadsheet.operators import gold
 from broadsheet.operators.profiles import train_profiles
 from broadsheet.plans import inputs, medallion
 from broadsheet.schema import PAGE, SILVER
+from broadsheet.sources import snapshots
 from broadsheet.sources.readers import read_bronze, read_silver
 from broadsheet.sources.writers import FileWarehouse
 
@@ -77,3 +83,43 @@ def test_dashboard_views_over_stored_tables(spark, lake, pages, profiles):
     shares = spark.sql("SELECT country, share FROM dashboard_country_share").collect()
     assert [tuple(row) for row in shares] == [("Maroc", 0.888889), ("International", 0.111111)]
     assert spark.table("dashboard_keywords").first().word == "town"
+
+
+def test_unmatched_hosts_are_reported(spark, lake, pages, profiles):
+    more = [(10, "https://moved.example/", "<h3>x</h3>"), (11, "https://moved.example/2", ""), (12, None, "<h3>x</h3>")]
+    report = medallion.run(spark, pages.union(spark.createDataFrame(more, PAGE)), profiles, lake)["extract"]
+    assert report["total"] == 10
+    assert (report["unmatched_pages"], report["unmatched_hosts"]) == (3, {"moved.example": 2, None: 1})
+
+
+def test_broken_bronze_lines_are_set_apart(spark, lake, pages, profiles, tmp_path):
+    """Loaded lines are good ones and broken ones; a later run without broken lines empties the table."""
+    lake = replace(lake, quarantine=str(tmp_path / "quarantine"))
+    medallion.run_extract(pages, lake.bronze)
+    broken = ['{"id": "x", "title": ', "no record at all", '{"id": 7} trailing {']
+    odd = tmp_path / "bronze" / "odd.json"
+    odd.write_text("\n".join([*broken, '{"id": "fine"}', ""]), encoding="utf-8")
+    report = medallion.run_clean(spark, lake.bronze, lake.silver, inputs.load_model(profiles), lake.quarantine)
+    assert report["loaded"] == 10 + len(broken[:2]) + 2 and report["broken"] in (2, 3)
+    kept = snapshots.read(spark, lake.quarantine).collect()
+    assert {row.line for row in kept} >= set(broken[:2]) and len(kept) == report["broken"]
+    assert all(row.file.endswith("/odd.json") for row in kept)
+    assert read_silver(spark, lake.silver).count() == report["accepted"] == 9
+    odd.unlink()
+    assert "broken" not in medallion.run_clean(spark, lake.bronze, lake.silver, inputs.load_model(profiles), lake.quarantine)
+    assert snapshots.read(spark, lake.quarantine).count() == 0
+
+
+def test_staged_counts_are_removed(spark, lake, pages, profiles, monkeypatch):
+    made = []
+    monkeypatch.setattr(medallion, "scratch", lambda *a: made.append(session.scratch_path(*a)) or contextmanager(_given)(spark, made[-1]))
+    medallion.run(spark, pages, profiles, lake)
+    assert len(made) == 1 and not os.path.exists(made[0])
+
+
+def _given(spark, path):
+    try:
+        yield path
+        assert os.path.exists(path)
+    finally:
+        session.remove(spark, path)
