@@ -268,6 +268,18 @@ def windows(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield grams[inside], np.array([number for number, _ in group])[of[inside]]
 
 
+def joined_windows(texts: list[str | None]) -> Iterator[np.ndarray]:
+    """The packed grams of texts, some at a time, among them windows across two pieces (:func:`in_one_piece`)."""
+    for group in _groups(_pieces(texts, PIECE_LENGTH)):
+        yield _pack(SEPARATOR.join(piece for _, piece in group))
+
+
+def in_one_piece(grams: np.ndarray) -> np.ndarray:
+    """Which packed grams hold no separator; letters hold none."""
+    shift, mask = np.uint64(CODE_POINT_BITS), np.uint64((1 << CODE_POINT_BITS) - 1)
+    return (grams >> (shift * np.uint64(2)) != 0) & (grams >> shift & mask != 0) & (grams & mask != 0)
+
+
 def _scores(texts: list[str | None], model: dict) -> np.ndarray:
     """Sums of weights per language (rows) and text (columns)."""
     scores = np.zeros((len(model["langs"]), len(texts)), dtype=np.int64)

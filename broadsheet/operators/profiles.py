@@ -7,11 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.functions.language import letters, unpacked, windows
+from broadsheet.functions.language import in_one_piece, joined_windows, letters, unpacked
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -36,8 +37,10 @@ class _Counts:
         self.grams, self.counts = both, counts
 
     def rows(self, lang: str) -> pa.RecordBatch:
+        real = in_one_piece(self.grams)
+        grams, counts = self.grams[real].astype(np.int64), self.counts[real]
         return pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(self.grams), pa.string()), pa.array(self.grams.astype(np.int64)), pa.array(self.counts)],
+            [pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(counts)],
             names=["lang", "packed", "n"],
         )
 
@@ -47,13 +50,11 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, _Counts] = {}
     for batch in batches:
         names = batch.column("lang").dictionary_encode()
-        of_text = names.indices.to_numpy()
-        for grams, texts in windows(batch.column("letters").to_pylist()):
-            of_gram = of_text[texts]
-            for number in np.unique(of_gram):
-                lang = names.dictionary[int(number)].as_py()
+        for number, lang in enumerate(names.dictionary.to_pylist()):
+            texts = batch.column("letters").filter(pc.equal(names.indices, number)).to_pylist()
+            for grams in joined_windows(texts):
                 counts = held.setdefault(lang, _Counts())
-                counts.add(grams[of_gram == number])
+                counts.add(grams)
                 if len(counts.grams) >= GRAMS_HELD:
                     yield held.pop(lang).rows(lang)
     for lang, counts in held.items():
