@@ -3,14 +3,15 @@
 Text that a vocabulary knows is encoded in few long tokens; noise, broken encodings and unnatural strings need
 many short ones and single bytes, and repetition uses few different ones. Three measures of every whole text,
 characters per token, share of byte-fallback tokens and token entropy, are held against bands of its language,
-or of its main script where it has no language. A band reaches beyond the quartiles of all documents of the
-group by a multiple of their distance.
+or of its main script where it has no language, and of its length, as short texts vary more and their tokens
+repeat less. A band reaches beyond the quartiles of all documents of that kind by a multiple of their distance.
 """
 
 from __future__ import annotations
 
 import sys
 import unicodedata
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.llm import words
+from broadsheet.llm.bpe import Known
 from broadsheet.llm.tables import Workspace
 from broadsheet.llm.tokenizers import FOLDER, PIECE_BPE, pieces
 
@@ -31,16 +33,18 @@ MOST_REPEATED = 50  # per cent of the words
 SYMBOLS = "#*$%&|<>"
 REPEAT = 3  # words
 
-# The bands: so many quartile distances beyond the quartiles, and a least value of a quartile distance. One odd
-# string weighs the more the shorter a text is, so that bands are wider below FULL_LENGTH tokens.
-REACH = 4.0
-LEAST_WIDTH = {"chars_per_token": 0.04, "byte_share": 0.02, "entropy": 0.03}
-FULL_LENGTH = 1000
+# The bands: so many quartile distances beyond the quartiles. A quartile distance counts as so much at least, plus
+# so much of the upper quartile.
+REACH = 5.0
+LEAST_WIDTH = {"chars_per_token": (0.0, 0.03), "byte_share": (0.02, 0.0), "entropy": (0.03, 0.0)}
 MEASURES = tuple(LEAST_WIDTH)
+# Classes of length per octave of tokens.
+CLASSES = 2
 ACCURACY = 10_000  # of the quartiles, relative to the number of documents
 
-BLANKS = {ord(c): " " for c in "\t\n\x0b\x0c\r"}
-CACHED_WORDS = 1 << 17  # different words whose tokens a worker remembers
+WHITE = "\t\n\x0b\x0c\r"
+BLANKS = {ord(c): " " for c in WHITE}
+CACHED_WORDS = 300_000  # different words whose tokens a task remembers
 
 SYMBOL_BYTE = np.zeros(256, dtype=bool)
 SYMBOL_BYTE[[ord(c) for c in SYMBOLS]] = True
@@ -87,8 +91,15 @@ def main_script(text: str) -> str:
     return min(totals, key=lambda script: (-totals[script], script)) if totals else "NONE"
 
 
+def _parts(text: str) -> Iterator[str]:
+    """What stands between blanks, of which other white space is one."""
+    for char in WHITE:
+        text = text.replace(char, " ")
+    return filter(None, text.split(" "))
+
+
 class _Encoder:
-    """Token numbers of a text, white space taken as single blanks.
+    """Token numbers of texts, white space taken as single blanks.
 
     The vocabulary holds no piece with a blank after another character, so that the words between blanks are
     encoded independently of each other; the tokens of words met before are remembered.
@@ -97,19 +108,26 @@ class _Encoder:
     def __init__(self, folder: str, name: str):
         self.model = pieces(folder, name)
         self.fallback = np.array([self.model.is_byte(i) for i in range(self.model.get_piece_size())])
-        self.cache: dict[str, np.ndarray] = {}
+        self.known = Known({}, self.encode)
+
+    def encode(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of all words, one after another, and how many each has."""
+        ids = self.model.encode(parts, num_threads=1)
+        return np.array([number for one in ids for number in one], dtype=np.int64), np.array(list(map(len, ids)))
 
     def tokens(self, text: str) -> np.ndarray:
-        parts = [part for part in text.translate(BLANKS).split(" ") if part]
-        if not parts:
-            return np.zeros(0, dtype=np.int32)
-        missing = [part for part in dict.fromkeys(parts) if part not in self.cache]
-        if len(self.cache) + len(missing) > CACHED_WORDS:
-            self.cache.clear()
-            missing = list(dict.fromkeys(parts))
-        for part, ids in zip(missing, self.model.encode(missing, num_threads=1)):
-            self.cache[part] = np.array(ids, dtype=np.int32)
-        return np.concatenate([self.cache[part] for part in parts])
+        return self.tokens_of([text])[0]
+
+    def tokens_of(self, texts: list[str]) -> list[np.ndarray]:
+        """The tokens of each of some texts."""
+        if self.known.size > CACHED_WORDS:
+            self.known = Known({}, self.encode)
+        numbers, stops = array("q"), [0]
+        for text in texts:
+            numbers.extend(map(self.known.__getitem__, _parts(text)))
+            stops.append(len(numbers))
+        ids, totals = self.known.gather(numbers)
+        return np.split(ids, totals[stops[1:-1]])
 
 
 def token_measures(tokens: np.ndarray, fallback: np.ndarray, n_chars: int) -> tuple:
@@ -130,17 +148,19 @@ def _measurer(folder: str, name: str) -> Callable:
             loaded["encoder"] = _Encoder(folder, name)
         encoder = loaded["encoder"]
         for batch in batches:
-            rows = []
+            rows, row = [], 0
             for _, part in words.slices(batch.column("text")):
                 data, offsets = words.text_bytes(part)
                 starts, stops, first = words.word_spans(data, offsets, words.NOT_WHITE)
                 hashes = words.word_hashes(data, starts, stops, words.BYTE_VALUES)
                 word_chars = np.concatenate([[0], np.cumsum(words.NOT_WHITE[data] & ~CONTINUATION[data])])
                 symbols = np.concatenate([[0], np.cumsum(SYMBOL_BYTE[data])])
-                for i, text in enumerate(part):
-                    text = text.as_py() or ""
+                texts = [text or "" for text in part.to_pylist()]
+                # The script is asked for only where there is no language.
+                spoken = batch.column("lang").slice(row, len(part)).is_valid().to_pylist()
+                row += len(part)
+                for i, (text, tokens) in enumerate(zip(texts, encoder.tokens_of(texts))):
                     a, b = offsets[i], offsets[i + 1]
-                    tokens = encoder.tokens(text)
                     rows.append(
                         (
                             int(first[i + 1] - first[i]),
@@ -149,7 +169,7 @@ def _measurer(folder: str, name: str) -> Callable:
                             duplicate_lines(text),
                             repeated_words(hashes[first[i] : first[i + 1]]),
                             *token_measures(tokens, encoder.fallback, len(text)),
-                            main_script(text),
+                            None if spoken[i] else main_script(text),
                         )
                     )
             columns = list(zip(*rows)) if rows else [()] * 10
@@ -174,17 +194,24 @@ def _group() -> Column:
     return F.coalesce(F.col("lang"), F.concat(F.lit("script "), F.col("script")))
 
 
+def _class() -> Column:
+    """The class of length, null without tokens."""
+    return F.floor(F.log2(F.nullif(F.col("n_tokens"), F.lit(0))) * CLASSES).cast("int")
+
+
 def bands(measured: DataFrame) -> DataFrame:
-    """``(group, n_docs, <measure>_low, <measure>_high, <measure>_reach)``: the quartiles of all given documents,
-    and how far a text of full length may lie beyond them."""
+    """``(group, class, n_docs, <measure>_low, <measure>_high)``: what the given documents of a group and of about a
+    length allow, from their quartiles. The few documents of a thin class allow themselves."""
     quartiles = [F.percentile_approx(m, [0.25, 0.75], ACCURACY).alias(m) for m in MEASURES]
-    grouped = measured.groupBy(_group().alias("group")).agg(F.count("*").alias("n_docs"), *quartiles)
+    kinds = measured.groupBy(_group().alias("group"), _class().alias("class"))
+    grouped = kinds.agg(F.count("*").alias("n_docs"), *quartiles)
     columns = []
     for m in MEASURES:
         low, high = F.col(m)[0], F.col(m)[1]
-        reach = F.greatest(high - low, F.lit(LEAST_WIDTH[m])) * REACH
-        columns += [low.alias(f"{m}_low"), high.alias(f"{m}_high"), reach.alias(f"{m}_reach")]
-    return grouped.select("group", "n_docs", *columns)
+        least, share = LEAST_WIDTH[m]
+        reach = F.greatest(high - low, F.lit(least) + high * F.lit(share)) * REACH
+        columns += [(low - reach).alias(f"{m}_low"), (high + reach).alias(f"{m}_high")]
+    return grouped.select("group", "class", "n_docs", *columns)
 
 
 def judge(docs: DataFrame, folder: str = FOLDER, name: str = PIECE_BPE, label: str = "fertility") -> DataFrame:
@@ -199,14 +226,12 @@ def judge(docs: DataFrame, folder: str = FOLDER, name: str = PIECE_BPE, label: s
     repeats = F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED
     measured = measures(docs, folder, name)
     measured = work.keep(measured.withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | repeats))
-    # A row per language or script.
+    # A row per language or script and class of length.
     allowed = work.small(work.keep(bands(measured.where("not base_failed")).drop("n_docs")))
-    judged = measured.withColumn("group", _group()).join(allowed, "group", "left")
+    judged = measured.withColumns({"group": _group(), "class": _class()}).join(allowed, ["group", "class"], "left")
     inside = ~F.col("base_failed")
-    wider = F.greatest(F.lit(1.0), FULL_LENGTH / F.nullif(F.col("n_tokens"), F.lit(0)))
     for m in MEASURES:
-        reach = F.col(f"{m}_reach") * wider
-        within = F.col(m).between(F.col(f"{m}_low") - reach, F.col(f"{m}_high") + reach)
+        within = F.col(m).between(F.col(f"{m}_low"), F.col(f"{m}_high"))
         inside = inside & F.coalesce(within, F.lit(False))
     return judged.select(
         "doc_id",

@@ -1,0 +1,99 @@
+"""Fertility measures and bands against brute force, and what they reject."""
+
+import math
+import random
+from collections import defaultdict
+
+import pytest
+
+from broadsheet.llm import fertility
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "lang")
+
+
+@pytest.fixture(scope="module")
+def judged(documents):
+    return fertility.judge(documents).collect()
+
+
+def plain_measures(model, text):
+    """Straight from the vocabulary, the whole text at once."""
+    ids = model.encode(" ".join(p for p in text.translate(fertility.BLANKS).split(" ") if p))
+    if not ids:
+        return 0, None, None, None
+    shares = [ids.count(i) / len(ids) for i in set(ids)]
+    entropy = -sum(s * math.log(s) for s in shares) / math.log(len(ids)) if len(ids) > 1 else 0.0
+    return len(ids), len(text) / len(ids), sum(map(model.is_byte, ids)) / len(ids), entropy
+
+
+def test_measures_equal_brute_force(documents, judged):
+    model = fertility.pieces(fertility.FOLDER, fertility.PIECE_BPE)
+    texts = {row.doc_id: row.text for row in documents.collect()}
+    for row in judged[::5]:
+        got = (row.n_tokens, row.chars_per_token, row.byte_share, row.entropy)
+        assert got == pytest.approx(plain_measures(model, texts[row.doc_id] or ""))
+
+
+def test_bands_and_verdicts_equal_brute_force(judged):
+    """Quartiles of sorted lists, per group and class."""
+    of_class = lambda row: math.floor(math.log2(row.n_tokens) * fertility.CLASSES)
+    near = defaultdict(list)
+    for row in judged:
+        if not row.base_failed:
+            near[row.band, of_class(row)].append(row)
+    for row in judged:
+        kept = not row.base_failed
+        for name, (least, share) in fertility.LEAST_WIDTH.items() if kept else ():
+            values = sorted(getattr(other, name) for other in near[row.band, of_class(row)])
+            low, high = (values[max(0, math.ceil(q * len(values)) - 1)] for q in (0.25, 0.75))
+            reach = 5 * max(high - low, least + share * high)
+            kept = kept and low - reach <= getattr(row, name) <= high + reach
+        assert row.kept == kept
+
+
+def test_noise_is_rejected_and_clean_texts_stay(spark, documents):
+    rng = random.Random(8)
+    rows = [tuple(row) for row in documents.collect()]
+    short = [row for row in rows if 60 <= len(row[1].split()) <= 150]
+    signs = "abcdefghijklmnopqrstuvwxyz0123456789#$%&()"
+
+    def noise(alphabet):
+        return " ".join("".join(rng.choices(alphabet, k=rng.randrange(3, 10))) for _ in range(rng.randrange(60, 150)))
+
+    def misread(text):
+        for _ in range(2):
+            text = text.encode().decode("latin-1")
+        return text
+
+    def repeated(text):
+        chosen = text.split()[:12] * 10
+        rng.shuffle(chosen)
+        return " ".join(chosen)
+
+    added = [("noise", noise(signs)) for _ in range(10)] + [("letters", noise(signs[:26])) for _ in range(10)]
+    # Few of each language: quartiles bear less than a quarter of odd texts of a length.
+    spoken = {code: [text for _, text, lang in short if lang == code][:5] for code in ("fr", "es")}
+    added += [(f"misread {code}", misread(text)) for code, texts in spoken.items() for text in texts]
+    added += [("repeated", repeated(text)) for _, text, lang in short if lang == "en"][:20]
+    odd = [(1_000_000 + i, text, kind[-2:] if kind.startswith("misread") else "en") for i, (kind, text) in enumerate(added)]
+    df = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string")
+    found = {row.doc_id: row for row in fertility.judge(df).collect()}
+    for kind, most in (("noise", 0), ("letters", 0), ("misread", 2), ("repeated", 1)):
+        of_kind = [found[row[0]] for row, (own, _) in zip(odd, added) if own.startswith(kind)]
+        assert len(of_kind) >= 10 and sum(row.kept for row in of_kind) <= most, kind
+    clean = [found[row[0]] for row in rows if not found[row[0]].base_failed]
+    assert sum(row.kept for row in clean) >= 0.99 * len(clean)
+    of_length = [found[row[0]] for row in short if not found[row[0]].base_failed]
+    assert sum(row.kept for row in of_length) >= 0.98 * len(of_length)
+
+
+def test_documents_without_a_language_go_by_their_script(spark):
+    rows = [(1, "слово " * 3 + "мир " * 60, None), (2, "word and more " * 30, None), (3, None, None), (4, "12 34 " * 40, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    bands = {row.doc_id: row.band for row in fertility.judge(df).collect()}
+    assert (bands[1], bands[2], bands[4]) == ("script CYRILLIC", "script LATIN", "script NONE")
