@@ -174,10 +174,10 @@ def item_words(column: pa.Array) -> list[np.ndarray]:
 def automata(items: DataFrame) -> Iterator[Broadcast]:
     """Broadcast automata of ``(item_id, text)``, one after another.
 
-    Items with a null id or without words have no window. Rows that share an id are parts of one item.
+    Items without words have no window. Rows that share an id, null included, are parts of one item.
     """
     spark = items.sparkSession
-    items = items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("item_id is not null")
+    items = items.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
     total = items.agg(F.sum(F.regexp_count(F.lower("text"), F.lit(WORD)))).first()[0] or 0
     parts = max(1, -(-total // MAX_WORDS))
     for part in range(parts):
@@ -227,12 +227,17 @@ def _scanner(shared: Broadcast) -> Callable:
                     }
                     for a, b in zip(edges[::2], edges[1::2])
                 ]
-                rows.append((high - low, int(hit.sum()), longest, sorted(items), spans))
+                rows.append((high - low, int(hit.sum()), longest, in_order(items), spans))
         return _found(rows)
 
     return scan_texts
 
 
+def in_order(items: set[int | None]) -> list[int | None]:
+    """Item ids in ascending order, null last."""
+    return sorted(items, key=lambda item: (item is None, item or 0))
+
+
 def _found(rows: list[tuple]) -> pa.Array:
     columns = list(zip(*rows)) if rows else [()] * len(KINDS)
     arrays = [pa.array(list(values), kind) for values, kind in zip(columns, KINDS.values())]
@@ -251,7 +256,7 @@ def merged(one: pa.Array, other: pa.Array) -> pa.Array:
             else:
                 spans.append(span)
         hit = sum(span["last"] - span["first"] for span in spans)
-        items = sorted({*a["item_ids"], *b["item_ids"]})
+        items = in_order({*a["item_ids"], *b["item_ids"]})
         rows.append((a["n_words"], hit, max(a["longest"], b["longest"]), items, spans))
     return _found(rows)
 
@@ -293,7 +298,10 @@ def decontaminate(
 
 
 def digest(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated)`` of every document."""
+    """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated)`` of every document.
+
+    An item with a null id counts among the items and has no place in the joined ids.
+    """
     found = overlaps(docs.select("doc_id", "text"), items).select("doc_id", "found.*")
     names = F.array_sort(F.transform("item_ids", lambda i: i.cast("string")))  # as strings, by code point
     return found.select(
