@@ -1,8 +1,9 @@
 """Band keys that several items share.
 
 Nearly all of the keys belong to one item, so they are not moved one to a row: a task packs the keys it reads
-into one row per shard, and a shard is reduced by sorted merges of numpy arrays. Each key is combined in the
-task that reads it first, so a key of very many items moves a few numbers per task.
+into one row per shard, and a shard is reduced by sorted merges of numpy arrays. A key moves with its item, 16 bytes;
+one that a task has met with several items moves once, with the smallest and the largest, so a key of very many
+items moves a few numbers per task.
 """
 
 from __future__ import annotations
@@ -14,11 +15,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from broadsheet.llm.tables import BROADCAST_ROWS
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Keys sorted at a time, which bounds the memory of a task; a shard has about as many different ones.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 
 SHARED = "key long, leader long, last long, n long"
 PACKED = "shard int, entries binary"
@@ -43,17 +47,48 @@ def combine(parts: list[Entries]) -> Entries:
     )
 
 
+def keyed(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Items and keys, one of each per key.
+
+    A row has an ``item`` and an array of its ``keys``, or several ``items`` and, as bytes, the keys of one after another.
+    """
+    if "item" in batch.schema.names:
+        keys = batch.column("keys")
+        counts = np.diff(keys.offsets.to_numpy())
+        return np.repeat(batch.column("item").to_numpy(), counts), keys.flatten().to_numpy()
+    items = batch.column("items").flatten().to_numpy()
+    column = batch.column("keys")
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)[offsets[0] : offsets[-1]] if len(column) else b""
+    keys = np.frombuffer(bytes(data), dtype=np.int64)
+    return np.repeat(items, len(keys) // max(len(items), 1)), keys
+
+
 def _single(items: np.ndarray, keys: np.ndarray) -> Entries:
     return keys, items, items, np.ones(len(keys), dtype=np.int64)
 
 
+def _packed(entries: Entries) -> bytes:
+    """The number of entries with one item, these as key and item, and the others whole."""
+    key, least, most, n = entries
+    alone = n == 1
+    several = [column[~alone] for column in entries]
+    return np.concatenate([[alone.sum()], key[alone], least[alone], *several]).astype(np.int64).tobytes()
+
+
+def _unpacked(data: memoryview) -> list[Entries]:
+    # Copied, as the batch is not to be held for its sake.
+    numbers = np.frombuffer(data, dtype=np.int64).copy()
+    stop = 1 + 2 * int(numbers[0])
+    keys, items = numbers[1:stop].reshape(2, -1)
+    return [_single(items, keys), tuple(numbers[stop:].reshape(4, -1))]
+
+
 def _pack(shards: int) -> Callable:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
         for batch in batches:
-            keys = batch.column("keys")
-            counts = np.diff(keys.offsets.to_numpy())
-            parts.append(_single(np.repeat(batch.column("item").to_numpy(), counts), keys.flatten().to_numpy()))
+            parts.append(_single(*keyed(batch)))
             size += len(parts[-1][0])
             if size >= CHUNK:
                 yield _rows(combine(parts))
@@ -65,9 +100,9 @@ def _pack(shards: int) -> Callable:
         shard = (entries[0].view(np.uint64) % np.uint64(shards)).astype(np.int32)
         order = np.argsort(shard, kind="stable")
         found, begins = np.unique(shard[order], return_index=True)
-        table = np.stack(entries)[:, order]
-        cut = [np.ascontiguousarray(part).tobytes() for part in np.split(table, begins[1:], axis=1)]
-        return pa.RecordBatch.from_arrays([pa.array(found), pa.array(cut, pa.binary())], names=["shard", "entries"])
+        cut = zip(*(np.split(column[order], begins[1:]) for column in entries))
+        packed = pa.array([_packed(part) for part in cut], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(found), packed], names=["shard", "entries"])
 
     return pack
 
@@ -76,10 +111,8 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     state, parts, size = None, [], 0
     for batch in batches:
         for entries in batch.column("entries"):
-            part = np.frombuffer(entries.as_buffer(), dtype=np.int64).reshape(4, -1)
-            # Copied, as the batch is not to be held for its sake.
-            parts.append(tuple(part.copy()))
-            size += part.shape[1]
+            parts += _unpacked(entries.as_buffer())
+            size += len(parts[-1][0]) + len(parts[-2][0])
             if size >= max(CHUNK, len(state[0]) if state else 0):
                 state = combine(parts + ([state] if state else []))
                 parts, size = [], 0
@@ -93,11 +126,36 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from table.to_batches(max_chunksize=1 << 16)
 
 
+def keys_of(listed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``(key, item)``, a row for each key of ``listed`` that is among those of ``wanted`` ``(key, ...)``, a written table.
+
+    Few wanted keys, counted, are sent to the tasks; more are joined.
+    """
+    few = wanted.count() <= BROADCAST_ROWS
+    chosen = np.sort(wanted.select("key").toArrow()["key"].to_numpy()) if few else None
+    shared = listed.sparkSession.sparkContext.broadcast(chosen)
+
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in batches:
+            items, keys = keyed(batch)
+            if known is not None:
+                at = np.searchsorted(known, keys)
+                at[at == len(known)] = 0
+                among = known[at] == keys if len(known) else np.zeros(len(keys), dtype=bool)
+                items, keys = items[among], keys[among]
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(items)], names=["key", "item"])
+
+    found = listed.mapInArrow(expand, "key long, item long")
+    return found if few else found.join(wanted.select("key"), "key", "left_semi")
+
+
 def shared_keys(listed: DataFrame, keys_each: int) -> DataFrame:
-    """``(key, leader, last, n)`` of the keys that several items share in ``listed`` ``(item, keys)``, a written
-    table whose rows have ``keys_each`` keys: the smallest and the largest item, and ``n``, which is two only if
-    there are no others, and may count an item again that is listed in several tasks.
+    """``(key, leader, last, n)`` of the keys that several items share in ``listed``, a written table with the columns
+    of :func:`keyed` and ``keys_each`` keys an item: the smallest and the largest item, and ``n``, which is two only
+    if there are no others, and may count an item again that is listed in several tasks.
     """
-    shards = listed.count() * keys_each // CHUNK + 1
-    packed = listed.select("item", "keys").mapInArrow(_pack(shards), PACKED)
+    n_items = listed.count() if "item" in listed.columns else listed.agg(F.sum(F.size("items"))).first()[0] or 0
+    shards = n_items * keys_each // CHUNK + 1
+    packed = listed.mapInArrow(_pack(shards), PACKED)
     return packed.repartition(shards, "shard").select("entries").mapInArrow(_merge, SHARED)

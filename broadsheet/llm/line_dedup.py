@@ -17,15 +17,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast, cloudpickle
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from broadsheet.llm import words
 from broadsheet.llm.linking import Similarity, candidate_rows, components, link
-from broadsheet.llm.minhash import LOW_BITS, OVERLAP, estimate
-from broadsheet.llm.tables import BROADCAST_ROWS, Workspace
+from broadsheet.llm.sketches import LOW_BITS, pack_rows, plane_size
+from broadsheet.llm.tables import Workspace
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -33,14 +32,14 @@ SHINGLE = 8  # characters (bytes of UTF-8); a line that is compared has at least
 AT_LEAST = 80  # per cent
 MIN_WORDS = 5
 
-# A pair of similarity 0.8 shares no band with probability (1 - 0.8^5)^32 = 3e-6.
-ROWS, BANDS = 5, 32
+# A pair of similarity 0.8 shares no band with probability (1 - 0.8^4)^12 = 2e-3, one of 0.85 with 1e-4, one of 0.9
+# with 2e-6.
+ROWS, BANDS = 4, 12
 HASHES = ROWS * BANDS
-SKETCH = (HASHES // 64 + 1) * LOW_BITS  # integers
+SKETCH = plane_size(HASHES) * LOW_BITS  # integers
 
-# Five standard deviations of the estimate below a similarity of 0.6, under which a pair can decide nothing
-# (linking.Similarity.far), and below the threshold, for pairs of which only a link matters.
-ESTIMATE_FLOOR, LINK_FLOOR = 0.25, 0.53
+# Four and a half standard deviations of the estimate below the threshold.
+LINK_FLOOR = 0.49
 
 _random = np.random.Generator(np.random.PCG64(words.SEED + 2))
 FACTORS = _random.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -84,6 +83,14 @@ class Lines:
         self.rolling = words.Rolling(self.data, words.BYTE_VALUES)
         self.ids = self.rolling.stretches(self.start, self.stop)
 
+    def taken(self, chosen: np.ndarray) -> pa.Array:
+        """The comparable forms of some lines."""
+        starts, lengths = self.start[chosen], self.stop[chosen] - self.start[chosen]
+        offsets = np.concatenate([[0], np.cumsum(lengths)])
+        data = self.data[np.repeat(starts - offsets[:-1], lengths) + np.arange(offsets[-1])]
+        buffers = [pa.py_buffer(values.tobytes()) for values in (offsets.astype(np.int32), data)]
+        return pa.StringArray.from_buffers(len(chosen), *buffers)
+
 
 def _line_slices(column: pa.Array, every: bool) -> Iterator[tuple[pa.Array, Lines]]:
     for _, part in words.slices(column, words.SPAN):
@@ -96,38 +103,32 @@ def _listed(counts: np.ndarray, values: pa.Array) -> pa.Array:
 
 def _minima(lines: Lines, chosen: np.ndarray) -> np.ndarray:
     """The minima of some lines, one or more, a row each."""
-    starts, counts = lines.start[chosen], lines.stop[chosen] - lines.start[chosen] - (SHINGLE - 1)
-    # The shingles of these lines alone, one line after another.
-    begins = np.cumsum(counts) - counts
-    at = np.repeat(starts - begins, counts) + np.arange(counts.sum())
-    small = (lines.rolling.windows(SHINGLE)[at] >> np.uint64(32)).astype(np.uint32)
-    least = np.empty((HASHES, len(chosen)), dtype=np.uint32)
+    shingles = lines.rolling.windows(SHINGLE)
+    small = np.empty(len(shingles) + 1, dtype=np.uint32)
+    small[:-1], small[-1] = shingles >> np.uint64(32), 0xFFFFFFFF
+    # Every second stretch is what stands between two lines.
+    edges = np.stack([lines.start[chosen], lines.stop[chosen] - SHINGLE + 1], axis=1).reshape(-1)
+    least = np.empty((HASHES, len(edges)), dtype=np.uint32)
     for row, factor in zip(least, FACTORS):
-        np.minimum.reduceat(small * factor, begins, out=row)
-    return np.ascontiguousarray(least.T)
+        np.minimum.reduceat(small * factor, edges, out=row)
+    return np.ascontiguousarray(least[:, ::2].T)
 
 
-def _band_keys(lines: Lines, first: np.ndarray) -> np.ndarray:
-    """The band keys of some lines, a row each."""
-    if not len(first):
-        return np.empty((0, BANDS), dtype=np.uint64)
-    parts = _minima(lines, first).reshape(len(first), BANDS, ROWS) * words.PLACE_VALUES[:ROWS]
+def _band_keys(least: np.ndarray) -> np.ndarray:
+    """The band keys of rows of minima."""
+    parts = least.reshape(len(least), BANDS, ROWS) * words.PLACE_VALUES[:ROWS]
     return words.mix(parts.sum(axis=2, dtype=np.uint64) + BAND_SALT)
 
 
-def _sketches(lines: Lines, chosen: np.ndarray) -> np.ndarray:
-    """The packed low bits of the minima of some lines, a row each."""
-    if not len(chosen):
-        return np.empty((0, SKETCH), dtype=np.int64)
-    least = _minima(lines, chosen)
-    planes = np.zeros((len(chosen), LOW_BITS, SKETCH // LOW_BITS * 64), dtype=np.uint8)
-    for bit in range(LOW_BITS):
-        planes[:, bit, :HASHES] = (least >> np.uint32(bit)) & np.uint32(1)
-    return np.packbits(planes, axis=2, bitorder="little").reshape(len(chosen), -1).view(np.int64)
+def _in_bytes(keys: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Rows of keys as bytes, so many rows for each document."""
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32) * (8 * BANDS)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(keys.tobytes())])
 
 
 def _signer(every: bool) -> Callable:
-    """Places and ids of the lines of each document; band keys beside the first line of its kind in a slice."""
+    """Places and ids of the lines of each document; beside the first line of its kind in a slice, its band keys,
+    sketch and comparable form."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,25 +138,26 @@ def _signer(every: bool) -> Callable:
                 first = np.sort(first[lines.fuzzy[first]])
                 counts = np.bincount(lines.text, minlength=len(part))
                 fresh = np.bincount(lines.text[first], minlength=len(part))
-                keys = _band_keys(lines, first)
+                least = _minima(lines, first) if len(first) else np.zeros((0, HASHES), dtype=np.uint32)
                 places = pa.StructArray.from_arrays(
                     [pa.array(lines.place, pa.int32()), pa.array(lines.ids.view(np.int64))], ["place", "item"]
                 )
-                bands = pa.StructArray.from_arrays(
-                    [
-                        pa.array(lines.ids[first].view(np.int64)),
-                        _listed(np.full(len(first), BANDS), pa.array(keys.reshape(-1).view(np.int64))),
-                    ],
-                    ["item", "keys"],
-                )
+                items, texts = pa.array(lines.ids[first].view(np.int64)), lines.taken(first)
+                sketches = pa.array(pack_rows(least).reshape(-1))
+                sketches = _listed(np.full(len(first), SKETCH), sketches)
+                # The keys of a document's lines go as bytes: only the packing task looks at each.
+                keys = _in_bytes(_band_keys(least), fresh)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(row, len(part)),
                         batch.column("text_id").slice(row, len(part)),
                         _listed(counts, places),
-                        _listed(fresh, bands),
+                        _listed(fresh, items),
+                        keys,
+                        _listed(fresh, sketches),
+                        _listed(fresh, texts),
                     ],
-                    names=["doc_id", "text_id", "lines", "fresh"],
+                    names=["doc_id", "text_id", "lines", "items", "keys", "sketches", "texts"],
                 )
                 row += len(part)
 
@@ -163,8 +165,8 @@ def _signer(every: bool) -> Callable:
 
 
 SIGNED = (
-    "doc_id long, text_id long, lines array<struct<place:int,item:long>>,"
-    " fresh array<struct<item:long,keys:array<long>>>"
+    "doc_id long, text_id long, lines array<struct<place:int,item:long>>, items array<long>,"
+    " keys binary, sketches array<array<long>>, texts array<string>"
 )
 
 
@@ -174,72 +176,14 @@ def _line_sets(column: pa.Array) -> Iterator[np.ndarray]:
         data, offsets = words.text_bytes(part)
         shingles = words.Rolling(data, words.BYTE_VALUES).windows(SHINGLE)
         for low, high in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-            yield np.unique(shingles[low : high - SHINGLE + 1])
-
-
-@F.arrow_udf(OVERLAP)
-def overlap(text_a: pa.Array, text_b: pa.Array) -> pa.Array:
-    """Sizes of intersection and union of the shingle sets of two comparable lines."""
-    shared, total = [], []
-    for a, b in zip(_line_sets(text_a), _line_sets(text_b)):
-        both = len(np.intersect1d(a, b, assume_unique=True))
-        shared.append(both)
-        total.append(len(a) + len(b) - both)
-    return pa.StructArray.from_arrays([pa.array(shared, pa.int64()), pa.array(total, pa.int64())], ["shared", "total"])
-
-
-def _line_texts(wanted: Broadcast | None, every: bool) -> Callable:
-    """Ids and comparable forms of the lines, of those whose id is in a sorted array if one is given."""
-
-    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, lines in _line_slices(batch.column("text"), every):
-                ids, first = np.unique(lines.ids.view(np.int64), return_index=True)
-                ids, first = ids[lines.fuzzy[first]], first[lines.fuzzy[first]]
-                if wanted is not None:
-                    at = np.searchsorted(wanted.value, ids)
-                    at[at == len(wanted.value)] = 0
-                    among = wanted.value[at] == ids if len(wanted.value) else np.zeros(len(ids), dtype=bool)
-                    ids, first = ids[among], first[among]
-                starts, stops = lines.start[first].tolist(), lines.stop[first].tolist()
-                found = [lines.data[low:high].tobytes() for low, high in zip(starts, stops)]
-                sketches = pa.array(_sketches(lines, first).reshape(-1))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ids),
-                        pa.array(found, pa.binary()).cast(pa.string()),
-                        _listed(np.full(len(first), SKETCH), sketches),
-                    ],
-                    names=["item", "text", "sketch"],
-                )
+            found = np.sort(shingles[low : high - SHINGLE + 1])
+            yield found[np.concatenate([[True], found[1:] != found[:-1]])]
 
-    return texts
 
-
-def line_texts(docs: DataFrame, needed: DataFrame, work: Workspace, every: bool = False) -> DataFrame:
-    """``(item, text, sketch)`` of the lines whose ids are ``needed``.
-
-    Few ids, counted, are sent to the tasks; more are joined.
-    """
-    needed = work.keep(needed)
-    few = needed.count() <= BROADCAST_ROWS
-    wanted = None
-    if few:
-        ids = np.sort(needed.toArrow()["item"].to_numpy())
-        wanted = docs.sparkSession.sparkContext.broadcast(ids)
-    lines = docs.select("text").mapInArrow(_line_texts(wanted, every), "item long, text string, sketch array<long>")
-    lines = lines if few else lines.join(needed, "item", "left_semi")
-    return work.keep(lines.groupBy("item").agg(F.min("text").alias("text"), F.first("sketch").alias("sketch")))
-
-
-def _measured(pairs: DataFrame, texts: DataFrame, floor: float) -> DataFrame:
-    """Pairs ``(a, b)`` with the overlap of their lines, without those estimated below a similarity."""
-    for side in ("a", "b"):
-        own = [F.col(name).alias(f"{name}_{side}") for name in ("text", "sketch")]
-        pairs = pairs.join(texts.select(F.col("item").alias(side), *own), side)
-    close = pairs.where(estimate(F.col("sketch_a"), F.col("sketch_b"), HASHES) >= floor)
-    both = close.select("a", "b", overlap("text_a", "text_b").alias("o"))
-    return both.select("a", "b", "o.shared", "o.total")
+def _of_lines(signed: DataFrame, *columns: str) -> DataFrame:
+    """``(item, ...)``, a row per signed line, with some of what is listed of it."""
+    listed = signed.select(F.explode(F.arrays_zip(F.col("items").alias("item"), *columns)).alias("line"))
+    return listed.select("line.*")
 
 
 def repeated_lines(docs: DataFrame, work: Workspace, every: bool = False) -> DataFrame:
@@ -249,19 +193,14 @@ def repeated_lines(docs: DataFrame, work: Workspace, every: bool = False) -> Dat
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     signed = docs.select("doc_id", _text_id(), "text").mapInArrow(_signer(every), SIGNED)
-    signed = work.keep(signed.where(F.size("lines") > 0))
+    signed = work.keep(signed.where(F.size("lines") > 0), "zstd")
     lines = signed.select("doc_id", "text_id", "lines")
-    banded = signed.select(F.explode("fresh").alias("line")).select("line.item", "line.keys")
-    candidates = candidate_rows(banded, BANDS, work)
+    candidates = candidate_rows(signed.select("items", "keys"), BANDS, work)
+    # The lines that share a key with others: few, counted, are sent to the tasks, more are joined.
     needed = candidates.select(F.explode(F.array("item", "leader")).alias("item")).distinct()
-    texts = line_texts(docs, needed, work, every)
-    similarity = Similarity(
-        lambda pairs: _measured(pairs, texts, ESTIMATE_FLOOR),
-        AT_LEAST,
-        lambda pairs: _measured(pairs, texts, LINK_FLOOR),
-        texts.select("item", "sketch"),
-        lambda a, b: estimate(a, b, HASHES) >= LINK_FLOOR,
-    )
+    texts = _of_lines(signed, "sketches", "texts").join(work.small(work.keep(needed)), "item", "left_semi")
+    texts = texts.groupBy("item").agg(F.min("texts").alias("text"), F.first("sketches").alias("sketch"))
+    similarity = Similarity(work.keep(texts), _line_sets, AT_LEAST, HASHES, LINK_FLOOR)
     links = link(candidates, similarity, work)
     roots = components(links, work)
     line = lines.select("doc_id", "text_id", F.explode("lines").alias("line")).select("doc_id", "text_id", "line.*")
@@ -301,7 +240,8 @@ def dedup_lines(docs: DataFrame, label: str = "line-dedup", every: bool = False)
     names = ["n_lines", "n_dropped"]
     while set(names) & set(docs.columns):
         names = [f"{name}_" for name in names]
-    counts = [F.when(text.isNull(), 0).otherwise(F.size(lines)), F.coalesce(F.size("__places"), F.lit(0))]
+    feeds = F.octet_length(text) - F.octet_length(F.replace(text, F.lit(LINE_FEED), F.lit("")))
+    counts = [F.coalesce(feeds + 1, F.lit(0)), F.coalesce(F.size("__places"), F.lit(0))]
     return joined.select(
         *[c for c in docs.columns if c != "text"],
         F.when(F.col("__places").isNull(), text).otherwise(kept).alias("text"),

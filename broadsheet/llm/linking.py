@@ -1,12 +1,12 @@
 """Similarity links inside candidate buckets, and the connected components they form.
 
-Items that share a bucket key are candidates. A bucket is never paired with itself as a whole. First every item
-is compared with one leader, the smallest item of a bucket; buckets that lie in one component then are dropped. In those that remain, every item is compared with the leader; linked items leave the
-bucket, the others go on to the next round. What the leader cannot settle is settled exactly: the
-distance ``1 - Jaccard`` is a metric, so an item ``y`` can be linked to an item ``x`` that left with leader
-``a`` only if ``distance(y, a) - distance(x, a)`` does not exceed the threshold. Such pairs, and what remains
-when its pairs are few for the rows of all buckets (twice as many with each further round), are compared
-directly unless they are in one component already or their sketches rule a link out.
+Items that share a bucket key are candidates. First every item is compared with one leader, the smallest item of a
+bucket, and buckets that lie in one component are settled. In those that remain, every item is compared with a leader
+of another component, as long as many pairs are open. The pairs left in buckets of few items are compared once each,
+whatever the number of buckets they share. The items of larger ones are compared in blocks: a task gets two blocks
+of bounded size, their texts and what is joined already, looks at sketches first, and returns only links that join two
+components. So a bucket of any size makes rows for its items and its blocks, never for its pairs, and no link between
+different components is lost.
 """
 
 from __future__ import annotations
@@ -18,60 +18,84 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.buckets import shared_keys
+from broadsheet.llm.buckets import keys_of, shared_keys
+from broadsheet.llm.sketches import estimate, estimates
 from broadsheet.llm.tables import Workspace
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Pairs left in the buckets, for each of their rows, up to which they are looked at in one join.
+# Pairs open in the buckets, for each of their rows, up to which all are compared in blocks.
 PAIRS_A_ROW = 64
 
+# Items of a bucket whose pairs are compared as rows, and items of a block of larger ones, about.
+FEW = 16
+BLOCK = 256
+
 # Links that a task contracts at a time.
 LINKS = 1 << 20
 
+Shingles = Callable[[pa.Array], Iterator[np.ndarray]]
+
 
 @dataclass(frozen=True)
 class Similarity:
-    """``measure`` turns distinct pairs ``(a, b)`` into ``(a, b, shared, total)``, the sizes of intersection
-    and union. Pairs it leaves out must be below ``far``, a similarity with ``1 - far = 2 * (1 - at_least)``.
-    Both are whole percentages, so that every comparison is exact in integers."""
+    """How items are compared.
+
+    ``texts`` ``(item, text, sketch)`` is a written table; ``shingles`` gives the sorted distinct shingles of texts.
+    Two items are linked if 100 times their shared shingles are ``at_least`` times all. Pairs whose sketches of
+    so many ``hashes`` estimate a similarity below ``floor``, far below the threshold, are not linked.
+    """
 
-    measure: Callable[[DataFrame], DataFrame]
+    texts: DataFrame
+    shingles: Shingles
     at_least: int
-    # Like measure, for pairs of which only the links matter; may leave out what cannot be linked.
-    confirm: Callable[[DataFrame], DataFrame] | None = None
-    # ``(item, sketch)`` of every item, and whether two sketches leave a link possible. It is part of the join
-    # of a bucket, so that pairs that cannot be linked never become rows.
-    sketches: DataFrame | None = None
-    possible: Callable[[Column, Column], Column] | None = None
+    hashes: int
+    floor: float
 
-    @property
-    def far(self) -> int:
-        return 100 - 2 * (100 - self.at_least)
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """Those of some pairs ``(a, b)`` that are linked: by their sketches, then on whole texts."""
+        near = self._with(pairs, "sketch")
+        near = near.where(estimate(F.col("sketch_a"), F.col("sketch_b"), self.hashes) >= self.floor).select("a", "b")
+        linked = _linked(self.shingles, self.at_least)
+        return self._with(near, "text").where(linked("text_a", "text_b")).select("a", "b")
 
-    def linked(self) -> Column:
-        return F.col("shared") * 100 >= F.col("total") * self.at_least
+    def _with(self, pairs: DataFrame, column: str) -> DataFrame:
+        for side in ("a", "b"):
+            own = self.texts.select(F.col("item").alias(side), F.col(column).alias(f"{column}_{side}"))
+            pairs = pairs.join(own, side)
+        return pairs
 
-    def sketched(self, rows: DataFrame) -> DataFrame:
-        return rows if self.sketches is None else rows.join(self.sketches, "item")
 
-    def may_link(self) -> Column:
-        """For rows ``x`` and ``y`` with sketches."""
-        return F.lit(True) if self.sketches is None else self.possible(F.col("x.sketch"), F.col("y.sketch"))
+def similar(a: np.ndarray, b: np.ndarray, at_least: int) -> bool:
+    """Whether two sets of shingles are linked."""
+    a, b = (a, b) if len(a) <= len(b) else (b, a)
+    if not len(a) or 100 * len(a) < at_least * len(b):
+        return False
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    shared = int(np.count_nonzero(b[at] == a))
+    return 100 * shared >= at_least * (len(a) + len(b) - shared)
+
+
+def _linked(shingles: Shingles, at_least: int):
+    @F.arrow_udf("boolean")
+    def linked(text_a: pa.Array, text_b: pa.Array) -> pa.Array:
+        return pa.array([similar(a, b, at_least) for a, b in zip(shingles(text_a), shingles(text_b))], pa.bool_())
+
+    return linked
 
 
 def candidate_rows(listed: DataFrame, keys_each: int, work: Workspace) -> DataFrame:
-    """``(key, item, leader)`` for all but the smallest item, the leader, of every bucket of ``listed``
-    ``(item, keys)``, a written table with ``keys_each`` keys an item."""
+    """``(key, item, leader)`` for all but the smallest item, the leader, of every bucket of ``listed``, a written
+    table with the columns of :func:`buckets.keyed` and ``keys_each`` keys an item."""
     shared = work.keep(shared_keys(listed, keys_each))
     # A bucket of two is known by its smallest and largest item; only larger ones are looked up again.
     two = shared.where("n = 2").select("key", F.col("last").alias("item"), "leader")
-    more = work.small(work.keep(shared.where("n > 2").select("key", "leader")))
-    buckets = listed.select(F.explode("keys").alias("key"), "item")
-    members = buckets.join(more, "key").where("item > leader").select("key", "item", "leader").distinct()
+    more = work.keep(shared.where("n > 2").select("key", "leader"))
+    members = keys_of(listed, more).join(work.small(more), "key").where("item > leader").select("key", "item", "leader").distinct()
     return work.keep(two.union(members))
 
 
@@ -80,51 +104,134 @@ def link(active: DataFrame, similarity: Similarity, work: Workspace) -> DataFram
 
     They have the same components as the graph of all linked pairs that share a bucket.
     """
-    most_pairs = active.count() * PAIRS_A_ROW
-    roots = components(_first_links(active, similarity, work), work)
+    # Every item first with the smallest of its leaders, which joins most of what is linked.
+    tested = work.keep(active.groupBy("item").agg(F.min("leader").alias("a")).select("a", F.col("item").alias("b")))
+    roots = components(similarity.links(tested), work)
     active = _mixed(active, roots, work)
-    near = []
+    allowed, turn = max(1, active.count() * PAIRS_A_ROW), 0
     while True:
-        pairs = active.select(F.col("leader").alias("a"), F.col("item").alias("b")).distinct()
-        measured = work.keep(similarity.measure(pairs))
-        found = _joined(roots).union(measured.where(similarity.linked()).select("a", "b"))
-        judged = active.join(
-            measured.select(F.col("a").alias("leader"), F.col("b").alias("item"), "shared", "total"),
-            ["leader", "item"],
-            "left",
-        )
-        judged = judged.withColumn("linked", F.coalesce(similarity.linked(), F.lit(False)))
-        roots = components(found, work)
-        judged = work.keep(_with_root(judged, roots, "item"))
-        near.append(_unsettled(judged, similarity))
-        rest = judged.where("not linked").select("key", "item", "root_item")
-        same = rest.groupBy("key", "root_item").agg(F.count("*").alias("n"), F.min("item").alias("leader"))
-        keys = same.groupBy("key").agg(
-            F.min("leader").alias("leader"),
-            F.sum("n").alias("n"),
+        pairs = active.select(F.least("leader", "item").alias("a"), F.greatest("leader", "item").alias("b")).distinct()
+        pairs = work.keep(_apart(pairs, roots).join(tested, ["a", "b"], "left_anti"))
+        tested = tested.union(pairs)
+        roots = components(_joined(roots).union(similarity.links(pairs)), work)
+        members = active.select("key", "item").union(active.select("key", F.col("leader").alias("item"))).distinct()
+        members = work.keep(_with_root(members, roots, "item"))
+        kinds = members.groupBy("key", "root_item").agg(F.count("*").cast("double").alias("n"), F.min("item").alias("first"))
+        keys = kinds.groupBy("key").agg(
             ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"),
+            F.min_by("first", F.xxhash64("first", F.lit(turn))).alias("leader"),
         )
         keys = work.keep(keys.where("pairs > 0"))
         pairs_left = keys.agg(F.sum("pairs")).first()[0] or 0
-        if not pairs_left:
+        if pairs_left <= allowed:
             break
-        if pairs_left <= most_pairs:
-            open_rows = rest.join(work.small(keys.select("key")), "key")
-            open_rows = similarity.sketched(open_rows)
-            x, y = open_rows.alias("x"), open_rows.alias("y")
-            apart = F.expr("x.key = y.key and x.item < y.item and x.root_item <> y.root_item")
-            pairs = x.join(y, apart & similarity.may_link())
-            near.append(pairs.select(F.col("x.item").alias("a"), F.col("y.item").alias("b")))
-            break
-        most_pairs *= 2
-        active = rest.join(keys.select("key", "leader"), "key").where("item > leader")
-        active = work.keep(active.select("key", "item", "leader"))
+        allowed, turn = allowed * 2, turn + 1
+        active = work.keep(members.join(keys, "key").where("item <> leader").select("key", "item", "leader"))
     found = _joined(roots)
-    open_pairs = work.keep(_apart(_union(near).distinct(), roots))
-    if open_pairs.isEmpty():
+    if not pairs_left:
         return found
-    confirm = similarity.confirm or similarity.measure
-    return found.union(confirm(open_pairs).where(similarity.linked()).select("a", "b"))
+    open_members = work.keep(members.join(work.small(keys.select("key")), "key"))
+    return found.union(_compared(open_members, tested, similarity, work))
+
+
+def _compared(members: DataFrame, tested: DataFrame, similarity: Similarity, work: Workspace) -> DataFrame:
+    """Links between different components inside the buckets of ``members`` ``(key, item, root_item)``, without those
+    among the pairs ``tested`` before."""
+    prints = members.groupBy("key").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("item")).alias("x"), F.bit_xor(F.xxhash64("item", F.lit(1))).alias("y")
+    )
+    # Buckets of the same items are one.
+    keys = work.keep(prints.groupBy("n", "x", "y").agg(F.min("key").alias("key")))
+    few = members.join(keys.where(F.col("n") <= FEW).select("key"), "key")
+    x, y = few.alias("x"), few.alias("y")
+    apart = F.expr("x.key = y.key and x.item < y.item and x.root_item <> y.root_item")
+    pairs = x.join(y, apart).select(F.col("x.item").alias("a"), F.col("y.item").alias("b")).distinct()
+    pairs = work.keep(pairs.join(tested, ["a", "b"], "left_anti"))
+    return work.keep(similarity.links(pairs)).union(_in_blocks(members, keys.where(F.col("n") > FEW), similarity, work))
+
+
+def _in_blocks(members: DataFrame, keys: DataFrame, similarity: Similarity, work: Workspace) -> DataFrame:
+    """Links between different components inside the buckets ``(key, n)``, compared block by block."""
+    rows = members.join(keys.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "key")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int"))
+    rows = rows.join(similarity.texts, "item")
+    # Each block meets every block of its bucket, itself included, in a task of the two.
+    met = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    group = ["key", "low", "high"]
+    met = met.select(
+        "key",
+        F.least("block", "other").alias("low"),
+        F.greatest("block", "other").alias("high"),
+        "item",
+        F.col("root_item").alias("root"),
+        "block",
+        "text",
+        "sketch",
+    )
+    met = met.repartition(*group).sortWithinPartitions(*group, "item")
+    return work.keep(met.mapInArrow(_comparer(similarity), "a long, b long"))
+
+
+def _comparer(similarity: Similarity):
+    shingles, at_least = similarity.shingles, similarity.at_least
+    hashes, floor = similarity.hashes, similarity.floor
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            found = list(_links_of(group, shingles, at_least, hashes, floor))
+            if found:
+                a, b = zip(*found)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return compare
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each group of a sorted partition."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if rest is None else pa.concat_tables([rest, table])
+        if not len(table):
+            continue
+        ids = np.stack([table[name].to_numpy() for name in ("key", "low", "high")])
+        begins = np.concatenate([[0], np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1])
+        for begin, end in zip(begins, begins[1:]):
+            yield table.slice(begin, end - begin)
+        rest = table.slice(begins[-1])
+    if rest is not None:
+        yield rest
+
+
+def _links_of(group: pa.Table, shingles: Shingles, at_least: int, hashes: int, floor: float) -> Iterator[tuple[int, int]]:
+    """Links that join components of two blocks, or of one."""
+    items, block = group["item"].to_numpy(), group["block"].to_numpy()
+    texts = group["text"].combine_chunks()
+    sketches = group["sketch"].combine_chunks().flatten().to_numpy().reshape(len(items), -1)
+    component = np.unique(group["root"].to_numpy(), return_inverse=True)[1]
+    # The pairs inside a block are for the task of the block with itself.
+    across = group["low"][0].as_py() != group["high"][0].as_py()
+    known: list[np.ndarray] = []
+
+    def of(i: int) -> np.ndarray:
+        if not known:
+            known.extend(shingles(texts))
+        return known[i]
+
+    for low in range(0, len(items), BLOCK):
+        own = np.arange(low, min(low + BLOCK, len(items)))
+        apart = (component[own][:, None] != component) & (own[:, None] < np.arange(len(items)))
+        if across:
+            apart &= block[own][:, None] != block
+        i, j = np.nonzero(apart)
+        guess = estimates(sketches[own[i]], sketches[j], hashes)
+        i = own[i]
+        # The most similar first: what they join needs no further look.
+        for at in np.argsort(-guess, kind="stable")[: int((guess >= floor).sum())].tolist():
+            a, b = i[at], j[at]
+            if component[a] != component[b] and similar(of(a), of(b), at_least):
+                yield int(min(items[a], items[b])), int(max(items[a], items[b]))
+                component[component == component[b]] = component[a]
 
 
 def _joined(roots: DataFrame) -> DataFrame:
@@ -132,12 +239,6 @@ def _joined(roots: DataFrame) -> DataFrame:
     return roots.select(F.col("item").alias("a"), F.col("root").alias("b"))
 
 
-def _first_links(active: DataFrame, similarity: Similarity, work: Workspace) -> DataFrame:
-    """Links that join most of what is linked: every item is compared with the smallest of its leaders."""
-    chosen = active.groupBy("item").agg(F.min("leader").alias("a")).select("a", F.col("item").alias("b"))
-    return work.keep(similarity.measure(chosen).where(similarity.linked()).select("a", "b"))
-
-
 def _mixed(active: DataFrame, roots: DataFrame, work: Workspace) -> DataFrame:
     """The rows of buckets that lie in several components; the others are settled."""
     rooted = _with_root(_with_root(active, roots, "item"), roots, "leader")
@@ -157,39 +258,19 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return _with_root(_with_root(pairs, roots, "a"), roots, "b").where("root_a <> root_b").select("a", "b")
 
 
-def _unsettled(judged: DataFrame, similarity: Similarity) -> DataFrame:
-    """Pairs of one bucket, one linked to the leader and one not, that lie in different components and that
-    the leader leaves open."""
-    columns = ["key", "item", "root_item", "shared", "total"]
-    x = similarity.sketched(judged.where("linked").select(*columns)).alias("x")
-    # y is not far from the leader, and their distances to it differ by the threshold at most.
-    open_to = F.col("shared") * 100 >= F.col("total") * similarity.far
-    y = similarity.sketched(judged.where("not linked").where(open_to).select(*columns)).alias("y")
-    gap = F.expr("y.total * x.shared - x.total * y.shared") * 100
-    within = gap <= F.expr("x.total * y.total") * (100 - similarity.at_least)
-    apart = F.col("x.root_item") != F.col("y.root_item")
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & apart & within & similarity.may_link())
-    return pairs.select(
-        F.least("x.item", "y.item").alias("a"), F.greatest("x.item", "y.item").alias("b")
-    )
-
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.union(frame)
-    return out
-
-
 def components(links: DataFrame, work: Workspace) -> DataFrame:
     """``(item, root)`` for every item in a link ``(a, b)``; the root is the smallest item reachable.
 
-    Distributed union-find: each task contracts its own links to stars, which alternating star contraction
-    then joins: every item's larger neighbours are hung on its
-    smallest neighbour, then its smaller ones, until nothing moves. Each step is two aggregations that
+    Distributed union-find: each task contracts its own links to stars. If these are no more than a task contracts
+    at a time, one task joins them. Otherwise alternating star contraction does: every item's larger neighbours are
+    hung on its smallest neighbour, then its smaller ones, until nothing moves. Each step is two aggregations that
     combine before the shuffle, and a join that splits skewed keys.
     """
-    edges = work.keep(links.where("a <> b").select("a", "b").mapInArrow(_stars, "u long, v long").distinct())
+    edges = work.keep(links.where("a <> b").select("a", "b").mapInArrow(_stars, "u long, v long"))
+    if edges.count() <= LINKS:
+        few = edges.select(F.col("u").alias("a"), F.col("v").alias("b")).coalesce(1)
+        return _stars_as_roots(work.keep(few.mapInArrow(_stars, "u long, v long")))
+    edges = work.keep(edges.distinct())
     state = _fingerprint(edges)
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -205,6 +286,10 @@ def components(links: DataFrame, work: Workspace) -> DataFrame:
         state = _fingerprint(edges)
         if state == before:
             break
+    return _stars_as_roots(edges)
+
+
+def _stars_as_roots(edges: DataFrame) -> DataFrame:
     roots = edges.select(F.col("u").alias("item"), F.col("v").alias("root"))
     return roots.union(edges.select(F.col("v").alias("item"), F.col("v").alias("root")).distinct())
 

@@ -19,10 +19,10 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from broadsheet.llm import words
+from broadsheet.llm import sketches, words
 from broadsheet.llm.linking import Similarity, candidate_rows, components, link
+from broadsheet.llm.sketches import pack
 from broadsheet.llm.tables import Workspace
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -33,21 +33,14 @@ AT_LEAST = 75  # per cent
 # A pair of similarity 0.75 shares no band with probability (1 - 0.75^5)^48 = 2e-6.
 ROWS, BANDS = 5, 48
 HASHES = ROWS * BANDS
-LOW_BITS = 2
-WORDS_PER_PLANE = HASHES // 64 + 1
-BY_CHANCE = 0.5**LOW_BITS
-
-# Pairs estimated below this are not confirmed. It lies five standard deviations below a similarity of 0.5,
-# under which a pair can decide nothing (linking.Similarity.far).
-ESTIMATE_FLOOR = 0.3
-# The same distance below the threshold, for pairs of which only a link matters.
+
+# Pairs estimated below this are not confirmed. It lies five standard deviations below the threshold.
 LINK_FLOOR = 0.58
 
 _random = np.random.Generator(np.random.PCG64(words.SEED + 1))
 FACTORS = _random.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 BAND_SALT = words.mix(np.arange(1, BANDS + 1, dtype=np.uint64))
 
-OVERLAP = T.StructType([T.StructField("shared", T.LongType()), T.StructField("total", T.LongType())])
 SIGNATURES = "n_shingles long, set_a long, set_b long, bands array<long>, low_bits array<long>"
 
 
@@ -73,30 +66,9 @@ def band_keys(least: np.ndarray, rows: int, salt: np.ndarray) -> np.ndarray:
     return words.mix((parts * words.PLACE_VALUES[:rows]).sum(axis=1, dtype=np.uint64) + salt)
 
 
-def pack(least: np.ndarray) -> np.ndarray:
-    """The low bits of the minima: a plane of bits for each, 64 to an integer."""
-    planes = np.zeros((LOW_BITS, WORDS_PER_PLANE * 64), dtype=np.uint8)
-    for bit in range(LOW_BITS):
-        planes[bit, : len(least)] = (least >> np.uint32(bit)) & np.uint32(1)
-    return np.packbits(planes, axis=1, bitorder="little").reshape(-1).view(np.int64)
-
-
 def estimate(a: Column, b: Column, hashes: int = HASHES) -> Column:
-    """Similarity estimated from two packed signatures, corrected for agreement by chance."""
-    different = F.lit(0)
-    words_per_plane = hashes // 64 + 1
-    for i in range(words_per_plane):
-        unequal = F.lit(0).cast("long")
-        for bit in range(LOW_BITS):
-            at = F.lit(bit * words_per_plane + i)
-            unequal = unequal.bitwiseOR(F.get(a, at).bitwiseXOR(F.get(b, at)))
-        different = different + F.bit_count(unequal)
-    agreement = F.lit(1.0) - different / F.lit(float(hashes))
-    return (agreement - F.lit(BY_CHANCE)) / F.lit(1 - BY_CHANCE)
-
-
-def _may_link(a: Column, b: Column) -> Column:
-    return estimate(a, b) >= LINK_FLOOR
+    """Similarity estimated from two packed signatures."""
+    return sketches.estimate(a, b, hashes)
 
 
 def _sets(column: pa.Array) -> Iterator[np.ndarray]:
@@ -142,25 +114,6 @@ def signatures(docs: DataFrame) -> DataFrame:
     )
 
 
-@F.arrow_udf(OVERLAP)
-def overlap(text_a: pa.Array, text_b: pa.Array) -> pa.Array:
-    """Sizes of intersection and union of the shingle sets of two texts."""
-    shared, total = [], []
-    for a, b in zip(_sets(text_a), _sets(text_b)):
-        both = len(np.intersect1d(a, b, assume_unique=True))
-        shared.append(both)
-        total.append(len(a) + len(b) - both)
-    return pa.StructArray.from_arrays([pa.array(shared, pa.int64()), pa.array(total, pa.int64())], ["shared", "total"])
-
-
-def measured(pairs: DataFrame, texts: DataFrame, measure) -> DataFrame:
-    """Pairs ``(a, b)`` with the overlap of their ``texts`` ``(item, text)``."""
-    for side in ("a", "b"):
-        pairs = pairs.join(texts.select(F.col("item").alias(side), F.col("text").alias(f"text_{side}")), side)
-    both = pairs.select("a", "b", measure("text_a", "text_b").alias("o"))
-    return both.select("a", "b", "o.shared", "o.total")
-
-
 def near_duplicates(docs: DataFrame, label: str = "minhash") -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for every row of ``docs`` ``(doc_id, text, ...)``.
 
@@ -177,13 +130,16 @@ def near_duplicates(docs: DataFrame, label: str = "minhash") -> DataFrame:
         )
     )
     members = items.select("set_a", "set_b", "n_shingles", "item")
-    low_bits = items.select("item", "low_bits")
+    low_bits = items.select("item", F.col("low_bits").alias("sketch"))
     texts = docs.select(F.col("doc_id").cast("long").alias("item"), F.col("text").cast("string"))
     candidates = candidate_rows(items.select("item", F.col("bands").alias("keys")), BANDS, work)
+    # The texts of items that share a key with others are written once.
     needed = candidates.select(F.explode(F.array("item", "leader")).alias("item")).distinct()
-    pairs = _Candidates(texts, low_bits, needed, work)
-    sketches = low_bits.withColumnRenamed("low_bits", "sketch")
-    similarity = Similarity(pairs.measure, AT_LEAST, pairs.confirm, sketches, _may_link)
+    needed = work.small(work.keep(needed.join(low_bits, "item")))
+    # Repeated rows are one; a doc_id with several texts is linked by any of them.
+    wanted = texts.join(needed, "item").groupBy("item", "sketch", F.xxhash64("text"))
+    wanted = work.keep(wanted.agg(F.first("text").alias("text")).select("item", "text", "sketch"))
+    similarity = Similarity(wanted, _sets, AT_LEAST, HASHES, LINK_FLOOR)
     links = link(candidates, similarity, work)
     # A document row belongs to the item of its set; rows of one doc_id with several sets join these sets.
     own = signed.join(members, ["set_a", "set_b", "n_shingles"], "left").select("doc_id", "n_shingles", "item")
@@ -207,31 +163,3 @@ def representatives(docs: DataFrame, label: str = "minhash") -> DataFrame:
     dropped = found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("__dropped")).distinct()
     kept = docs.join(dropped, docs["doc_id"].cast("long") == F.col("__dropped"), "left_anti")
     return kept
-
-
-class _Candidates:
-    """Measures candidate pairs: by packed signatures first, then on the texts of those that pass.
-
-    The texts of the documents ``needed``, those with company in a bucket, are written once, so that the
-    rounds do not read and shuffle all documents again.
-    """
-
-    def __init__(self, texts: DataFrame, low_bits: DataFrame, needed: DataFrame, work: Workspace):
-        self.texts, self.low_bits, self.needed, self.work = texts, low_bits, needed, work
-        self.written: DataFrame | None = None
-
-    def confirm(self, pairs: DataFrame) -> DataFrame:
-        return self.measure(pairs, LINK_FLOOR)
-
-    def measure(self, pairs: DataFrame, floor: float = ESTIMATE_FLOOR) -> DataFrame:
-        signed = pairs
-        for side in ("a", "b"):
-            signed = signed.join(
-                self.low_bits.select(F.col("item").alias(side), F.col("low_bits").alias(f"bits_{side}")), side
-            )
-        close = signed.where(estimate(F.col("bits_a"), F.col("bits_b")) >= floor)
-        close = self.work.keep(close.select("a", "b"))
-        if self.written is None:
-            needed = self.work.small(self.work.keep(self.needed))
-            self.written = self.work.keep(self.texts.join(needed, "item", "left_semi"))
-        return measured(close, self.written, overlap)

@@ -34,12 +34,12 @@ class Workspace:
         self.count = 0
         bound_batches(spark)
 
-    def keep(self, df: DataFrame) -> DataFrame:
+    def keep(self, df: DataFrame, codec: str = "snappy") -> DataFrame:
         """Write a table and read it back."""
         self.count += 1
         path = f"{self.root}/{self.count}"
         schema = df.schema
-        df.write.parquet(path)
+        df.write.option("compression", codec).parquet(path)
         return self.spark.read.schema(schema).parquet(path)
 
     def small(self, kept: DataFrame) -> DataFrame:
