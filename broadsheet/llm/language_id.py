@@ -152,6 +152,7 @@ def fitting_sample(labelled: DataFrame, known: DataFrame, docs: float) -> DataFr
 def _counted_windows(sample: DataFrame, work: Workspace) -> tuple[DataFrame, Broadcast, float]:
     """``(lang, window, n)`` of a sample, written; the numbers of its characters; and how many times too many the
     windows are."""
+    sample = work.keep(sample)
     sample_characters = F.arrow_udf("array<struct<char:string,n:long>>")(_count_characters)("text")
     characters = sample.select(F.inline(sample_characters))
     frequent = characters.groupBy("char").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "char").limit(ALPHABET)
@@ -292,8 +293,9 @@ def fit(labelled: DataFrame) -> Broadcast | None:
     raw = spark.sparkContext.broadcast(model)
     # Calibration: mean cross-entropy per language, and the largest excess over it by length.
     held = labelled.where("calibrating").join(known, "lang")
-    held = held.where(_draw(2) < CALIBRATION_DOCS / F.col("n_held")).select("lang", "text")
-    scored = held.select("lang", _scorer(raw)("text").alias("s")).select("lang", "s.*")
+    # Both are written: a condition on the prediction would else be moved before the draw, and score all documents.
+    held = work.keep(held.where(_draw(2) < CALIBRATION_DOCS / F.col("n_held")).select("lang", "text"))
+    scored = work.keep(held.select("lang", _scorer(raw)("text").alias("s")).select("lang", "s.*"))
     scored = scored.where("lang = lang_pred and n_letters > 0")
     scale = F.sqrt(F.least("n_symbols", F.lit(FULL_LENGTH)).cast("double"))
     mean = scored.groupBy("lang").agg((F.sum(F.col("entropy") * scale) / F.sum(scale)).alias("mean"))
