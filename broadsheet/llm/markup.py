@@ -11,8 +11,6 @@ from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-MAX_DEPTH = 100  # deeper elements are read as part of the element at this depth
-
 # Fixed values of HTML: elements without content, elements of running text, and elements that end an open one.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
@@ -33,7 +31,9 @@ ENDS = {
     "option": ({"option"}, {"select"}),
 }
 
-# What is never main text: by element, by role, and by words of class or id.
+# What is never main text: by element, by role, and by class or id. A name counts if it is one of the words, or ends in
+# one behind words of place, or begins with one before words for a container: what else stands in a name may be anything,
+# as in "has-sidebar" or "ad-free". A header is one of the page unless it is inside the main text.
 ASIDE_TAGS = frozenset(
     "nav footer aside form head button select option datalist dialog svg math object audio video canvas map menu"
     " input template noscript iframe".split()
@@ -45,6 +45,15 @@ ASIDE_WORDS = frozenset(
     " newsletter subscribe subscription signup share sharing social related recommended comment comments disqus"
     " respond replies widget pagination pager skip toolbar topbar".split()
 )
+PLACE_WORDS = frozenset(
+    "site page main post article entry blog global primary secondary left right top bottom upper lower side inner outer"
+    " sticky fixed floating mobile desktop js the my user reader readers email mail".split()
+)
+CONTAINER_WORDS = frozenset(
+    "area bar block body box button buttons card cards center column columns container content group holder icons inner"
+    " item items left link links list main news panel posts row right section slot stories articles unit text title top"
+    " bottom widget wrap wrapper zone form thread trail".split()
+)
 MAIN_TAGS = frozenset(("article", "main"))
 
 TOKEN = re.compile(
@@ -57,7 +66,7 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 NUMBER = re.compile(r"[0-9]+")
-NOT_WORD = re.compile(r"[^a-z0-9]+")
+NOT_WORD = re.compile(r"[^a-z]+")
 
 
 @dataclass(slots=True)
@@ -85,16 +94,27 @@ def _element(tag: str, source: str) -> Element:
         aside = "tag"
     elif "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
         aside = "tag"
-    elif names and tag not in ("html", "body") and not ASIDE_WORDS.isdisjoint(NOT_WORD.split(names)):
+    elif names and tag not in ("html", "body") and any(map(is_aside_name, names.split())):
         aside = "words"
     return Element(tag, key, aside)
 
 
+def is_aside_name(name: str) -> bool:
+    """Whether a class or id names something that is no main text."""
+    parts = [part for part in NOT_WORD.split(name) if part]
+    if not parts or ASIDE_WORDS.isdisjoint(parts):
+        return False
+    last = parts[-1] in ASIDE_WORDS and all(part in ASIDE_WORDS or part in PLACE_WORDS for part in parts[:-1])
+    first = parts[0] in ASIDE_WORDS and all(part in ASIDE_WORDS or part in CONTAINER_WORDS for part in parts[1:])
+    return last or first
+
+
 def parse(html: str | None) -> Element:
     """The tree of a page. Open and stray tags are read the way browsers do; time is linear in the page."""
     root = Element("html", "html")
     stack = [root]
     open_tags: dict[str, int] = {"html": 1}
+    doubted: list[Element] = []  # open elements that are asides by their name only
     pieces: list[tuple[str, bool]] = []
     links = 0
 
@@ -107,8 +127,18 @@ def parse(html: str | None) -> Element:
                 stack[-1].children.append(Element("#", "#", text=text, linked=min(linked, len(text))))
             pieces = []
 
+    def push(element: Element) -> None:
+        stack[-1].children.append(element)
+        stack.append(element)
+        open_tags[element.tag] = open_tags.get(element.tag, 0) + 1
+        if element.aside == "words":
+            doubted.append(element)
+
     def pop() -> None:
-        open_tags[stack.pop().tag] -= 1
+        element = stack.pop()
+        open_tags[element.tag] -= 1
+        if doubted and doubted[-1] is element:
+            doubted.pop()
 
     def close(names: set[str], limits: set[str]) -> None:
         """End the innermost open element of ``names`` that lies inside the innermost of ``limits``."""
@@ -149,11 +179,9 @@ def parse(html: str | None) -> Element:
                 close({tag}, PARAGRAPH_ENDS)
             elif not closing and source:
                 element = _element(tag, source)
-                if element.aside and len(stack) < MAX_DEPTH:
+                if element.aside:
                     flush()
-                    stack[-1].children.append(element)
-                    stack.append(element)
-                    open_tags[tag] = open_tags.get(tag, 0) + 1
+                    push(element)
             continue
         flush()
         if closing:
@@ -173,15 +201,14 @@ def parse(html: str | None) -> Element:
             close(*ENDS[tag])
         element = _element(tag, source)
         if tag in MAIN_TAGS and not element.aside:
-            for outer in stack:
-                if outer.aside == "words":
-                    outer.aside = ""
+            # A name does not make an aside of what holds the main text.
+            while doubted:
+                doubted.pop().aside = ""
         if tag in VOID:
             continue
-        if len(stack) < MAX_DEPTH:
-            stack[-1].children.append(element)
-            stack.append(element)
-            open_tags[tag] = open_tags.get(tag, 0) + 1
+        if tag == "header" and not element.aside and not any(open_tags.get(main) for main in MAIN_TAGS):
+            element.aside = "words"
+        push(element)
     rest = html[at:]
     if rest:
         # A tag that the page's end cuts off is no text.
@@ -192,13 +219,14 @@ def parse(html: str | None) -> Element:
     return root
 
 
-def blocks(element: Element, out: list[str]) -> list[str]:
-    """Texts of the blocks below an element in page order, without what is no main text."""
+def blocks(element: Element, out: list[str], named: bool = True) -> list[str]:
+    """Texts of the blocks below an element in page order, without what is no main text; ``named`` tells whether
+    the names of elements count for that."""
     todo = [element]
     while todo:
         node = todo.pop()
         if node.key == "#":
             out.append(node.text)
-        elif not node.aside or node is element:
+        elif not node.aside or node is element or not named and node.aside == "words":
             todo.extend(reversed(node.children))
     return out
