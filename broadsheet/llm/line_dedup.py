@@ -38,8 +38,8 @@ ROWS, BANDS = 4, 12
 HASHES = ROWS * BANDS
 SKETCH = plane_size(HASHES) * LOW_BITS  # integers
 
-# Four and a half standard deviations of the estimate below the threshold.
-LINK_FLOOR = 0.49
+# Four standard deviations of the estimate below the threshold.
+LINK_FLOOR = 0.53
 
 _random = np.random.Generator(np.random.PCG64(words.SEED + 2))
 FACTORS = _random.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)

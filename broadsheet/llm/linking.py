@@ -211,13 +211,7 @@ def _links_of(group: pa.Table, shingles: Shingles, at_least: int, hashes: int, f
     component = np.unique(group["root"].to_numpy(), return_inverse=True)[1]
     # The pairs inside a block are for the task of the block with itself.
     across = group["low"][0].as_py() != group["high"][0].as_py()
-    known: list[np.ndarray] = []
-
-    def of(i: int) -> np.ndarray:
-        if not known:
-            known.extend(shingles(texts))
-        return known[i]
-
+    known: dict[int, np.ndarray] = {}
     for low in range(0, len(items), BLOCK):
         own = np.arange(low, min(low + BLOCK, len(items)))
         apart = (component[own][:, None] != component) & (own[:, None] < np.arange(len(items)))
@@ -227,9 +221,11 @@ def _links_of(group: pa.Table, shingles: Shingles, at_least: int, hashes: int, f
         guess = estimates(sketches[own[i]], sketches[j], hashes)
         i = own[i]
         # The most similar first: what they join needs no further look.
-        for at in np.argsort(-guess, kind="stable")[: int((guess >= floor).sum())].tolist():
-            a, b = i[at], j[at]
-            if component[a] != component[b] and similar(of(a), of(b), at_least):
+        near = np.argsort(-guess, kind="stable")[: int((guess >= floor).sum())]
+        new = [at for at in np.unique(np.concatenate([i[near], j[near]])).tolist() if at not in known]
+        known.update(zip(new, shingles(texts.take(pa.array(new, pa.int64())))))
+        for a, b in zip(i[near].tolist(), j[near].tolist()):
+            if component[a] != component[b] and similar(known[a], known[b], at_least):
                 yield int(min(items[a], items[b])), int(max(items[a], items[b]))
                 component[component == component[b]] = component[a]
 
