@@ -7,8 +7,9 @@ used up. The document at the edge is taken in part, as many words as the budget
 
 The draw is a hash of the document, so reruns agree, whatever the partitions.
 
-No source is sorted in one task: a source of n documents is cut into about sqrt(n) ranges of keys, whose totals
-are summed first; a running sum then needs the documents of one range only.
+No source is sorted in one task: its documents are cut into ranges of the logarithm of their keys, sqrt(n) an octave
+for n documents, whose totals are summed first; a running sum then needs the documents of one range only. A weight
+shifts that logarithm, so whatever the weights a range is expected to hold a quarter of sqrt(n) documents at most.
 """
 
 from __future__ import annotations
@@ -122,8 +123,7 @@ def mix(
     shares = work.keep(shares.withColumn("ranges", F.ceil(F.sqrt("n")).cast("long")))
     same = sized["source"].eqNullSafe(shares["source"])
     drawn = sized.join(shares, same).drop(shares["source"])
-    position = F.floor(F.col("ranges") * (F.lit(1.0) - F.exp(-F.col("key")))).cast("long")
-    drawn = work.keep(drawn.withColumn("range", F.least(position, F.col("ranges") - 1)))
+    drawn = work.keep(drawn.withColumn("range", F.floor(F.log2("key") * F.col("ranges")).cast("long")))
     before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     totals = drawn.groupBy("source", "range").agg(F.sum("size").alias("total"))
     totals = totals.withColumn("earlier", F.coalesce(F.sum("total").over(before), F.lit(0)))
@@ -151,27 +151,72 @@ def sample(docs: DataFrame, label: str = "mixing", **options) -> DataFrame:
     ``epochs_taken`` and ``words_taken`` tell how much of a document the mix takes: complete passes first,
     the remainder is the beginning of the text, cut after a word. The text holds them all, a line feed between,
     and ``n_chars``, if there is such a column, is its length. Documents it takes nothing of go. Equal rows
-    are taken together: they share the epochs, and each takes the mean of their words.
+    are taken together: they share the epochs, and each takes the mean of their words. The two counters take a
+    ``_`` more where their names are in use.
     """
-    plan = mix(docs, label=label, **options)
-    plan = plan.groupBy("doc_id", "source", "text_id", "size").agg(F.floor(F.avg("taken")).alias("taken"))
-    plan = plan.select(*[F.col(c).alias(f"__{c}") for c in plan.columns])
+    taken = _taken(docs, label, **options)
     text = F.col("text").cast("string")
-    same = (
-        docs["doc_id"].cast("long").eqNullSafe(F.col("__doc_id"))
-        & docs["source"].cast("string").eqNullSafe(F.col("__source"))
-        & (F.xxhash64(text) == F.col("__text_id"))
-    )
-    taken = docs.join(plan.where("__taken > 0"), same)
-    epochs = F.floor(F.col("__taken") / F.col("__size"))
-    rest = F.col("__taken") - epochs * F.col("__size")
+    epochs, rest = _passes()
     last = F.when(rest > 0, F.array(beginning(text, rest))).otherwise(F.array().cast("array<string>"))
     passes = F.array_join(F.concat(F.array_repeat(text, epochs.cast("int")), last), "\n")
     changed = F.col("__taken") != F.col("__size")
     taken = taken.withColumn("__mixed", F.when(changed, passes).otherwise(text))
+    names = _free_names(docs, "epochs_taken", "words_taken")
+    return taken.select(*_with_text(docs, changed), epochs.alias(names[0]), F.col("__taken").alias(names[1]))
+
+
+def epochs(docs: DataFrame, label: str = "mixing", **options) -> DataFrame:
+    """A row for each pass of the mix over a document, with the columns it has, and ``epoch``, from 1.
+
+    Complete passes come first and hold the text as it is; the last holds its beginning, cut after a word, if the mix
+    takes only so much. ``n_chars``, if there is such a column, is then the length of what is left. Documents it takes
+    nothing of go. Equal rows are taken together, as :func:`sample` says. ``epoch`` takes a ``_`` more where its
+    name is in use.
+    """
+    whole, rest = _passes()
+    passes = F.sequence(F.lit(1), (whole + (rest > 0).cast("long")).cast("int"))
+    taken = _taken(docs, label, **options).withColumns({"__whole": whole, "__rest": rest, "__passes": passes})
+    taken = taken.withColumn("__epoch", F.explode("__passes"))
+    cut = F.col("__epoch") > F.col("__whole")
+    text = F.col("text").cast("string")
+    taken = taken.withColumn("__mixed", F.when(cut, beginning(text, F.col("__rest"))).otherwise(text))
+    (name,) = _free_names(docs, "epoch")
+    return taken.select(*_with_text(docs, cut), F.col("__epoch").alias(name))
+
+
+def _free_names(docs: DataFrame, *names: str) -> list[str]:
+    """The names, with a ``_`` more as long as any of them is in use; case does not tell names apart."""
+    used = {name.lower() for name in docs.columns}
+    found = list(names)
+    while used & set(found):
+        found = [f"{name}_" for name in found]
+    return found
+
+
+def _passes() -> tuple[Column, Column]:
+    """How often a document is taken whole, and how many words of it then."""
+    whole = F.floor(F.col("__taken") / F.col("__size"))
+    return whole, F.col("__taken") - whole * F.col("__size")
+
+
+def _with_text(docs: DataFrame, changed: Column) -> list[Column]:
+    """The columns of ``docs`` with the text ``__mixed``, and its length where it is ``changed``."""
     shown = {"text": F.col("__mixed")}
     if "n_chars" in docs.columns:
         length = F.length("__mixed").cast(docs.schema["n_chars"].dataType)
         shown["n_chars"] = F.when(changed, length).otherwise(F.col("n_chars"))
-    columns = [shown.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns]
-    return taken.select(*columns, epochs.alias("epochs_taken"), F.col("__taken").alias("words_taken"))
+    return [shown.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns]
+
+
+def _taken(docs: DataFrame, label: str, **options) -> DataFrame:
+    """The documents the mix takes words of, with their size and these words as ``__size`` and ``__taken``."""
+    plan = mix(docs, label=label, **options)
+    plan = plan.groupBy("doc_id", "source", "text_id", "size").agg(F.floor(F.avg("taken")).alias("taken"))
+    plan = plan.select(*[F.col(c).alias(f"__{c}") for c in plan.columns])
+    text = F.col("text").cast("string")
+    same = (
+        docs["doc_id"].cast("long").eqNullSafe(F.col("__doc_id"))
+        & docs["source"].cast("string").eqNullSafe(F.col("__source"))
+        & (F.xxhash64(text) == F.col("__text_id"))
+    )
+    return docs.join(plan.where("__taken > 0"), same)

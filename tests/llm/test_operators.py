@@ -432,7 +432,8 @@ def test_pipeline_stages_take_effect(spark, documents):
         if name == "line_dedup":
             dropped = plain_line_dedup({r.doc_id: r.text for r in before.collect()})
             assert docs.count() >= before.count() - len(dropped)
-    assert counts == sorted(counts, reverse=True) and counts[-1] > 0
+    # The last stage returns a row for each pass over a document, three at most.
+    assert counts[:-1] == sorted(counts[:-1], reverse=True) and 0 < counts[-1] <= 3 * counts[-2]
     items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
     assert decontamination.digest(docs, items).where("n_hit > 0").count() == 0
 
