@@ -1,7 +1,7 @@
 """The corpus pipeline: five stages over ``documents``, each of them one operator.
 
-A stage takes all its predecessor kept and returns the columns of documents; the last repeats and cuts texts as the
-mix takes them, and adds how much that is. Null and empty texts do not pass the first stage, as they have no language.
+A stage takes all its predecessor kept and returns the columns of documents; the last returns a row for each pass of the
+mix over a document and adds its number. Null and empty texts do not pass the first stage, as they have no language.
 """
 
 from __future__ import annotations
@@ -42,8 +42,8 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents the mix takes, their texts repeated and cut to the epochs and words it takes of them."""
-    return mixing.sample(docs)
+    """The passes of the mix over the documents: complete ones, and the beginnings that fill its targets."""
+    return mixing.epochs(docs)
 
 
 def _with_length(changed: DataFrame, docs: DataFrame) -> DataFrame:
