@@ -80,6 +80,16 @@ def similar(a: np.ndarray, b: np.ndarray, at_least: int) -> bool:
     return 100 * shared >= at_least * (len(a) + len(b) - shared)
 
 
+def all_similar(a: np.ndarray, others: list[np.ndarray], at_least: int) -> np.ndarray:
+    """Which of some sets of shingles, none of them empty, are linked to one."""
+    sizes = np.array([len(b) for b in others])
+    values = np.concatenate(others)
+    at = np.searchsorted(a, values)
+    at[at == len(a)] = 0
+    shared = np.add.reduceat((a[at] == values).astype(np.int64), np.cumsum(sizes) - sizes)
+    return 100 * shared >= at_least * (len(a) + sizes - shared)
+
+
 def _linked(shingles: Shingles, at_least: int):
     @F.arrow_udf("boolean")
     def linked(text_a: pa.Array, text_b: pa.Array) -> pa.Array:
@@ -218,16 +228,16 @@ def _links_of(group: pa.Table, shingles: Shingles, at_least: int, hashes: int, f
         if across:
             apart &= block[own][:, None] != block
         i, j = np.nonzero(apart)
-        guess = estimates(sketches[own[i]], sketches[j], hashes)
-        i = own[i]
-        # The most similar first: what they join needs no further look.
-        near = np.argsort(-guess, kind="stable")[: int((guess >= floor).sum())]
-        new = [at for at in np.unique(np.concatenate([i[near], j[near]])).tolist() if at not in known]
+        near = estimates(sketches[own[i]], sketches[j], hashes) >= floor
+        i, j = own[i[near]], j[near]
+        new = [at for at in np.unique(np.concatenate([i, j])).tolist() if at not in known]
         known.update(zip(new, shingles(texts.take(pa.array(new, pa.int64())))))
-        for a, b in zip(i[near].tolist(), j[near].tolist()):
-            if component[a] != component[b] and similar(known[a], known[b], at_least):
-                yield int(min(items[a], items[b])), int(max(items[a], items[b]))
-                component[component == component[b]] = component[a]
+        for a in np.unique(i).tolist():
+            others = [b for b in j[i == a].tolist() if component[b] != component[a]]
+            for b in others and np.array(others)[all_similar(known[a], [known[b] for b in others], at_least)].tolist():
+                if component[a] != component[b]:
+                    yield int(min(items[a], items[b])), int(max(items[a], items[b]))
+                    component[component == component[b]] = component[a]
 
 
 def _joined(roots: DataFrame) -> DataFrame:
