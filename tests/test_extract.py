@@ -389,3 +389,33 @@ def test_unmatched_and_failed_pages_have_rows_of_their_own(spark, monkeypatch):
     assert {row.host: row.pages for row in unmatched_hosts(found).collect()} == {"elsewhere.org": 2, None: 1}
     assert sorted(row.title for row in to_articles(found).collect()) == ["a", "b"]
     assert read_items(pages, BATCH_RULES).count() == 3
+
+
+def test_items_are_given_away_part_by_part(spark, monkeypatch):
+    """A task holds the items of a part of a batch: the parts of one batch are read in turn, and none is lost."""
+    from broadsheet.functions import batches
+
+    monkeypatch.setattr(batches.parts, "__defaults__", (200,))
+    pages = [(n, None if n % 5 == 0 else "<h3>t%d</h3>" % n * (n % 7)) for n in range(60)]
+    rule = F.struct(*[F.lit(v).cast("int" if n == "cap" else "string").alias(n) for n, v in (
+        ("item_tag", "h3"), ("item_class", None), ("title_tag", None), ("link", INSIDE), ("cap", None)
+    )])
+    df = spark.createDataFrame(pages, "page_id long, html string").coalesce(1)
+    read = df.select("page_id", reader.page_items(F.col("html"), rule).alias("page"))
+    found = {row.page_id: [item.title for item in row.page["items"]] for row in read.collect()}
+    assert found == {n: [] if n % 5 == 0 else [f"t{n}"] * (n % 7) for n, _ in pages}
+
+
+def test_parts_are_bounded_and_hold_every_row_once():
+    import pyarrow as pa
+
+    from broadsheet.functions.batches import ROW_BYTES, parts
+
+    texts = pa.array(["x" * n if n % 3 else None for n in range(300)] + ["y" * 5000] + [""] * 100)
+    found = list(parts(texts, 1000))
+    assert [row for part in found for row in range(part.start, part.stop)] == list(range(len(texts)))
+    for part in found:
+        size = sum(len(text or "") + ROW_BYTES for text in texts[part].to_pylist())
+        assert size <= 1000 or part.stop - part.start == 1
+    assert list(parts(texts[:0])) == [] and len(list(parts(pa.array([""] * 100), 1000))) > 1
+    assert list(parts(texts[250:], 1000))[0].start == 0
