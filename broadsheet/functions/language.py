@@ -12,6 +12,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,7 @@ from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from broadsheet.functions.batches import parts
 from broadsheet.functions.text import LOWER, PIECE_LENGTH, strip
 from broadsheet.schema import UNKNOWN_LANGUAGE
 from broadsheet.session import scratch_path
@@ -126,7 +128,8 @@ def detect_language(text: Column, model: Model, stripped: bool = False) -> Colum
 
     @F.arrow_udf("string")
     def best_language(batch: pa.Array) -> pa.Array:
-        return pa.array(_best_languages(batch.to_pylist(), head.value), pa.string())
+        found = [_best_languages(batch[part].to_pylist(), head.value) for part in parts(batch)]
+        return pa.array(chain.from_iterable(found), pa.string())
 
     return F.coalesce(best_language(_detectable(text, stripped)), F.lit(UNKNOWN_LANGUAGE))
 
@@ -146,8 +149,8 @@ def with_language(df: DataFrame, text: str, model: Model, name: str = "language"
 
     @F.arrow_udf("array<long>")
     def scores(batch: pa.Array) -> pa.Array:
-        table = _scores(batch.to_pylist(), head.value)
-        return pa.array(list(table.T), pa.list_(pa.int64()))
+        found = [_scores(batch[part].to_pylist(), head.value).T for part in parts(batch)]
+        return pa.array(chain.from_iterable(found), pa.list_(pa.int64()))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -306,8 +309,11 @@ def _unknown_grams(batch: pa.RecordBatch, model: dict) -> Iterator[pa.RecordBatc
     for grams, of in windows(batch.column("letters").to_pylist()):
         unknown = _rows(grams, model) == len(model["keys"]) - 1
         if unknown.any():
-            pairs, n = np.unique(np.stack([of[unknown].astype(np.uint64), grams[unknown]]), axis=1, return_counts=True)
+            # Grams are numbered, so that a row and a gram are one integer to be sorted.
+            kinds, kind = np.unique(grams[unknown], return_inverse=True)
+            pairs, n = np.unique(of[unknown] * len(kinds) + kind, return_counts=True)
+            row, kind = np.divmod(pairs, len(kinds))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(row_ids[pairs[0].astype(np.int64)]), pa.array(pairs[1].astype(np.int64)), pa.array(n)],
+                [pa.array(row_ids[row]), pa.array(kinds[kind].astype(np.int64)), pa.array(n)],
                 names=["__row", "packed", "n"],
             )

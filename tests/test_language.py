@@ -208,3 +208,44 @@ def test_partial_counts_of_many_grams_add_up(spark, monkeypatch):
     whole = sorted(map(tuple, train_profiles(df).collect()))
     monkeypatch.setattr(training, "GRAMS_HELD", 5)
     assert sorted(map(tuple, train_profiles(df).collect())) == whole
+
+
+def test_a_batch_is_scored_in_parts(spark, profiles, monkeypatch):
+    from broadsheet.functions import batches
+
+    texts = [("the cat and the dog in the house", None, "le chat et le chien dans la maison")[n % 3] for n in range(90)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string").coalesce(1)
+    whole = df.select("id", detect_language(F.col("text"), load_model(profiles)).alias("l")).collect()
+    monkeypatch.setattr(batches.parts, "__defaults__", (200,))
+    joined = language.with_language(df, "text", load_model(profiles, most_rows=5)).select("id", F.col("language").alias("l"))
+    assert df.select("id", detect_language(F.col("text"), load_model(profiles)).alias("l")).collect() == whole
+    assert sorted(joined.collect()) == sorted(whole)
+
+
+def test_grams_of_rows_are_counted_in_the_time_of_a_few_sorts():
+    import time
+
+    import pyarrow as pa
+
+    draw = random.Random(3)
+    texts = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=2500)) for _ in range(200)]
+    model = language._index(["en"], ["the"], [5])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array(texts)], names=["__row", "letters"])
+    grams = next(language.windows(texts))[0]
+
+    def seconds(work):
+        begun = time.perf_counter()
+        work()
+        return time.perf_counter() - begun
+
+    counted = min(seconds(lambda: list(language._unknown_grams(batch, model))) for _ in range(3))
+    sort = min(seconds(lambda: np.unique(grams, return_inverse=True)) for _ in range(3))
+    assert counted < 30 * sort
+    found = {}
+    for part in language._unknown_grams(batch, model):
+        for row, gram, n in zip(*(part.column(i).to_pylist() for i in range(3))):
+            found[row, gram] = found.get((row, gram), 0) + n
+    expected = Counter()
+    for row, text in enumerate(texts):
+        expected.update((row, int(gram)) for gram in language._pack(text) if gram != language._pack("the")[0])
+    assert found == expected
