@@ -92,5 +92,10 @@ def stream_bronze(spark: SparkSession, path: str, files_per_cycle: int | None =
 
 
 def stream_pages(spark: SparkSession, path: str, files_per_cycle: int | None = None, **options: str) -> DataFrame:
-    """Pages of the Parquet files arriving in a folder; a backlog is worked off by so many files a cycle."""
-    return spark.readStream.schema(PAGE).options(**_bounded(files_per_cycle), **options).parquet(path)
+    """Pages of the Parquet files arriving in a folder; a backlog is worked off by so many files a cycle.
+
+    Few files have few splits, whatever their size: the pages of such a cycle are dealt to all cores to be read.
+    """
+    pages = spark.readStream.schema(PAGE).options(**_bounded(files_per_cycle), **options).parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return pages if files_per_cycle is None or files_per_cycle >= cores else pages.repartition(cores)

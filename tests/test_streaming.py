@@ -271,3 +271,17 @@ def test_a_joined_model_cleans_a_stream_too(spark, tmp_path):
         flows.start_cleaning(stream, parted, silver, str(tmp_path / "offsets"), once=True).awaitTermination()
     batch = to_silver(readers.read_bronze(spark, bronze), whole)
     assert stable(readers.read_silver(spark, silver).select(*batch.columns)) == stable(batch)
+
+
+def test_a_cycle_of_one_file_is_read_by_many_tasks(spark, tmp_path):
+    pages = [(n, "https://en.hespress.com/", f'<div class="card"><h3>title {n}</h3></div>') for n in range(64)]
+    spark.createDataFrame(pages, PAGE).coalesce(1).write.parquet(f"{tmp_path}/pages")
+    tasks = []
+
+    def cycle(batch, number):
+        tasks.append({row[0] for row in batch.select(F.spark_partition_id()).collect()})
+
+    stream = readers.stream_pages(spark, f"{tmp_path}/pages", files_per_cycle=1)
+    items = read_items(stream, STREAM_RULES)
+    items.writeStream.foreachBatch(cycle).option("checkpointLocation", f"{tmp_path}/at").trigger(availableNow=True).start().awaitTermination()
+    assert [len(found) for found in tasks] == [spark.sparkContext.defaultParallelism]
