@@ -230,7 +230,8 @@ def _scanner(shared: Broadcast) -> Callable:
                 rows.append((high - low, int(hit.sum()), longest, in_order(items), spans))
         return _found(rows)
 
-    return scan_texts
+    # A filter on what is found would be pushed below the scan with a scan of its own, in a worker of its own.
+    return scan_texts.asNondeterministic()
 
 
 def in_order(items: set[int | None]) -> list[int | None]:

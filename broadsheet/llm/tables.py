@@ -11,14 +11,19 @@ from broadsheet.session import scratch_path
 # A written table of so many rows of a few numbers may be broadcast (some 30 MB); beyond, joins shuffle.
 BROADCAST_ROWS = 500_000
 
-# Whole texts are wide rows: an Arrow batch takes few of them, in the memory of the executor as in the worker's.
+# Whole texts and packed keys are wide rows: an Arrow batch takes few of them, in the memory of the executor as in the
+# worker's.
 BATCH_ROWS, BATCH_SETTING = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_BYTES, BYTES_SETTING = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Lower the session's limit of rows in an Arrow batch to ``BATCH_ROWS``."""
+    """Lower the session's limits of an Arrow batch to ``BATCH_ROWS`` and ``BATCH_BYTES``."""
     if not 0 < int(spark.conf.get(BATCH_SETTING)) <= BATCH_ROWS:
         spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+    in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    if not 0 < in_bytes(spark.conf.get(BYTES_SETTING)) <= BATCH_BYTES:
+        spark.conf.set(BYTES_SETTING, f"{BATCH_BYTES}b")
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
