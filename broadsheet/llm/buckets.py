@@ -24,6 +24,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Keys sorted at a time, which bounds the memory of a task; a shard has about as many different ones.
 CHUNK = 1 << 18
 
+# Bits of a key that are looked up before the key itself is.
+FIRST_BITS = 22
+
 SHARED = "key long, leader long, last long, n long"
 PACKED = "shard int, entries binary"
 
@@ -34,7 +37,7 @@ Entries = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 def combine(parts: list[Entries]) -> Entries:
     """One entry per key, sorted by key."""
     key, least, most, n = (np.concatenate(column) for column in zip(*parts))
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     key = key[order]
     begins = np.flatnonzero(np.diff(key, prepend=key[:1] - 1)) if len(key) else np.zeros(0, dtype=np.int64)
     if not len(begins):
@@ -84,6 +87,12 @@ def _unpacked(data: memoryview) -> list[Entries]:
     return [_single(items, keys), tuple(numbers[stop:].reshape(4, -1))]
 
 
+def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    """The range that each key is in, of so many equal ones; rising with the key."""
+    high = (keys >> 32) + (1 << 31)
+    return ((high * shards) >> 32).astype(np.int32)
+
+
 def _pack(shards: int) -> Callable:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
@@ -97,12 +106,12 @@ def _pack(shards: int) -> Callable:
             yield _rows(combine(parts))
 
     def _rows(entries: Entries) -> pa.RecordBatch:
-        shard = (entries[0].view(np.uint64) % np.uint64(shards)).astype(np.int32)
-        order = np.argsort(shard, kind="stable")
-        found, begins = np.unique(shard[order], return_index=True)
-        cut = zip(*(np.split(column[order], begins[1:]) for column in entries))
+        # Shards are ranges of keys, so that sorted entries are cut, not sorted again.
+        shard = shard_of(entries[0], shards)
+        begins = np.flatnonzero(np.diff(shard, prepend=-1))
+        cut = zip(*(np.split(column, begins[1:]) for column in entries))
         packed = pa.array([_packed(part) for part in cut], pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(found), packed], names=["shard", "entries"])
+        return pa.RecordBatch.from_arrays([pa.array(shard[begins]), packed], names=["shard", "entries"])
 
     return pack
 
@@ -126,6 +135,27 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from table.to_batches(max_chunksize=1 << 16)
 
 
+class Among:
+    """Which keys are among some sorted ones: their first bits tell nearly all that are not."""
+
+    def __init__(self, known: np.ndarray):
+        self.known = known
+        self.bits = np.zeros(1 << FIRST_BITS, dtype=bool)
+        self.bits[self._first(known)] = True
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        among = self.bits[self._first(keys)]
+        likely = np.flatnonzero(among)
+        at = np.searchsorted(self.known, keys[likely])
+        at[at == len(self.known)] = 0
+        among[likely] = self.known[at] == keys[likely]
+        return among
+
+    @staticmethod
+    def _first(keys: np.ndarray) -> np.ndarray:
+        return keys.view(np.uint64) >> np.uint64(64 - FIRST_BITS)
+
+
 def keys_of(listed: DataFrame, wanted: DataFrame) -> DataFrame:
     """``(key, item)``, a row for each key of ``listed`` that is among those of ``wanted`` ``(key, ...)``, a written table.
 
@@ -136,14 +166,12 @@ def keys_of(listed: DataFrame, wanted: DataFrame) -> DataFrame:
     shared = listed.sparkSession.sparkContext.broadcast(chosen)
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        among = None if shared.value is None else Among(shared.value)
         for batch in batches:
             items, keys = keyed(batch)
-            if known is not None:
-                at = np.searchsorted(known, keys)
-                at[at == len(known)] = 0
-                among = known[at] == keys if len(known) else np.zeros(len(keys), dtype=bool)
-                items, keys = items[among], keys[among]
+            if among is not None:
+                chosen = among(keys)
+                items, keys = items[chosen], keys[chosen]
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(items)], names=["key", "item"])
 
     found = listed.mapInArrow(expand, "key long, item long")

@@ -193,7 +193,7 @@ def repeated_lines(docs: DataFrame, work: Workspace, every: bool = False) -> Dat
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     signed = docs.select("doc_id", _text_id(), "text").mapInArrow(_signer(every), SIGNED)
-    signed = work.keep(signed.where(F.size("lines") > 0), "zstd")
+    signed = work.keep(signed.where(F.size("lines") > 0), False)
     lines = signed.select("doc_id", "text_id", "lines")
     candidates = candidate_rows(signed.select("items", "keys"), BANDS, work)
     # The lines that share a key with others: few, counted, are sent to the tasks, more are joined.
@@ -204,13 +204,14 @@ def repeated_lines(docs: DataFrame, work: Workspace, every: bool = False) -> Dat
     links = link(candidates, similarity, work)
     roots = components(links, work)
     line = lines.select("doc_id", "text_id", F.explode("lines").alias("line")).select("doc_id", "text_id", "line.*")
-    # The first line of every item, then of every component: both combine before the shuffle.
+    # Lines that stand alone stay. Only the others are ordered: the first of every component stays, too.
+    several = line.groupBy("item").agg(F.count("*").alias("n")).join(roots, "item", "left")
+    several = work.keep(several.where("n > 1 or root is not null").select("item", F.coalesce("root", "item").alias("root")))
     place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), "text_id", "place")
-    first = work.keep(line.groupBy("item").agg(F.min(place).alias("first"), F.count("*").alias("n")))
-    labelled = first.join(roots, "item", "left").withColumn("root", F.coalesce("root", "item"))
-    best = labelled.groupBy("root").agg(F.min("first").alias("best"), F.sum("n").alias("lines"))
-    best = labelled.join(best.where("lines > 1"), "root").select("item", "best")
-    dropped = line.withColumn("own", place).join(work.keep(best), "item").where("own > best")
+    repeated = work.keep(line.join(work.small(several), "item").select("root", "doc_id", "text_id", "place"))
+    repeated = repeated.withColumn("own", place)
+    best = work.keep(repeated.groupBy("root").agg(F.min("own").alias("best")))
+    dropped = repeated.join(work.small(best), "root").where("own > best")
     return dropped.groupBy("doc_id", "text_id").agg(F.collect_set("place").alias("places"))
 
 

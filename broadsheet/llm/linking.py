@@ -80,14 +80,35 @@ def similar(a: np.ndarray, b: np.ndarray, at_least: int) -> bool:
     return 100 * shared >= at_least * (len(a) + len(b) - shared)
 
 
-def all_similar(a: np.ndarray, others: list[np.ndarray], at_least: int) -> np.ndarray:
-    """Which of some sets of shingles, none of them empty, are linked to one."""
-    sizes = np.array([len(b) for b in others])
-    values = np.concatenate(others)
-    at = np.searchsorted(a, values)
-    at[at == len(a)] = 0
-    shared = np.add.reduceat((a[at] == values).astype(np.int64), np.cumsum(sizes) - sizes)
-    return 100 * shared >= at_least * (len(a) + sizes - shared)
+class Numbered:
+    """Some sets of shingles, none of them empty, whose shingles are numbered once for all comparisons."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(one) for one in sets])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        different, self.numbers = np.unique(np.concatenate(sets), return_inverse=True)
+        self.marked = np.zeros(len(different), dtype=bool)
+
+    def of(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of some sets, one after another, and where each begins."""
+        sizes = self.sizes[chosen]
+        begins = np.cumsum(sizes) - sizes
+        return self.numbers[np.repeat(self.starts[chosen] - begins, sizes) + np.arange(sizes.sum())], begins
+
+    def similar(self, a: int, others: np.ndarray, at_least: int) -> np.ndarray:
+        """Which of some other sets are linked to one."""
+        out = np.zeros(len(others), dtype=bool)
+        # Sets of too different sizes cannot be linked.
+        size, sizes = self.sizes[a], self.sizes[others]
+        near = np.flatnonzero(100 * np.minimum(size, sizes) >= at_least * np.maximum(size, sizes))
+        if len(near):
+            own = self.numbers[self.starts[a] : self.starts[a] + size]
+            self.marked[own] = True
+            numbers, begins = self.of(others[near])
+            shared = np.add.reduceat(self.marked[numbers], begins, dtype=np.int64)
+            self.marked[own] = False
+            out[near] = 100 * shared >= at_least * (size + sizes[near] - shared)
+        return out
 
 
 def _linked(shingles: Shingles, at_least: int):
@@ -232,9 +253,14 @@ def _links_of(group: pa.Table, shingles: Shingles, at_least: int, hashes: int, f
         i, j = own[i[near]], j[near]
         new = [at for at in np.unique(np.concatenate([i, j])).tolist() if at not in known]
         known.update(zip(new, shingles(texts.take(pa.array(new, pa.int64())))))
+        if not len(i):
+            continue
+        sets = Numbered([known[at] for at in range(len(items)) if at in known])
+        number = np.cumsum([at in known for at in range(len(items))]) - 1
         for a in np.unique(i).tolist():
-            others = [b for b in j[i == a].tolist() if component[b] != component[a]]
-            for b in others and np.array(others)[all_similar(known[a], [known[b] for b in others], at_least)].tolist():
+            others = j[i == a]
+            others = others[component[others] != component[a]]
+            for b in others[sets.similar(number[a], number[others], at_least)].tolist():
                 if component[a] != component[b]:
                     yield int(min(items[a], items[b])), int(max(items[a], items[b]))
                     component[component == component[b]] = component[a]

@@ -16,11 +16,18 @@ BROADCAST_ROWS = 500_000
 BATCH_ROWS, BATCH_SETTING = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_BYTES, BYTES_SETTING = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 
+# A task that reads Parquet holds so many rows of each column at once.
+READ_SETTING = "spark.sql.parquet.columnarReaderBatchSize"
+
+# A task holds the rows of a Parquet file it writes until they are so many bytes, and reads whole groups of them.
+GROUP_BYTES = 16 << 20
+
 
 def bound_batches(spark: SparkSession) -> None:
-    """Lower the session's limits of an Arrow batch to ``BATCH_ROWS`` and ``BATCH_BYTES``."""
-    if not 0 < int(spark.conf.get(BATCH_SETTING)) <= BATCH_ROWS:
-        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+    """Lower the session's limits of an Arrow batch to ``BATCH_ROWS`` and ``BATCH_BYTES``, and of rows read at once."""
+    for setting in (BATCH_SETTING, READ_SETTING):
+        if not 0 < int(spark.conf.get(setting)) <= BATCH_ROWS:
+            spark.conf.set(setting, str(BATCH_ROWS))
     in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
     if not 0 < in_bytes(spark.conf.get(BYTES_SETTING)) <= BATCH_BYTES:
         spark.conf.set(BYTES_SETTING, f"{BATCH_BYTES}b")
@@ -39,12 +46,13 @@ class Workspace:
         self.count = 0
         bound_batches(spark)
 
-    def keep(self, df: DataFrame, codec: str = "snappy") -> DataFrame:
-        """Write a table and read it back."""
+    def keep(self, df: DataFrame, repeats: bool = True) -> DataFrame:
+        """Write a table and read it back. Without ``repeats`` no dictionary of its values is tried."""
         self.count += 1
         path = f"{self.root}/{self.count}"
         schema = df.schema
-        df.write.option("compression", codec).parquet(path)
+        options = {"compression": "snappy", "parquet.block.size": GROUP_BYTES, "parquet.enable.dictionary": repeats}
+        df.write.options(**options).parquet(path)
         return self.spark.read.schema(schema).parquet(path)
 
     def small(self, kept: DataFrame) -> DataFrame:
