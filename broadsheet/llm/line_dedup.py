@@ -57,13 +57,14 @@ class Lines:
 
     def __init__(self, column: pa.Array, every: bool = False):
         raw, offsets = words.text_bytes(column)
-        starts, stops, _ = words.word_spans(raw, offsets, words.NOT_WHITE)
+        starts, stops, first = words.word_spans(raw, offsets, words.NOT_WHITE)
         feeds = np.flatnonzero(raw == 0x0A)
-        text_of = np.searchsorted(offsets, starts, side="right") - 1
-        feeds_before = np.searchsorted(feeds, starts)
+        # Words are many: their texts and lines are counted on, not looked up.
+        text_of = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+        feeds_before = np.repeat(np.arange(len(feeds) + 1), np.diff(np.searchsorted(starts, feeds), prepend=0, append=len(starts)))
         # A line is told apart by its text and the line feeds before it.
         heads = np.flatnonzero(np.diff(feeds_before, prepend=-1) | np.diff(text_of, prepend=-1))
-        tails = np.append(heads[1:], len(starts))
+        tails = np.append(heads[1:], len(starts))[: len(heads)]  # none, if there is no word
         data = words.FOLD[raw]
         keep = words.NOT_WHITE[raw]
         inner = np.ones(len(starts), dtype=bool)
@@ -93,7 +94,7 @@ class Lines:
 
 
 def _line_slices(column: pa.Array, every: bool) -> Iterator[tuple[pa.Array, Lines]]:
-    for _, part in words.slices(column, words.SPAN):
+    for _, part in words.slices(column, words.SPAN // 2):
         yield part, Lines(part, every)
 
 

@@ -2,9 +2,10 @@
 
 import numpy as np
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
-from broadsheet.llm import buckets, linking, tables
+from broadsheet.llm import buckets, line_dedup, linking, tables
 
 
 def test_rows_read_at_once_are_few(spark):
@@ -62,3 +63,11 @@ def test_numbered_sets_are_compared_as_the_sets():
         linked += sum(found)
     assert len(sets) < linked < len(sets) ** 2
     assert not len(numbered.similar(0, others[:0], 80))
+
+
+@pytest.mark.parametrize("every", [False, True])
+def test_texts_without_a_word(spark, every):
+    rows = [(1, None), (2, ""), (3, " \n\t\n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = {row.doc_id: (row.text, row.n_lines, row.n_dropped) for row in line_dedup.dedup_lines(docs, every=every).collect()}
+    assert found == {1: (None, 0, 0), 2: ("", 1, 0), 3: (" \n\t\n", 3, 0)}
