@@ -298,7 +298,9 @@ def components(links: DataFrame, work: Workspace) -> DataFrame:
     hung on its smallest neighbour, then its smaller ones, until nothing moves. Each step is two aggregations that
     combine before the shuffle, and a join that splits skewed keys.
     """
-    edges = work.keep(links.where("a <> b").select("a", "b").mapInArrow(_stars, "u long, v long"))
+    # Written first: if the comparisons ran in the stage of the contraction, each core would have two Python workers.
+    links = work.keep(links.where("a <> b").select("a", "b"))
+    edges = work.keep(links.mapInArrow(_stars, "u long, v long"))
     if edges.count() <= LINKS:
         few = edges.select(F.col("u").alias("a"), F.col("v").alias("b")).coalesce(1)
         return _stars_as_roots(work.keep(few.mapInArrow(_stars, "u long, v long")))
